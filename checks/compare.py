@@ -38,6 +38,17 @@ def canonical(rows, columns: list[str]) -> list[tuple]:
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
+# Spark type -> DuckDB type of the same values.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(spark, con, name: str, sf_dir: str) -> tuple[str | None, int]:
     """(description of the first difference or None, number of rows)."""
     df = QUERIES[name](spark, sf_dir)
@@ -46,9 +57,13 @@ def difference(spark, con, name: str, sf_dir: str) -> tuple[str | None, int]:
         return None, len(ours)
     cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
     theirs = cursor.fetchall()
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(set(df.columns) ^ set(columns))}", len(ours)
+    other = {n: (t, types[n]) for n, t in df.dtypes if TYPES.get(t) != types[n]}
+    if other:
+        return f"types {other}", len(ours)
     a, b = canonical(ours, df.columns), canonical(theirs, columns)
     if a == b:
         return None, len(ours)

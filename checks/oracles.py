@@ -15,9 +15,9 @@ from roadlark.sources import events as ev
 BLOCKS: dict[str, str] = {}
 
 
-def rnd(expr: str, digits: int) -> str:
+def rnd(expr: str, digits: int, scale: int = 9) -> str:
     """Half away from zero on the decimal value, as the engine rounds."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{scale})), {digits}) AS DOUBLE)"
 
 
 def avg_exact(expr: str) -> str:
@@ -504,7 +504,8 @@ FROM alert GROUP BY 1"""
 BODIES["customer_fleet_report"] = f"""
 SELECT vehicle_id, total_trips, total_km AS total_distance_km, total_fuel_l, avg_fuel_eff AS avg_fuel_efficiency, top_speed,
   health_status, driver_grade FROM score WHERE customer_id = '{TENANT}'"""
-BODIES["speed_violations"] = f"""
+BODIES["sql_fleet_report"] = BODIES["customer_fleet_report"]
+BODIES["sql_speed_violations"] = BODIES["speed_violations"] = f"""
 SELECT vehicle_id, trip_num, trip_start_ts, max_speed_kph, start_geofence, end_geofence FROM trip
 WHERE customer_id = '{TENANT}' AND max_speed_kph > 80"""
 BODIES["top_trips"] = f"""
@@ -570,14 +571,17 @@ SELECT vehicle_id, event_ts, ingest_ts,
       OR j1939_oil_pressure_kpa < 200 THEN 'WARNING' ELSE 'HEALTHY' END AS engine_grade FROM raw"""
 BODIES["kmh_to_mph"] = f"""
 SELECT vehicle_id, event_ts, gps_speed_kph AS speed_kmh, {rnd('gps_speed_kph * 0.621371e0', 1)} AS speed_mph FROM raw"""
+BODIES["sql_functions"] = (
+    BODIES["engine_health_grade"].replace("ingest_ts,", f"ingest_ts, {rnd('j1939_vehicle_speed_kph * 0.621371e0', 1)} AS speed_mph,", 1)
+)
 BODIES["string_funcs"] = """
 SELECT c_custkey, 'CUST_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS padded, lower(c_mktsegment) AS lowered,
   replace(c_name, 'Customer#', '') AS replaced, right(c_name, 4) AS tail, '****@fleet.example' AS masked,
   c_name LIKE '%7' AS ends_with_7 FROM customer"""
 BODIES["math_funcs"] = f"""
-SELECT vehicle_id, event_ts, {rnd('cos(radians(gps_latitude))', 6)} AS cos_lat, {rnd('sin(radians(gps_longitude))', 6)} AS sin_lon,
-  {rnd('atan2(imu_accel_y_g, imu_accel_x_g)', 6)} AS accel_angle,
-  {rnd('sqrt(imu_accel_x_g * imu_accel_x_g + imu_accel_y_g * imu_accel_y_g + imu_accel_z_g * imu_accel_z_g)', 6)} AS accel_norm,
+SELECT vehicle_id, event_ts, {rnd('cos(radians(gps_latitude))', 6, 12)} AS cos_lat, {rnd('sin(radians(gps_longitude))', 6, 12)} AS sin_lon,
+  {rnd('atan2(imu_accel_y_g, imu_accel_x_g)', 6, 12)} AS accel_angle,
+  {rnd('sqrt(imu_accel_x_g * imu_accel_x_g + imu_accel_y_g * imu_accel_y_g + imu_accel_z_g * imu_accel_z_g)', 6, 12)} AS accel_norm,
   abs(imu_gyro_x_dps) AS abs_gyro, gps_satellite_count % 4 AS sat_mod,
   CASE WHEN gps_speed_kph > 80 THEN 80e0 ELSE gps_speed_kph END AS capped,
   CASE WHEN gps_speed_kph < 20 THEN 20e0 ELSE gps_speed_kph END AS floored FROM reading"""

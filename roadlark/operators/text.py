@@ -5,7 +5,7 @@ These stand in for hosted language models: same inputs and result shape, transpa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Words of praise (+1) and complaint (-1).
@@ -38,9 +38,10 @@ ANSWER = (
 )
 
 
-def lexicon(spark) -> DataFrame:
-    rows = [line.split() for line in LEXICON.strip().splitlines()]
-    return spark.createDataFrame([(w, float(s)) for w, s in rows], "word string, score double")
+def lexicon(spark: SparkSession) -> DataFrame:
+    """As literal rows, so that Spark knows their size and can broadcast them."""
+    rows = ", ".join("('{}', {}D)".format(*line.split()) for line in LEXICON.strip().splitlines())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, score)")
 
 
 def words(text: Column) -> Column:
@@ -51,18 +52,17 @@ def words(text: Column) -> Column:
 def sentiment(docs: DataFrame, scores: DataFrame, key: str, text: str) -> DataFrame:
     """Mean score of the scored words of each text, 0 when there are none.
 
-    Words are counted per text before the lexicon join, so a text contributes each distinct word
-    once, whatever its length.
+    The words of a text are never shuffled while the lexicon fits Spark's broadcast threshold: the
+    map-side aggregate leaves one row per text.
     """
     tokens = docs.select(key, F.explode_outer(words(F.col(text))).alias("word"))
-    counted = tokens.groupBy(key, "word").agg(F.count("word").alias("n"))
     return (
-        counted.join(scores, "word", "left")
+        tokens.join(scores, "word", "left")
         .groupBy(key)
         .agg(
-            F.sum("n").alias("word_count"),
-            F.sum(F.when(F.col("score").isNotNull(), F.col("n")).otherwise(0)).alias("scored_words"),
-            F.sum(F.col("score") * F.col("n")).alias("_sum"),
+            F.count("word").alias("word_count"),
+            F.count("score").alias("scored_words"),
+            F.sum("score").alias("_sum"),
         )
         .select(
             key,
@@ -76,11 +76,13 @@ def sentiment(docs: DataFrame, scores: DataFrame, key: str, text: str) -> DataFr
 def summary(docs: DataFrame, key: str, text: str, sentences: int = 2) -> DataFrame:
     """The sentences whose words are, on average, most frequent in their text, in text order.
 
-    A sentence ends at ``.``, ``!``, ``?`` or a line break.  Only (text, sentence number, word)
-    counts are shuffled; the sentences themselves are cut from the text again at the end.
+    A sentence ends at ``.``, ``!``, ``?`` or a line break.  Texts are partitioned by ``key`` once;
+    every later step groups by the key and something else, so it needs no further shuffle and
+    word rows, which take more room than the text, never leave their task.
     """
+    placed = docs.select(key, text).repartition(key)
     cut = F.split(F.col(text), r"[.!?\n]+")
-    numbered = docs.select(key, F.posexplode(F.transform(cut, words)).alias("pos", "ws"))
+    numbered = placed.select(key, F.posexplode(F.transform(cut, words)).alias("pos", "ws"))
     counted = (
         numbered.select(key, "pos", F.explode("ws").alias("word")).groupBy(key, "pos", "word").agg(F.count("*").alias("n"))
     )
@@ -93,7 +95,7 @@ def summary(docs: DataFrame, key: str, text: str, sentences: int = 2) -> DataFra
     top = weights.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= sentences)
     picks = top.groupBy(key).agg(F.sort_array(F.collect_list("pos")).alias("_picks"))
     lines = F.transform("_picks", lambda pos: F.trim(F.get(cut, pos)))
-    return docs.join(picks, key).select(key, F.array_join(lines, ". ").alias("summary"))
+    return placed.join(picks, key).select(key, F.array_join(lines, ". ").alias("summary"))
 
 
 def structured_answers(df: DataFrame, text: str) -> DataFrame:

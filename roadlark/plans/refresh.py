@@ -39,16 +39,20 @@ class IncrementalTables:
         )
         # Distinct calendar dates: bounded by time, and needed as literals to prune folders.
         dates = [row[0] for row in added.select("event_date").distinct().collect()]
-        pruned = read_log(spark, self._path("readings")).where(F.col("event_date").isin(dates))
-        current = latest_readings(pruned.where(F.col("batch_id") <= batch_id)).withColumn("_bucket", self._bucket())
+        log = (
+            read_log(spark, self._path("readings"))
+            .where(F.col("event_date").isin(dates) & (F.col("batch_id") <= batch_id))
+            .withColumn("_bucket", self._bucket())
+        )
 
-        days = added.select("vehicle_id", "event_date").distinct()
-        daily = facts.fact_vehicle_daily(current.join(days, ["vehicle_id", "event_date"], "left_semi"))
-        write_batch(daily, self._path("daily"), batch_id)
+        def touched(*keys: str) -> DataFrame:
+            """Current readings of the touched keys; the keys are cut out before the shuffle."""
+            return latest_readings(log.join(added.select(*keys).distinct(), list(keys), "left_semi"))
 
-        pieces = added.select("vehicle_id", "event_date", "_bucket").distinct()
-        touched = current.join(pieces, ["vehicle_id", "event_date", "_bucket"], "left_semi")
-        write_batch(trips.trip_runs(touched, self.bucket_seconds), self._path("runs"), batch_id)
+        daily = facts.fact_vehicle_daily(touched("vehicle_id", "event_date"))
+        write_batch(daily, self._path("daily"), batch_id)
+        runs = trips.trip_runs(touched("vehicle_id", "event_date", "_bucket"), self.bucket_seconds)
+        write_batch(runs, self._path("runs"), batch_id)
 
     def readings(self) -> DataFrame:
         return latest_readings(read_log(self.spark, self._path("readings"))).drop("batch_id", "event_date")

@@ -24,6 +24,7 @@ from roadlark.operators import (
 )
 from roadlark.plans.model import FleetModel
 from roadlark.plans.refresh import IncrementalTables
+from roadlark.plans.sql import register
 from roadlark.session import work_folder
 from roadlark.sources import envelopes, files, masters
 from roadlark.sources.events import landing, read_table
@@ -66,18 +67,13 @@ def over_model(name: str, build: Callable[[FleetModel], DataFrame]) -> None:
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing table as messages, some of them broken in three ways."""
-    messages = envelopes.to_envelope(landing(spark, sf_dir).withColumn("offset", F.col("record_metadata.offset")))
-    offset = F.get_json_object("value", "$.record_metadata.offset").cast("bigint")
-    value = F.col("value")
-    return messages.withColumn("_offset", offset).select(
-        "key",
-        F.when(F.col("_offset") % 86 == 4, F.concat(F.lit("broken:"), value))
-        .when(F.col("_offset") % 86 == 8, F.regexp_replace(value, '"record_content"', '"content"'))
-        .when(F.col("_offset") % 86 == 12, F.regexp_replace(value, '"vehicle_id":"[^"]*",', ""))
-        .otherwise(value)
-        .alias("value"),
-        "partition",
-        "ingest_ts",
+    offset, value = F.col("offset"), F.col("value")
+    return envelopes.to_envelope(landing(spark, sf_dir)).withColumn(
+        "value",
+        F.when(offset % 86 == 4, F.concat(F.lit("broken:"), value))
+        .when(offset % 86 == 8, F.regexp_replace(value, '"record_content"', '"content"'))
+        .when(offset % 86 == 12, F.regexp_replace(value, '"vehicle_id":"[^"]*",', ""))
+        .otherwise(value),
     )
 
 
@@ -702,6 +698,28 @@ def json_filter(spark, sf_dir):
     )
 
 
+# ---- the same tables through SQL ---------------------------------------------------------------
+
+
+def over_sql(name: str, statement: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register(spark, model(spark, sf_dir))
+        return spark.sql(statement)
+
+    QUERIES[name] = run
+
+
+over_sql("sql_fleet_report", f"SELECT * FROM get_customer_fleet_report('{TENANT}')")
+over_sql("sql_speed_violations", f"SELECT * FROM get_speed_violations('{TENANT}', 80)")
+over_sql(
+    "sql_functions",
+    """
+    SELECT vehicle_id, event_ts, ingest_ts, kmh_to_mph(j1939_vehicle_speed_kph) AS speed_mph,
+      engine_health_grade(j1939_coolant_temp_c, j1939_active_dtc_count, j1939_battery_voltage_v,
+        j1939_oil_pressure_kpa) AS engine_grade
+    FROM vw_j1939_signals_v1""",
+)
+
 # ---- governance and retention ------------------------------------------------------------------
 
 VEHICLE_MASKS = {"driver_email": masks.mask_email, "device_serial_number": masks.mask_serial}

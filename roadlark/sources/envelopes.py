@@ -30,7 +30,7 @@ def _envelope(content: T.StructType) -> T.StructType:
 
 
 def to_envelope(landing: DataFrame) -> DataFrame:
-    """Landing rows as messages (``key``, ``value``, ``partition``, ``ingest_ts``).
+    """Landing rows as messages (``key``, ``value``, ``partition``, ``offset``, ``ingest_ts``).
 
     Missing values are left out, as producers do.
     """
@@ -40,6 +40,7 @@ def to_envelope(landing: DataFrame) -> DataFrame:
         F.col("record_metadata.key").alias("key"),
         F.to_json(body, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"),
         F.col("record_metadata.partition").alias("partition"),
+        F.col("record_metadata.offset").alias("offset"),
         "ingest_ts",
     )
 
@@ -48,6 +49,8 @@ def parse(messages: DataFrame, fields: T.StructType = schema.CONTENT, value: str
     """Add ``_event`` (typed envelope) and ``_error`` (NULL for a usable message).
 
     ``fields`` is the active field list: other keys of the content are ignored, absent ones NULL.
+    Exploding a one-element array keeps the optimizer from copying the parser into every place
+    that reads one of its fields, so each message is parsed once.
     """
     event = F.from_json(
         F.col(value),
@@ -66,7 +69,7 @@ def parse(messages: DataFrame, fields: T.StructType = schema.CONTENT, value: str
     )
     for name in ("vehicle_id", "event_ts"):
         error = error.when(content[name].isNull(), F.lit(NO_KEY + name))
-    return messages.withColumn("_event", event).withColumn("_error", error)
+    return messages.select("*", F.explode(F.array(event)).alias("_event")).withColumn("_error", error)
 
 
 def flatten(parsed: DataFrame, ingest_ts: Column | None = None) -> DataFrame:

@@ -73,13 +73,10 @@ def complete_fences(fences: DataFrame, cell: CellFunction = geo_cell) -> DataFra
 
 
 def city_fences(spark: SparkSession) -> DataFrame:
-    rows = [line.split() for line in CITY_FENCES.strip().splitlines()]
-    return complete_fences(
-        spark.createDataFrame(
-            [(i, city, float(lat), float(lon), float(km)) for i, city, lat, lon, km in rows],
-            "geofence_id string, city_name string, latitude double, longitude double, radius_km double",
-        )
-    )
+    """As literal rows, so that Spark knows their size and can broadcast them."""
+    rows = ", ".join("('{}', '{}', {}D, {}D, {}D)".format(*line.split()) for line in CITY_FENCES.strip().splitlines())
+    names = "geofence_id, city_name, latitude, longitude, radius_km"
+    return complete_fences(spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})"))
 
 
 def fences_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ MESSAGE = T.StructType(
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("partition", T.LongType()),
+        T.StructField("offset", T.LongType()),
         T.StructField("ingest_ts", T.TimestampNTZType()),
     ]
 )
@@ -37,6 +38,7 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.col("partition").cast("bigint").alias("partition"),
+        "offset",
         F.col("timestamp").cast("timestamp_ntz").alias("ingest_ts"),
     )
 

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """With partition columns, AQE first gathers each partition's rows into few tasks (and splits
+    a partition that is too big for one), so a batch does not leave one file per task and folder."""
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
@@ -20,6 +24,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def newest_version(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     by_batch = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return log.withColumn("_age", F.rank().over(by_batch)).where("_age = 1").drop("_age", "batch_id")
+    return log.withColumn("_age", F.rank().over(by_batch)).where("_age = 1").drop("_age")
+
+
+def newest_version(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return _newest(log, keys).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+    """Copy a log without its superseded versions; the copy is a log again."""
+    newest = _newest(read_log(spark, path), keys)
+    newest.write.mode("overwrite").partitionBy("batch_id").parquet(target)
