@@ -75,7 +75,7 @@ def main() -> None:
     timed("driver_scorecard", lambda: drain(live.scorecard))
     timed("speed_quantiles", lambda: drain(quantiles.exact_quantiles(live.alerts, "speed_alert_level", "max_speed_kph")))
     timed("top_routes", lambda: drain(reports.top_routes(live.trips)))
-    timed("kpi_row", lambda: drain(reports.kpi_row(live.scorecard, live.alerts, live.health, live.trips)))
+    timed("kpi_row", lambda: drain(reports.kpi_row(live.trips, live.health)))
     timed(
         "retention_deleted",
         lambda: drain(retention.deleted_per_customer(raw, live.policies, registry.RETENTION_AS_OF)),

@@ -22,17 +22,27 @@ OPEN_REGION = "Pune-Chikhali"
 Mask = Callable[[Column], Column]
 
 
-def rows_of_role(df: DataFrame, role: str, column: str = "customer_id", admins=ADMIN_ROLES) -> DataFrame:
+def row_visible(role: str, column: str = "customer_id", admins=ADMIN_ROLES) -> Column:
     """Admins see all rows; the role ``<customer>_ROLE`` sees that customer's rows.
 
     The suffix is cut from the role instead of being added to the column, which leaves a plain
     equality that reaches the Parquet scan.
     """
     if role in admins:
-        return df
+        return F.lit(True)
     if not role.endswith("_ROLE"):
-        return df.where(F.lit(False))
-    return df.where(F.col(column) == role.removesuffix("_ROLE"))
+        return F.lit(False)
+    return F.col(column) == role.removesuffix("_ROLE")
+
+
+def rows_of_role(df: DataFrame, role: str, column: str = "customer_id", admins=ADMIN_ROLES) -> DataFrame:
+    return df.where(row_visible(role, column, admins))
+
+
+def visible_counts(df: DataFrame, roles: list[str], column: str = "customer_id") -> DataFrame:
+    """Number of rows each role sees, counted in one pass."""
+    counts = df.agg(*[F.count_if(row_visible(role, column)).alias(role) for role in roles])
+    return counts.unpivot([], roles, "role", "n")
 
 
 def rows_of_region(

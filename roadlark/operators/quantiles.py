@@ -54,8 +54,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     The bounds are a scalar subquery, evaluated once and handed to every task as two numbers.
     """
     known = df.select(value).where(F.col(value).isNotNull())
-    bounds = known.select(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    low, high = bounds["low"], bounds["high"]
+    bounds = known.select(F.array(F.min(value), F.max(value))).scalar()
+    low, high = bounds[0], bounds[1]
     share = F.try_divide((F.col(value) - low) * bins, high - low)
     bin_no = F.least(F.floor(F.coalesce(share, F.lit(0.0))) + 1, F.lit(bins).cast("bigint"))
     return known.groupBy(bin_no.alias("bin")).agg(

@@ -6,7 +6,7 @@ its key columns so that its rows are fully determined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlark.functions import rules
@@ -282,27 +282,24 @@ def top_vehicles(vehicles: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def kpi_row(scorecard: DataFrame, alerts: DataFrame, health: DataFrame, trips: DataFrame) -> DataFrame:
-    """Six dashboard figures as one row; each source contributes a one-row aggregate.
+def kpi_row(trips: DataFrame, health: DataFrame) -> DataFrame:
+    """The dashboard's top figures as one row.
 
-    The one-row aggregates are stacked and collapsed, so no join of any kind is needed.
+    The scorecard's vehicles and the alert counts follow from the trips themselves, so one pass
+    over the trips gives all but the last figure.  The two one-row aggregates are stacked and
+    collapsed, which needs no join.
     """
-    parts = [
-        scorecard.agg(F.countDistinct("vehicle_id").alias("total_vehicles")),
-        trips.agg(
-            F.count("*").alias("total_trips"),
-            F.round(_mean("fuel_efficiency_l_per_100km"), 2).alias("avg_fuel_efficiency"),
-            F.round(_total("distance_km"), 1).alias("total_distance_km"),
-        ),
-        alerts.agg(
-            F.count("*").alias("speed_violations"),
-            F.count_if(F.col("speed_alert_level") == "CRITICAL").alias("critical_violations"),
-        ),
-        health.agg(F.count_if(F.col("health_status") == "WARNING").alias("warning_vehicles")),
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    level = rules.speed_alert_level(F.col("max_speed_kph"))
+    of_trips = trips.agg(
+        F.countDistinct("vehicle_id").alias("total_vehicles"),
+        F.count("*").alias("total_trips"),
+        F.round(_mean("fuel_efficiency_l_per_100km"), 2).alias("avg_fuel_efficiency"),
+        F.round(_total("distance_km"), 1).alias("total_distance_km"),
+        F.count_if(F.col("max_speed_kph") > 60).alias("speed_violations"),
+        F.count_if(level == "CRITICAL").alias("critical_violations"),
+    )
+    of_health = health.agg(F.count_if(F.col("health_status") == "WARNING").alias("warning_vehicles"))
+    stacked = of_trips.unionByName(of_health, allowMissingColumns=True)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
@@ -311,7 +308,7 @@ def counts_by(df: DataFrame, *columns: str, name: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
-    """Count and percentage per value; the total runs over the few grouped rows."""
+    """Count and percentage per value; the total is a window over the few grouped rows."""
     counts = df.groupBy(column).agg(F.count("*").alias("event_count"))
-    total = counts.select(F.sum("event_count")).scalar()
+    total = F.sum("event_count").over(Window.partitionBy(F.lit(1)))
     return counts.withColumn("pct", F.round(F.col("event_count") * 100.0 / total, 1))

@@ -507,10 +507,10 @@ over_model(
     "trip_scatter",
     lambda m: m.trips.select("vehicle_id", "trip_num", "distance_km", "fuel_efficiency_l_per_100km", "avg_speed_kph"),
 )
-over_model("kpi_row", lambda m: reports.kpi_row(m.scorecard, m.alerts, m.health, m.trips))
+over_model("kpi_row", lambda m: reports.kpi_row(m.trips, m.health))
 over_model(
     "kpi_row_customer",
-    lambda m: reports.kpi_row(*[reports.for_customer(t, TENANT) for t in (m.scorecard, m.alerts, m.health, m.trips)]),
+    lambda m: reports.kpi_row(*[reports.for_customer(t, TENANT) for t in (m.trips, m.health)]),
 )
 
 # ---- scalar functions ------------------------------------------------------------------------------
@@ -738,15 +738,10 @@ over_model(
 )
 
 
-def tenant_counts(m: FleetModel) -> DataFrame:
-    """Rows each role sees, for one admin and two tenants."""
-    roles = ["ACCOUNTADMIN", ROLE, "CUST_0002_ROLE"]
-    table = registry_of(m)
-    parts = [governance.rows_of_role(table, r).agg(F.lit(r).alias("role"), F.count("*").alias("n")) for r in roles]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-over_model("tenant_counts", tenant_counts)
+over_model(
+    "tenant_counts",
+    lambda m: governance.visible_counts(registry_of(m), ["ACCOUNTADMIN", ROLE, "CUST_0002_ROLE"]),
+)
 
 
 def driver_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
