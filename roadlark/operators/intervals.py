@@ -15,13 +15,15 @@ def interval_join(
     event_ts: str,
     start_ts: str,
     end_ts: str,
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = 86400,
 ) -> DataFrame:
     """Inner join on ``key`` and ``event_ts BETWEEN start_ts AND end_ts``.
 
     Joining on the key alone compares every event of a key with every interval of it.  Here an
     interval is listed once per time bucket it touches and the join is on (key, bucket): the cost
     is linear for disjoint intervals and a key that owns most events is spread over its buckets.
+    A bucket should be about as long as a typical interval: shorter ones list an interval more
+    often, longer ones compare an event with more intervals.
     """
 
     def bucket(column: str):

@@ -31,6 +31,11 @@ _AVERAGED = {"speed": "j1939_vehicle_speed_kph", "rpm": "j1939_engine_rpm", "loa
 _POSITION = ["gps_latitude", "gps_longitude"]
 
 
+def _trip_number() -> Column:
+    """Trips before the piece, plus the one its first reading opens, plus those opened inside."""
+    return F.col("trips_before") + F.col("opens").cast("bigint") + F.col("started_so_far")
+
+
 def _with_bucket(readings: DataFrame, bucket_seconds: int) -> DataFrame:
     return readings.where("event_ts IS NOT NULL").withColumn(
         "bucket", F.floor(epoch_seconds(F.col("event_ts")) / bucket_seconds)
@@ -41,6 +46,7 @@ def _ignition_flags(readings: DataFrame, bucket_seconds: int) -> DataFrame:
     """Flags that a piece can decide alone; ``first_in_piece`` marks what it cannot."""
     status = F.col("tel_ignition_status")
     in_order = Window.partitionBy(*_PIECE).orderBy("event_ts")
+    starts_inside = F.coalesce(F.col("is_on") & F.col("prev_rearms"), F.lit(False))
     flagged = _with_bucket(readings, bucket_seconds).withColumns(
         {
             "is_on": F.coalesce(status == "ON", F.lit(False)),
@@ -55,7 +61,14 @@ def _ignition_flags(readings: DataFrame, bucket_seconds: int) -> DataFrame:
             "prev_rearms": F.lag("rearms").over(in_order),
             "prev_customer": F.lag("customer_id").over(in_order),
         }
-    ).withColumn("starts_inside", F.coalesce(F.col("is_on") & F.col("prev_rearms"), F.lit(False)))
+    ).withColumns(
+        {
+            "starts_inside": starts_inside,
+            "started_so_far": F.sum(starts_inside.cast("bigint")).over(
+                in_order.rowsBetween(Window.unboundedPreceding, 0)
+            ),
+        }
+    )
 
 
 def _carry(rows: DataFrame, ts: str = "event_ts") -> DataFrame:
@@ -85,11 +98,10 @@ def ignition_transitions(readings: DataFrame, bucket_seconds: int = BUCKET_SECON
     flagged = _ignition_flags(readings.select(*columns), bucket_seconds)
     tagged = flagged.join(_carry(flagged), _PIECE)
     starts = F.when(F.col("first_in_piece"), F.col("opens")).otherwise(F.col("starts_inside"))
-    so_far = Window.partitionBy(*_PIECE).orderBy("event_ts").rowsBetween(Window.unboundedPreceding, 0)
-    return tagged.withColumn("trip_start_flag", starts.cast("bigint")).select(
+    return tagged.select(
         *columns,
-        "trip_start_flag",
-        F.when(F.col("is_on"), F.col("trips_before") + F.sum("trip_start_flag").over(so_far)).alias("trip_num"),
+        starts.cast("bigint").alias("trip_start_flag"),
+        F.when(F.col("is_on"), _trip_number()).alias("trip_num"),
     )
 
 
@@ -135,6 +147,7 @@ def trip_runs(readings: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> Data
         F.bool_or("is_on").alias("is_on"),
         F.bool_or("first_in_piece").alias("first_in_piece"),
         F.bool_or("starts_inside").alias("starts_inside"),
+        F.max("started_so_far").alias("started_so_far"),
         F.max_by("rearms", "event_ts").alias("rearms"),
         F.min("event_ts").alias("first_ts"),
         F.max("event_ts").alias("last_ts"),
@@ -146,13 +159,8 @@ def trip_runs(readings: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> Data
 
 
 def _numbered(runs: DataFrame) -> DataFrame:
-    so_far = Window.partitionBy(*_PIECE).orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
-    starts = F.col("starts_inside") | (F.col("first_in_piece") & F.col("opens"))
-    return (
-        runs.join(_carry(runs, "first_ts"), _PIECE)
-        .withColumn("trip_num", F.col("trips_before") + F.sum(starts.cast("bigint")).over(so_far))
-        .where("trip_num > 0")
-    )
+    numbered = runs.join(_carry(runs, "first_ts"), _PIECE).withColumn("trip_num", _trip_number())
+    return numbered.where("trip_num > 0")
 
 
 def _merged_trips(runs: DataFrame) -> DataFrame:

@@ -30,17 +30,11 @@ class IncrementalTables:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Add one increment.  Repeating an increment under the same id changes nothing."""
-        spark = self.spark
-        dated = batch.withColumn("event_date", F.to_date("event_ts"))
-        write_batch(latest_readings(dated), self._path("readings"), batch_id, ["event_date"])
-        # Only this increment's folder is read from here on to find the touched keys.
-        added = spark.read.parquet(f"{self._path('readings')}/batch_id={batch_id}").select(
-            "vehicle_id", "event_date", self._bucket().alias("_bucket")
-        )
+        added = self._add(batch, batch_id).select("vehicle_id", "event_date", self._bucket().alias("_bucket"))
         # Distinct calendar dates: bounded by time, and needed as literals to prune folders.
         dates = [row[0] for row in added.select("event_date").distinct().collect()]
         log = (
-            read_log(spark, self._path("readings"))
+            read_log(self.spark, self._path("readings"))
             .where(F.col("event_date").isin(dates) & (F.col("batch_id") <= batch_id))
             .withColumn("_bucket", self._bucket())
         )
@@ -49,10 +43,24 @@ class IncrementalTables:
             """Current readings of the touched keys; the keys are cut out before the shuffle."""
             return latest_readings(log.join(added.select(*keys).distinct(), list(keys), "left_semi"))
 
-        daily = facts.fact_vehicle_daily(touched("vehicle_id", "event_date"))
-        write_batch(daily, self._path("daily"), batch_id)
-        runs = trips.trip_runs(touched("vehicle_id", "event_date", "_bucket"), self.bucket_seconds)
-        write_batch(runs, self._path("runs"), batch_id)
+        self._derive(
+            touched("vehicle_id", "event_date"), touched("vehicle_id", "event_date", "_bucket"), batch_id
+        )
+
+    def load(self, rows: DataFrame, batch_id: int = 0) -> None:
+        """First increment: with nothing to merge, its own readings are the current ones."""
+        current = self._add(rows, batch_id)
+        self._derive(current, current, batch_id)
+
+    def _add(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Write the increment's newest deliveries; returns them as read back from its folder."""
+        dated = batch.withColumn("event_date", F.to_date("event_ts"))
+        write_batch(latest_readings(dated), self._path("readings"), batch_id, ["event_date"])
+        return self.spark.read.parquet(f"{self._path('readings')}/batch_id={batch_id}")
+
+    def _derive(self, days: DataFrame, pieces: DataFrame, batch_id: int) -> None:
+        write_batch(facts.fact_vehicle_daily(days), self._path("daily"), batch_id)
+        write_batch(trips.trip_runs(pieces, self.bucket_seconds), self._path("runs"), batch_id)
 
     def readings(self) -> DataFrame:
         return latest_readings(read_log(self.spark, self._path("readings"))).drop("batch_id", "event_date")

@@ -179,13 +179,14 @@ def file_listing(spark, sf_dir):
 
 @query
 def refresh_incremental(spark, sf_dir):
-    """Three increments by ingest time, out of event order, through the refresh."""
+    """A first load and two increments by ingest time, out of event order."""
     built = IncrementalTables(spark, work_folder(spark, "refresh"))
     raw = landing(spark, sf_dir)
     cuts = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in (11, 21)]
     ts = F.col("ingest_ts")
-    for number, part in enumerate([ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]):
-        built.apply(raw.where(part), number)
+    built.load(raw.where(ts < cuts[0]))
+    built.apply(raw.where((ts >= cuts[0]) & (ts < cuts[1])), 1)
+    built.apply(raw.where(ts >= cuts[1]), 2)
     return built.fact_vehicle_daily()
 
 
