@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import mixing
+from roadlark.llm import mixing, ngram_join
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,8 @@ def query(function: Query) -> Query:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
