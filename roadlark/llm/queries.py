@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import mixing, ngram_join, pages, topk
+from roadlark.llm import chunks, mixing, ngram_join, pages, topk
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query
 def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.summary(table(spark, sf_dir, "documents"))
