@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import chunks, mixing, ngram_join, pages, topk
+from roadlark.llm import chunks, mixing, ngram_join, pages, secrets, topk
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.summary(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
