@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import chunks, mixing, ngram_join, pages, secrets, topk
+from roadlark.llm import chunks, mixing, ngram_join, pages, quality, secrets, topk
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,10 @@ def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.classify(documents, labels)
+    return scored.select("doc_id", "quality", "harmless", "keep")
