@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import chunks, mixing, ngram_join, pages, quality, secrets, topk
+from roadlark.llm import chunks, decontaminate, mixing, ngram_join, pages, quality, secrets, topk
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.classify(documents, labels)
     return scored.select("doc_id", "quality", "harmless", "keep")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(documents, benchmark)
