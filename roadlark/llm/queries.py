@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlark.llm import chunks, decontaminate, mixing, ngram_join, pages, quality, secrets, topk
+from roadlark.llm import (
+    chunks,
+    decontaminate,
+    licenses,
+    mixing,
+    ngram_join,
+    pages,
+    quality,
+    secrets,
+    topk,
+)
 from roadlark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +91,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(documents, benchmark)
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
