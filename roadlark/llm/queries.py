@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadlark.llm import (
     chunks,
@@ -15,6 +16,7 @@ from roadlark.llm import (
     pages,
     quality,
     secrets,
+    suffixes,
     topk,
 )
 from roadlark.llm.common import table
@@ -96,3 +98,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.removed(texts).select(
+        F.col("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
