@@ -86,6 +86,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values, by sorting: faster than hashing for whole numbers."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def constants(count: int, seed: int) -> np.ndarray:
     """Odd 64-bit numbers from a seed."""
     with np.errstate(over="ignore"):

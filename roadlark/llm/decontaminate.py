@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlark.llm.common import RollingSums, Scratch, constants, mix, slices, utf8
+from roadlark.llm.common import RollingSums, Scratch, constants, distinct, mix, slices, utf8
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.55
@@ -35,7 +35,7 @@ LEAST_WORDS = 5
 # One index holds items of so many bytes; more items take several passes over the documents.
 INDEX_BYTES = 16 << 20
 BLOCK = 256
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _WORD_BYTE = np.array(
     [48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)]
@@ -75,21 +75,24 @@ def halves(text: str) -> tuple[str, str]:
 
 @dataclass
 class Block:
-    """Postings of one block of items by term: items from ``cut[t]`` to ``cut[t + 1]``."""
+    """Postings of one block of items by term: items from ``cut[t]`` to ``cut[t + 1]``.
+
+    ``often`` holds the weights of the frequent terms once more, as a row per term.
+    """
 
     cut: np.ndarray
     item: np.ndarray
     weight: np.ndarray
     largest: np.ndarray
+    often: np.ndarray
 
 
 @dataclass
 class Index:
     ids: np.ndarray
     terms: np.ndarray  # sorted hashes
-    often: np.ndarray  # is the term walked at the end only
+    often: np.ndarray  # number among the frequent terms, or -1
     blocks: list[Block]
-    weights: list[tuple[np.ndarray, np.ndarray]]  # (terms, weights) of each item
     parts: list[tuple[np.ndarray, np.ndarray]]  # word pairs of its question and its answer
     span: int  # words of the longest item
 
@@ -110,6 +113,9 @@ def build(rows: list[tuple[int, str]], frequency: dict[int, int], total: int, me
         return None
     terms = np.unique(np.concatenate([x[1] for x in items]))
     number = [np.searchsorted(terms, x[1]) for x in items]
+    lists = np.bincount(np.concatenate(number), minlength=len(terms))
+    frequent = lists > max(4, len(items) // 32)
+    often = np.where(frequent, np.cumsum(frequent) - 1, -1)
     blocks = []
     for begin in range(0, len(items), BLOCK):
         some = range(begin, min(begin + BLOCK, len(items)))
@@ -120,14 +126,14 @@ def build(rows: list[tuple[int, str]], frequency: dict[int, int], total: int, me
         largest = np.zeros(len(terms))
         np.maximum.at(largest, term, weight)
         cut = np.searchsorted(term[order], np.arange(len(terms) + 1))
-        blocks.append(Block(cut, item[order], weight[order], largest))
-    lists = np.bincount(np.concatenate(number), minlength=len(terms))
+        dense = np.zeros((int(frequent.sum()), BLOCK), np.float32)
+        dense[often[term][frequent[term]], item[frequent[term]]] = weight[frequent[term]]
+        blocks.append(Block(cut, item[order], weight[order], largest, dense))
     return Index(
         np.array([x[0] for x in items], np.int64),
         terms,
-        lists > max(4, len(items) // 32),
+        often,
         blocks,
-        [(n, x[2]) for n, x in zip(number, items)],
         [x[3] for x in items],
         max(x[4] for x in items),
     )
@@ -138,13 +144,11 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, count: int, th
 
     ``passage`` and ``term`` are the distinct pairs, sorted, of ``count`` passages.
     """
-    of = np.searchsorted(passage, np.arange(count + 1))
+    often = index.often[term] >= 0
     for number, block in enumerate(index.blocks):
         bound = np.bincount(passage, weights=block.largest[term], minlength=count)
         if not (bound >= threshold).any():
             continue
-        often = index.often[term]
-        rest = np.bincount(passage[often], weights=block.largest[term[often]], minlength=count)
         walk = ~often & (bound >= threshold)[passage]
         p, t = passage[walk], term[walk]
         size = block.cut[t + 1] - block.cut[t]
@@ -153,16 +157,17 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, count: int, th
         cell = np.repeat(p, size) * BLOCK + block.item[at]
         score = np.bincount(cell, weights=block.weight[at], minlength=count * BLOCK)
         score = score.reshape(count, BLOCK)
-        # Even an item without any walked term, if the frequent ones could do alone.
-        close = (score >= (threshold - 1e-9) - rest[:, None]) & (bound >= threshold)[:, None]
-        for i, j in zip(*np.nonzero(close)):
-            k = number * BLOCK + j
-            if k < len(index.ids):
-                mine, weight = index.weights[k]
-                there = np.isin(mine, term[of[i] : of[i + 1]], assume_unique=True)
-                full = float(weight[there].sum())
-                if full >= threshold:
-                    yield int(i), int(k), full
+        # What the frequent terms can add at most decides whether they are looked at.
+        rest = np.bincount(passage[often], weights=block.largest[term[often]], minlength=count)
+        close = np.flatnonzero((score.max(axis=1) + rest >= threshold) & (bound >= threshold))
+        place = np.full(count, -1)
+        place[close] = np.arange(len(close))
+        held = np.zeros((len(close), len(block.often)), np.float32)
+        some = often & (place[passage] >= 0)
+        held[place[passage[some]], index.often[term[some]]] = 1
+        full = score[close] + held @ block.often
+        for i, j in zip(*np.nonzero(full >= threshold)):
+            yield int(close[i]), int(number * BLOCK + j), float(full[i, j])
 
 
 def share(part: np.ndarray, passage: np.ndarray) -> float:
@@ -195,7 +200,7 @@ def matches(index: Index, texts, threshold: float, overlap: float):
     one = np.minimum(one, two)
     use = known >= 0
     both = np.concatenate((one[use], two[use])) * len(index.terms) + np.tile(known[use], 2)
-    both = np.unique(both)
+    both = distinct(both)
     passage, term = both // len(index.terms), both % len(index.terms)
     best: dict[tuple[int, int], tuple] = {}
     for p, k, score in retrieve(index, passage, term, total, threshold):
