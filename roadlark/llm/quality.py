@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlark.llm.common import RollingSums, Scratch, slices, utf8
+from roadlark.llm.common import RollingSums, Scratch, distinct, slices, utf8
 
 # Bounds of what is fetched to train: documents for the scorer, labelled documents and entries
 # of the learned word list.  Votes, their accuracies and scores cover all documents.
@@ -28,7 +28,7 @@ SHARE = 0.02
 # Weight of documents without a person's label beside those with one.
 LIGHT = 0.05
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
 CELLS = 1 << 18
 RESERVED = 1024
 BAD, GOOD, NONE = 0, 1, 2
@@ -73,11 +73,16 @@ def hashes(words: list[str]) -> np.ndarray:
 
 
 def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted array ``known``."""
+    """Indices of the values that are in the sorted array ``known``."""
     if not len(known):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[at] == values
+        return np.empty(0, np.int64)
+    known = known.astype(values.dtype)
+    # Most values are ruled out by sixteen of their bits.
+    low = np.zeros(1 << 16, bool)
+    low[(known & known.dtype.type(0xFFFF)).astype(np.int64)] = True
+    some = np.flatnonzero(low[values.astype(np.uint16)])
+    at = np.minimum(np.searchsorted(known, values[some]), len(known) - 1)
+    return some[known[at] == values[some]]
 
 
 class Profile:
@@ -86,21 +91,24 @@ class Profile:
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         self.count = n = len(offsets) - 1
 
+        text = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
+
         def per_text(flags):
-            sums = np.concatenate(([0], np.cumsum(flags)))
-            return (sums[offsets[1:]] - sums[offsets[:-1]]).astype(float)
+            return np.bincount(text[np.flatnonzero(flags)], minlength=n).astype(float)
 
         raw = ~((data == 32) | ((data >= 9) & (data <= 13)))
         start, end, owner = cuts(raw, offsets)
         sums = _ROLLING.sums(data)
         word = _ROLLING.ranges(sums, start, end)
-        symbol = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
+        symbol = np.flatnonzero(_SYMBOL[data])
+        marked = distinct(np.searchsorted(start, symbol, "right") - 1)
         again = np.zeros(len(word), bool)
         again[1:] = (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])
         self.words = words = np.bincount(owner, minlength=n).astype(float)
         some = np.maximum(words, 1)
-        pairs = np.unique(np.stack([owner.astype(np.uint64), word]), axis=1)
-        new = pairs[0].astype(np.int64)
+        # Words are told apart by 40 bits within a text.
+        new = distinct((owner.astype(np.uint64) << np.uint64(40)) | (word >> np.uint64(24)))
+        new = (new >> np.uint64(40)).astype(np.int64)
         upper = per_text((data >= 65) & (data <= 90))
         lower = per_text(((data >= 97) & (data <= 122)) | (data >= 192))
         size = np.maximum(np.diff(offsets), 1)
@@ -112,13 +120,13 @@ class Profile:
         known = np.bincount(self.owner[member(self.word, _FUNCTION)], minlength=n)
         self.stats = np.stack(
             [
-                np.bincount(owner[symbol[end] > symbol[start]], minlength=n) / some,
+                np.bincount(owner[marked], minlength=n) / some,
                 upper / np.maximum(upper + lower, 1),
                 np.bincount(owner[again], minlength=n) / some,
                 per_text(data == 33) / some,
                 known / letters,
                 np.bincount(owner, weights=end - start, minlength=n) / some,
-                per_text(_SYMBOL[data]) / size,
+                np.bincount(text[symbol], minlength=n) / size,
                 np.bincount(new, minlength=n) / np.minimum(some, 200),
             ],
             axis=1,
@@ -129,23 +137,20 @@ class Profile:
         for k in range(5):
             self.start = (self.start << np.uint64(8)) | folded[first + k].astype(np.uint64)
         self.start_owner = self.owner[long]
-        four = folded.astype(np.uint32)
-        piece = np.zeros(max(len(four) - 3, 0), np.uint32)
-        inside = np.ones(len(piece), bool)
-        for k in range(4):
-            part = four[k : k + len(piece)]
-            piece = (piece << np.uint32(8)) | part
-            inside &= part != 32
+        letter = folded != 32
+        inside = letter[:-3] & letter[1:-2] & letter[2:-1] & letter[3:]
+        inside &= text[:-3] == text[3:]
         at = np.flatnonzero(inside)
-        home = np.searchsorted(offsets, at, "right") - 1
-        whole = at + 4 <= offsets[home + 1]
-        self.piece, self.home = piece[at[whole]], home[whole]
+        four = folded.astype(np.uint32)
+        piece = (four[:-3] << np.uint32(24)) | (four[1:-2] << np.uint32(16))
+        piece |= (four[2:-1] << np.uint32(8)) | four[3:]
+        self.piece, self.home = piece[at], text[at]
 
     def found(self):
         """(values, text of each): words, their starts of five bytes, all their pieces."""
         yield self.word, self.owner
         yield self.start, self.start_owner
-        yield self.piece.astype(np.uint64), self.home
+        yield self.piece, self.home
 
     def votes(self, learned: list[np.ndarray]):
         """(form votes, abuse votes): one row per text; ``learned``: entries as from ``found``."""
@@ -179,18 +184,27 @@ class Profile:
         return tuple(np.where(silent[:, None], NONE, np.stack(v, axis=1)) for v in (form, abuse))
 
     def form_features(self):
-        """For each text its cells for the form: bins of the statistics, alone and two by two."""
+        """The cells of each text for its form: bins of the statistics, alone and two by two."""
         kinds = self.stats.shape[1]
         bins = np.searchsorted(EDGES, self.stats) + 16 * np.arange(kinds)
         a, b = np.triu_indices(kinds, 1)
         pairs = (bins[:, a] * 16 * kinds + bins[:, b]).astype(np.uint64)
-        return list(np.concatenate((bins, spread(pairs)), axis=1))
+        return np.concatenate((bins, spread(pairs)), axis=1)
 
     def abuse_features(self):
-        """For each text its cells for abuse: the pieces of its words."""
+        """The cells of each text for abuse: the pieces of its words."""
         cell = spread(self.piece.astype(np.uint64))
         cut = np.searchsorted(self.home, np.arange(self.count + 1))
-        return [np.unique(cell[cut[i] : cut[i + 1]]) for i in range(self.count)]
+        return [distinct(cell[cut[i] : cut[i + 1]]) for i in range(self.count)]
+
+    def scores(self, form: np.ndarray, abuse: np.ndarray):
+        """(sum of form weights, sum of abuse weights) of each text."""
+        cell = spread(self.piece.astype(np.uint64))
+        some = np.flatnonzero(abuse[cell] != 0)  # most weights are zero
+        pair = distinct(self.home[some].astype(np.int64) * CELLS + cell[some])
+        home, cell = pair // CELLS, pair % CELLS
+        total = np.bincount(home, weights=abuse[cell], minlength=self.count)
+        return form[self.form_features()].sum(axis=1), total
 
 
 def spread(values: np.ndarray) -> np.ndarray:
@@ -229,8 +243,11 @@ def learned(documents: DataFrame, sample: DataFrame, entries: int):
             found = []
             for i, j, p in profiles(batch.column(0)):
                 for kind, (values, owner) in enumerate(p.found()):
-                    pair = np.unique(np.stack([values, owner.astype(np.uint64)]), axis=1)
-                    found.append((kind, pair[0], toxic[i:j][pair[1].astype(np.int64)]))
+                    value, code = np.unique(values, return_inverse=True)
+                    pair = np.unique(code.astype(np.int64) * p.count + owner)
+                    found.append(
+                        (kind, value[pair // p.count].astype(np.uint64), toxic[i:j][pair % p.count])
+                    )
             for kind in range(3):
                 mine = [(v, b) for k, v, b in found if k == kind]
                 value = np.concatenate([v for v, _ in mine] or [np.empty(0, np.uint64)])
@@ -397,7 +414,7 @@ def classify(
     """
     plain = documents.drop("quality", "harmless", "keep")
     (form, form_bias), (abuse, abuse_bias) = trained(plain, labels, training_rows, labelled_rows)
-    both = np.stack([form, abuse]).astype(np.float32)
+    both = np.stack([form, abuse])
     shared = documents.sparkSession.sparkContext.broadcast(both)  # CELLS numbers each
     bias = np.array([form_bias, abuse_bias])
     at = plain.columns.index("text")
@@ -406,9 +423,8 @@ def classify(
         for batch in batches:
             scores = np.zeros((batch.num_rows, 2))
             for i, j, p in profiles(batch.column(at)):
-                for k, rows in enumerate((p.form_features(), p.abuse_features())):
-                    total = np.array([shared.value[k][c].sum(dtype=float) for c in rows])
-                    scores[i:j, k] = 1 / (1 + np.exp(-np.clip(total + bias[k], -50, 50)))
+                total = np.stack(p.scores(*shared.value), axis=1) + bias
+                scores[i:j] = 1 / (1 + np.exp(-np.clip(total, -50, 50)))
                 scores[i:j][p.words == 0] = (0, 1)
             keep = (scores >= (threshold, least_harmless)).all(axis=1)
             columns = [*batch.columns, *(pa.array(c) for c in (scores[:, 0], scores[:, 1], keep))]
