@@ -50,6 +50,14 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

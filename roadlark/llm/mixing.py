@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlark.llm.common import WORD, Scratch
+from roadlark.llm.common import WORD, Scratch, unused
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -74,10 +74,11 @@ def mix(documents: DataFrame, seed: int = 7) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = plain.withColumn("size", size)
     sources = scratch.keep(with_targets(scratch.keep(source_sizes(sized))))
-    small = sources.select(F.col("source").alias("_source"), "source_size", "target")
+    key = unused("_source", sized)
+    small = sources.select(F.col("source").alias(key), "source_size", "target")
     # One row per source: Spark broadcasts them while its size estimate allows, else it shuffles
     # and splits a source that has a large share of the rows.
-    joined = sized.join(small, sized["source"].eqNullSafe(small["_source"])).drop("_source")
+    joined = sized.join(small, sized["source"].eqNullSafe(small[key])).drop(key)
     empty = F.col("source_size") == 0
     rate = F.when(empty, 0.0).otherwise(F.col("target") / F.col("source_size"))
     more = draw(F.col("doc_id"), seed) < rate - F.floor(rate)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlark.llm.common import RollingSums, Scratch, mix, parts, slices, utf8
+from roadlark.llm.common import RollingSums, Scratch, mix, parts, slices, unused, utf8
 
 LENGTH = 400
 # The piece is so much shorter than the strings; anchors stand some fifty bytes apart.
@@ -369,11 +369,12 @@ def removed(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) ->
     """
     names = ["n_bytes", "n_removed", "n_spans", "kept"]
     plain = documents.drop(*names)
-    spans = repeats(plain, length, spread).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list(F.struct("variant", "start", "size")).alias("_spans")
+    key, lists = unused("_key", plain), unused("_spans", plain)
+    spans = repeats(plain, length, spread).groupBy(F.col("doc_id").alias(key)).agg(
+        F.collect_list(F.struct("variant", "start", "size")).alias(lists)
     )
     home = F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY))
-    joined = plain.join(spans, home == F.col("_doc"), "left").drop("_doc")
+    joined = plain.withColumn(key, home).join(spans, key, "left").select(*plain.columns, lists)
     before = plain.columns
     at = before.index("text")
 
