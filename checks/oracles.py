@@ -66,9 +66,23 @@ BLOCKS["copies"] = (
     f"SELECT t.*, c.copy_no, {ev.LOAD} AS load, {ev.SPEED} AS speed FROM timed t, (VALUES (0), (1)) c(copy_no)"
     " WHERE c.copy_no = 0 OR t.event_id % 20 = 0"
 )
+def seven(number: str) -> str:
+    """Seven digits at least, written with printf: longer numbers are not cut."""
+    return f"printf('%07d', {number})"
+
+
+# Keys and names are stated anew; the sensor formulas are the definition of the synthetic data.
+OWN_FIELDS = {
+    "vehicle_id": f"'VH_' || {seven('user_id')}",
+    "device_id": f"'DEV_' || {seven('user_id')}",
+    "customer_id": (
+        "CASE WHEN user_id % 50 = 17 AND event_id % 3 = 0 THEN 'CUST_9999'"
+        " ELSE printf('CUST_%04d', user_id % 20 + 1) END"
+    ),
+}
 BLOCKS["raw"] = (
     f"SELECT {ev.OFFSET} AS offs, user_id % 10 AS part_no, event_id, "
-    + ", ".join(f"{ev.FIELDS[n]} AS {n}" for n in schema.names(schema.ALL_FIELDS))
+    + ", ".join(f"{OWN_FIELDS.get(n, ev.FIELDS[n])} AS {n}" for n in schema.names(schema.ALL_FIELDS))
     + ", ts + to_seconds((event_id * 7919) % 50000 + copy_no * 3600) AS ingest_ts FROM copies"
 )
 BLOCKS["reading"] = (
@@ -260,16 +274,16 @@ SELECT v.customer_id, v.customer_name, v.vehicle_id, v.device_id, v.first_seen_t
   'driver_' || lower(replace(v.vehicle_id, 'VH_', '')) || '@fleet.example' AS driver_email
 FROM vehicle v JOIN policy p ON p.customer_id = v.customer_id"""
 BLOCKS["profile"] = """
-SELECT 'D-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS driver_id, c_name AS driver_name,
-  '+91-98' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone, 'DL-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS license_no,
-  'VIN' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS vin, r_name AS dealer_region
+SELECT printf('D-%07d', c_custkey) AS driver_id, c_name AS driver_name, printf('+91-98%07d', c_custkey) AS phone,
+  printf('DL-%07d', c_custkey) AS license_no, printf('VIN%07d', c_custkey) AS vin, r_name AS dealer_region
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"""
 BLOCKS["onroad"] = f"""
 SELECT r.*, s.segment_id, s.route_name, s.highway, s.from_city, s.to_city, s.segment_km
 FROM reading r JOIN segment s ON {cell('r.gps_latitude', 'r.gps_longitude', 7)} = {cell('s.mid_lat', 's.mid_lon', 7)}"""
 BLOCKS["message"] = """
 SELECT *, CASE WHEN offs % 86 = 4 THEN 'message is not a JSON object' WHEN offs % 86 = 8 THEN 'record_content is missing'
-  WHEN offs % 86 = 12 THEN 'record_content has no vehicle_id' END AS error FROM raw"""
+  WHEN offs % 86 = 12 THEN 'record_content has no vehicle_id'
+  WHEN offs % 86 = 16 THEN 'unreadable value in gps_altitude_m: high' END AS error FROM raw"""
 BLOCKS["judged"] = f"""
 SELECT r.*, coalesce(r.event_ts < TIMESTAMP '{RETENTION_AS_OF}' - to_days(CAST(p.raw_retention_days AS INT)), FALSE) AS gone
 FROM raw r LEFT JOIN policy p ON p.customer_id = r.customer_id"""
@@ -280,10 +294,10 @@ BLOCKS["lexicon"] = "SELECT * FROM (VALUES " + ", ".join(
     "('{}', {}e0)".format(*line.split()) for line in LEXICON.strip().splitlines()
 ) + ") l(word, score)"
 BLOCKS["token"] = """
-SELECT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS word FROM documents"""
+SELECT doc_id, lower(unnest(regexp_extract_all(text, '\\p{L}[\\p{L}\\p{M}]*'))) AS word FROM documents"""
 BLOCKS["sentence"] = r"""
 SELECT doc_id, pos - 1 AS pos, trim(parts[pos]) AS sentence,
-  list_transform(regexp_extract_all(parts[pos], '[A-Za-z]+'), lambda w: lower(w)) AS ws
+  list_transform(regexp_extract_all(parts[pos], '\p{L}[\p{L}\p{M}]*'), lambda w: lower(w)) AS ws
 FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos
       FROM (SELECT doc_id, string_split_regex(text, '[.!?\n]+') AS parts FROM documents))"""
 
@@ -308,7 +322,9 @@ BODIES: dict[str, str] = {}
 
 ALL = ", ".join(schema.names(schema.ALL_FIELDS))
 PHASE = "CASE WHEN ingest_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'phase 1' ELSE 'phase 2' END"
-BODIES["flatten_event"] = f'SELECT offs AS "offset", {ALL}, ingest_ts FROM message WHERE error IS NULL'
+BODIES["flatten_event"] = f"""
+SELECT offs AS "offset", CASE WHEN offs % 86 = 32 THEN '{{"headers":{{"a":[1,"x"]}},"push time":7}}' END AS other_metadata,
+  {ALL}, ingest_ts FROM message WHERE error IS NULL"""
 LETTER = "error AS error_message, 'VEHICLE_TELEMETRY' AS source_topic, part_no AS source_partition, ingest_ts AS dlq_ingest_ts"
 BODIES["dlq_split"] = f"SELECT {LETTER} FROM message WHERE error IS NOT NULL"
 BODIES["dlq_by_key"] = f"""
@@ -322,6 +338,15 @@ SELECT vehicle_id, count(*) AS total,
   count(j1939_tyre_pressure_front_left_kpa) FILTER (ingest_ts >= TIMESTAMP '2024-01-16 00:00:00') AS evolved,
   count(j1939_def_level_pct) FILTER (ingest_ts >= TIMESTAMP '2024-01-16 00:00:00') AS with_def_level
 FROM raw GROUP BY vehicle_id"""
+EVOLVED = {
+    n: f"CASE WHEN ingest_ts >= TIMESTAMP '2024-01-16 00:00:00' THEN {n} END AS {n}"
+    for n in schema.names(schema.EVOLVED_FIELDS)
+}
+BODIES["evolved_table"] = (
+    'SELECT offs AS "offset", '
+    + ", ".join(EVOLVED.get(n, n) for n in schema.names(schema.ALL_FIELDS))
+    + ", ingest_ts FROM raw"
+)
 BODIES["evolution_coverage"] = (
     "SELECT count(*) AS total, count(j1939_tyre_pressure_front_left_kpa) AS evolved FROM raw"
 )
@@ -635,13 +660,14 @@ SELECT d.doc_id, count(t.word) AS word_count, count(l.word) AS scored_words,
   coalesce(sum(l.score) / nullif(count(l.word), 0), 0e0) AS sentiment_score
 FROM documents d LEFT JOIN token t ON t.doc_id = d.doc_id LEFT JOIN lexicon l ON l.word = t.word GROUP BY d.doc_id"""
 BODIES["text_summary"] = """
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(s.summary, '') END AS summary FROM documents d LEFT JOIN (
 SELECT doc_id, string_agg(sentence, '. ' ORDER BY pos) AS summary FROM (
   SELECT w.doc_id, w.pos, w.sentence, sum(f.n) / count(*) AS weight
   FROM (SELECT doc_id, pos, sentence, unnest(ws) AS word FROM sentence) w
   JOIN (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM sentence) GROUP BY ALL) f
     ON f.doc_id = w.doc_id AND f.word = w.word
   GROUP BY w.doc_id, w.pos, w.sentence
-  QUALIFY row_number() OVER (PARTITION BY w.doc_id ORDER BY weight DESC, w.pos) <= 2) GROUP BY doc_id"""
+  QUALIFY row_number() OVER (PARTITION BY w.doc_id ORDER BY weight DESC, w.pos) <= 2) GROUP BY doc_id) s ON s.doc_id = d.doc_id"""
 BODIES["structured_extract"] = """
 SELECT event_id, CASE WHEN ok THEN CASE event_id % 4 WHEN 0 THEN 'Wet' WHEN 1 THEN 'Potholed' ELSE 'Dry' END END AS road_condition,
   CASE WHEN ok THEN CASE WHEN event_id % 3 = 0 THEN 'Rain' ELSE 'Clear' END END AS weather,

@@ -11,25 +11,35 @@ from roadlark.functions.geo import EARTH_RADIUS_KM, geo_cell, haversine_km
 from roadlark.functions.timing import month_start
 from roadlark.sources.masters import CellFunction
 
-FENCE_CELL_DEGREES = 0.5
-_COLUMNS_ROUND_EARTH = round(360 / FENCE_CELL_DEGREES)
+# Cells per great circle are powers of two, from 1.4 degrees down to about 150 metres.
+COARSEST, FINEST = 8, 18
 
 
-def _cell_x(lon: Column) -> Column:
-    return F.pmod(F.floor(lon / FENCE_CELL_DEGREES), F.lit(_COLUMNS_ROUND_EARTH))
+def cell_degrees(radius_km: float | None) -> float:
+    """The cell for fences of about this radius: a fence then touches a few cells, and a cell holds
+    few fences that a point in it is not near to."""
+    if not radius_km or radius_km <= 0:
+        return 360 / 2**FINEST
+    reach = math.degrees(2 * radius_km / EARTH_RADIUS_KM)
+    return 360 / 2 ** min(max(math.floor(math.log2(360 / reach)), COARSEST), FINEST)
 
 
-def _cell_y(lat: Column) -> Column:
-    return F.floor(lat / FENCE_CELL_DEGREES)
+def _cell_x(lon: Column, degrees: float) -> Column:
+    return F.pmod(F.floor(lon / degrees), F.lit(round(360 / degrees)))
 
 
-def fence_cells(fences: DataFrame) -> DataFrame:
+def _cell_y(lat: Column, degrees: float) -> Column:
+    return F.floor(lat / degrees)
+
+
+def fence_cells(fences: DataFrame, degrees: float) -> DataFrame:
     """One row per fence and grid cell its circle may touch.
 
     The latitude band is the angular radius; the longitude band is the exact half-width of a
     spherical cap, or the whole circle of latitude when the cap reaches a pole.  Both get a small
     margin, so a point on the rim is never missed; the exact distance test comes after the join.
     """
+    around = round(360 / degrees)
     angle = F.col("radius_km") / EARTH_RADIUS_KM + 1e-9
     lat = F.radians("latitude")
     lat_reach = F.degrees(angle) + 1e-6
@@ -37,28 +47,36 @@ def fence_cells(fences: DataFrame) -> DataFrame:
     lon_reach = F.when(over_pole, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), F.sin(angle) / F.cos(lat)))) + 1e-6
     )
-    west, east = (F.floor((F.col("longitude") + s * lon_reach) / FENCE_CELL_DEGREES) for s in (-1, 1))
-    columns = F.sequence(west, F.least(east, west + _COLUMNS_ROUND_EARTH - 1))
-    rows = F.sequence(_cell_y(F.col("latitude") - lat_reach), _cell_y(F.col("latitude") + lat_reach))
+    west, east = (F.floor((F.col("longitude") + s * lon_reach) / degrees) for s in (-1, 1))
+    columns = F.sequence(west, F.least(east, west + around - 1))
+    south, north = (_cell_y(F.col("latitude") + s * lat_reach, degrees) for s in (-1, 1))
     return (
-        fences.select("*", F.explode(rows).alias("_y"), columns.alias("_columns"))
+        fences.select("*", F.explode(F.sequence(south, north)).alias("_y"), columns.alias("_columns"))
         .select("*", F.explode("_columns").alias("_column"))
-        .withColumn("_x", F.pmod("_column", F.lit(_COLUMNS_ROUND_EARTH)))
+        .withColumn("_x", F.pmod("_column", F.lit(around)))
         .drop("_columns", "_column")
     )
 
 
-def fences_around(points: DataFrame, fences: DataFrame, lat: str, lon: str, how: str = "inner") -> DataFrame:
+def fences_around(
+    points: DataFrame, fences: DataFrame, lat: str, lon: str, how: str = "inner", degrees: float | None = None
+) -> DataFrame:
     """Each point with every fence that holds it, plus ``distance_km``.
 
+    The grid's cell follows the fences: its default comes from their median radius, or from the
+    largest one where that would touch very many cells; ``degrees`` sets it.
+
     An equi join on grid cells with the exact distance as residual condition.  Spark broadcasts
     the fences while their size is below its threshold and otherwise shuffles on the cell, where
     AQE splits a cell that holds too many points.
     """
+    if degrees is None:
+        usual, largest = fences.select(F.median("radius_km"), F.max("radius_km")).first()
+        degrees = cell_degrees(max(usual or 0, (largest or 0) / 32))
     cells = fence_cells(
-        fences.select("geofence_id", "city_name", "latitude", "longitude", "radius_km")
+        fences.select("geofence_id", "city_name", "latitude", "longitude", "radius_km"), degrees
     ).withColumnsRenamed({"latitude": "_fence_lat", "longitude": "_fence_lon"})
-    located = points.withColumns({"_px": _cell_x(F.col(lon)), "_py": _cell_y(F.col(lat))})
+    located = points.withColumns({"_px": _cell_x(F.col(lon), degrees), "_py": _cell_y(F.col(lat), degrees)})
     distance = haversine_km(F.col(lat), F.col(lon), F.col("_fence_lat"), F.col("_fence_lon"))
     near = (
         (F.col("_px") == F.col("_x")) & (F.col("_py") == F.col("_y")) & (distance <= F.col("radius_km"))

@@ -5,7 +5,10 @@ These stand in for hosted language models: same inputs and result shape, transpa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words of praise (+1) and complaint (-1).
@@ -38,37 +41,35 @@ ANSWER = (
 )
 
 
-def lexicon(spark: SparkSession) -> DataFrame:
-    """As literal rows, so that Spark knows their size and can broadcast them."""
-    rows = ", ".join("('{}', {}D)".format(*line.split()) for line in LEXICON.strip().splitlines())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, score)")
+def lexicon() -> dict[str, float]:
+    rows = (line.split() for line in LEXICON.strip().splitlines())
+    return {word: float(score) for word, score in rows}
 
 
 def words(text: Column) -> Column:
-    """Runs of ASCII letters, lower-cased."""
-    return F.transform(F.regexp_extract_all(text, F.lit("([A-Za-z]+)")), F.lower)
+    """Runs of letters of any script, with their combining marks, lower-cased."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}[\p{L}\p{M}]*)")), F.lower)
 
 
-def sentiment(docs: DataFrame, scores: DataFrame, key: str, text: str) -> DataFrame:
-    """Mean score of the scored words of each text, 0 when there are none.
+def sentiment(docs: DataFrame, scores: dict[str, float], key: str, text: str) -> DataFrame:
+    """Mean score of the scored words of each text, 0 when there are none; one row per text.
 
-    The words of a text are never shuffled while the lexicon fits Spark's broadcast threshold: the
-    map-side aggregate leaves one row per text.
+    The lexicon is a literal map, so a text is scored where it stands, without any shuffle.
     """
-    tokens = docs.select(key, F.explode_outer(words(F.col(text))).alias("word"))
+    table = F.create_map(*(F.lit(x) for pair in scores.items() for x in pair))
+    found = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
+    known = F.array_intersect("_words", F.array(*map(F.lit, scores)))
+    # Only words of the lexicon are looked up, so a long text costs one pass.
+    hits = F.when(F.size(known) > 0, F.filter("_words", lambda w: F.array_contains(known, w)))
+    total = F.aggregate("_hits", F.lit(0.0), lambda sum_, w: sum_ + F.element_at(table, w))
     return (
-        tokens.join(scores, "word", "left")
-        .groupBy(key)
-        .agg(
-            F.count("word").alias("word_count"),
-            F.count("score").alias("scored_words"),
-            F.sum("score").alias("_sum"),
-        )
+        docs.select(key, found.alias("_words"))
+        .select(key, "_words", F.coalesce(hits, F.array().cast("array<string>")).alias("_hits"))
         .select(
             key,
-            "word_count",
-            "scored_words",
-            F.coalesce(F.try_divide("_sum", "scored_words"), F.lit(0.0)).alias("sentiment_score"),
+            F.size("_words").cast("bigint").alias("word_count"),
+            F.size("_hits").cast("bigint").alias("scored_words"),
+            F.coalesce(F.try_divide(total, F.size("_hits")), F.lit(0.0)).alias("sentiment_score"),
         )
     )
 
@@ -76,26 +77,27 @@ def sentiment(docs: DataFrame, scores: DataFrame, key: str, text: str) -> DataFr
 def summary(docs: DataFrame, key: str, text: str, sentences: int = 2) -> DataFrame:
     """The sentences whose words are, on average, most frequent in their text, in text order.
 
-    A sentence ends at ``.``, ``!``, ``?`` or a line break.  Texts are partitioned by ``key`` once;
-    every later step groups by the key and something else, so it needs no further shuffle and
-    word rows, which take more room than the text, never leave their task.
+    A sentence ends at ``.``, ``!``, ``?`` or a line break.  One row per text: a text without words
+    has an empty summary, a NULL text a NULL one.  Counting the words of one text needs a hash
+    table, which column expressions lack, so an Arrow-batched function picks the sentence numbers;
+    cutting and joining text stay column expressions, and nothing is shuffled.
     """
-    placed = docs.select(key, text).repartition(key)
+
+    @F.pandas_udf("array<int>")
+    def picks(texts: pd.Series) -> pd.Series:
+        def of(lists):
+            if lists is None:
+                return None
+            counts = Counter(w for ws in lists for w in ws)
+            weights = [(-sum(counts[w] for w in ws) / len(ws), i) for i, ws in enumerate(lists) if len(ws)]
+            return sorted(i for _, i in sorted(weights)[:sentences])
+
+        return texts.map(of)
+
     cut = F.split(F.col(text), r"[.!?\n]+")
-    numbered = placed.select(key, F.posexplode(F.transform(cut, words)).alias("pos", "ws"))
-    counted = (
-        numbered.select(key, "pos", F.explode("ws").alias("word")).groupBy(key, "pos", "word").agg(F.count("*").alias("n"))
-    )
-    weights = (
-        counted.withColumn("freq", F.sum("n").over(Window.partitionBy(key, "word")))
-        .groupBy(key, "pos")
-        .agg((F.sum(F.col("n") * F.col("freq")) / F.sum("n")).alias("weight"))
-    )
-    best = Window.partitionBy(key).orderBy(F.desc("weight"), "pos")
-    top = weights.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= sentences)
-    picks = top.groupBy(key).agg(F.sort_array(F.collect_list("pos")).alias("_picks"))
-    lines = F.transform("_picks", lambda pos: F.trim(F.get(cut, pos)))
-    return placed.join(picks, key).select(key, F.array_join(lines, ". ").alias("summary"))
+    picked = docs.select(key, cut.alias("_cut"), picks(F.transform(cut, words)).alias("_picks"))
+    lines = F.transform("_picks", lambda i: F.trim(F.get("_cut", i)))
+    return picked.select(key, F.array_join(lines, ". ").alias("summary"))
 
 
 def structured_answers(df: DataFrame, text: str) -> DataFrame:

@@ -37,7 +37,6 @@ RETENTION_AS_OF = "2024-05-10 00:00:00"
 TRACKED_VEHICLE = "VH_0000008"
 TENANT = "CUST_0003"
 ROLE = f"{TENANT}_ROLE"
-STREAM_FILES = 4
 
 QUERIES: dict[str, Query] = {}
 
@@ -66,13 +65,19 @@ def over_model(name: str, build: Callable[[FleetModel], DataFrame]) -> None:
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing table as messages, some of them broken in three ways."""
+    """The landing table as messages: some are broken in four ways, some have other forms of time
+    and more metadata, which are no fault."""
     offset, value = F.col("offset"), F.col("value")
     return envelopes.to_envelope(landing(spark, sf_dir)).withColumn(
         "value",
         F.when(offset % 86 == 4, F.concat(F.lit("broken:"), value))
         .when(offset % 86 == 8, F.regexp_replace(value, '"record_content"', '"content"'))
         .when(offset % 86 == 12, F.regexp_replace(value, '"vehicle_id":"[^"]*",', ""))
+        .when(offset % 86 == 16, F.regexp_replace(value, '"gps_altitude_m":[^,]*,', '"gps_altitude_m":"high",'))
+        .when(offset % 86 == 20, F.regexp_replace(value, r'("event_ts":"[^"]*)T', "$1 "))
+        .when(offset % 86 == 24, F.regexp_replace(value, r'("event_ts":"[^"]*)"', '$1789"'))
+        .when(offset % 86 == 28, F.regexp_replace(value, r'("event_ts":"[^"]*)"', '$1Z"'))
+        .when(offset % 86 == 32, F.regexp_replace(value, '"partition":', '"headers":{"a":[1,"x"]},"push time":7,"partition":'))
         .otherwise(value),
     )
 
@@ -81,7 +86,12 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_event(spark, sf_dir):
     parsed = envelopes.parse(damaged_messages(spark, sf_dir))
     rows = envelopes.flatten(parsed, F.col("ingest_ts"))
-    return rows.select(F.col("record_metadata.offset").alias("offset"), *schema.names(schema.ALL_FIELDS), "ingest_ts")
+    return rows.select(
+        F.col("record_metadata.offset").alias("offset"),
+        F.col("record_metadata.other").alias("other_metadata"),
+        *schema.names(schema.ALL_FIELDS),
+        "ingest_ts",
+    )
 
 
 @query
@@ -98,12 +108,20 @@ def dlq_by_key(spark, sf_dir):
     return envelopes.dead_letters_by_key(envelopes.dead_letters(parsed, ingest_ts=F.col("ingest_ts")))
 
 
+def in_batches(rows: DataFrame, path: str) -> str:
+    """Rows as files by ten-day periods of their ingest time, as many tasks as Spark likes; returns
+    the pattern of the periods' folders."""
+    period = F.floor(F.dayofyear("ingest_ts") / 10).alias("period")
+    log.write_batch(rows.select("*", period), path, 0, ["period"])
+    return f"{path}/batch_id=0/period=*"
+
+
 @query
 def ingest_stream(spark, sf_dir):
     """Counts per customer of what a message stream landed."""
     root = work_folder(spark, "ingest")
-    damaged_messages(spark, sf_dir).repartitionByRange(STREAM_FILES, "ingest_ts").write.parquet(f"{root}/messages")
-    messages = ingest.file_messages(spark, f"{root}/messages", files_per_batch=1)
+    folders = in_batches(damaged_messages(spark, sf_dir), f"{root}/messages")
+    messages = ingest.file_messages(spark, folders)
     ingest.start_ingest(messages, f"{root}/landing", f"{root}/dead", f"{root}/checkpoint").awaitTermination()
     landed = log.read_log(spark, f"{root}/landing").groupBy("customer_id").agg(F.count("*").alias("landed"))
     dead = log.read_log(spark, f"{root}/dead").agg(F.lit("(dead letters)").alias("customer_id"), F.count("*").alias("landed"))
@@ -125,6 +143,21 @@ def schema_evolution(spark, sf_dir):
     )
 
 
+@query
+def evolved_table(spark, sf_dir):
+    """A stored landing table whose second batch has more fields than the first, read back whole."""
+    path = work_folder(spark, "evolved")
+    messages = envelopes.to_envelope(landing(spark, sf_dir))
+    switch = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    halves = F.col("ingest_ts") < switch, F.col("ingest_ts") >= switch
+    for number, (half, fields) in enumerate(zip(halves, (schema.PHASE1_CONTENT, schema.CONTENT))):
+        rows = envelopes.flatten(envelopes.parse(messages.where(half), fields), F.col("ingest_ts"))
+        log.write_batch(rows, path, number)
+    return log.read_log(spark, path).select(
+        F.col("record_metadata.offset").alias("offset"), *schema.names(schema.ALL_FIELDS), "ingest_ts"
+    )
+
+
 over_model(
     "evolution_coverage",
     lambda m: m.raw.agg(
@@ -172,11 +205,6 @@ def geofences(spark, sf_dir):
     return masters.fences_from_nations(spark, sf_dir)
 
 
-@query
-def file_listing(spark, sf_dir):
-    return files.list_files(spark, sf_dir, "*.parquet")
-
-
 @query
 def refresh_incremental(spark, sf_dir):
     """A first load and two increments by ingest time, out of event order."""
@@ -750,7 +778,7 @@ def driver_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     homes = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    key = F.lpad(F.col("c_custkey").cast("string"), 7, "0")
+    key = masters.padded(F.col("c_custkey"), 7)
     return customer.join(homes, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("D-"), key).alias("driver_id"),
         F.col("c_name").alias("driver_name"),
@@ -818,9 +846,8 @@ over_model("retention_propagate", after_retention)
 
 
 def stream_source(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The landing table written as files in ingest order and read back as a stream."""
-    landing(spark, sf_dir).repartitionByRange(STREAM_FILES, "ingest_ts").write.parquet(f"{root}/source")
-    return tables.landing_stream(spark, f"{root}/source", files_per_batch=1)
+    """The landing table written as files and read back as a stream of several batches."""
+    return tables.landing_stream(spark, in_batches(landing(spark, sf_dir), f"{root}/source"))
 
 
 @query
@@ -870,7 +897,7 @@ def stream_trips(spark, sf_dir):
 @query
 def text_sentiment(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.sentiment(docs, text.lexicon(spark), "doc_id", "text")
+    return text.sentiment(docs, text.lexicon(), "doc_id", "text")
 
 
 @query

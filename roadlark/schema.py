@@ -85,6 +85,8 @@ METADATA = T.StructType(
         T.StructField("partition", _L),
         T.StructField("key", _S),
         T.StructField("timestamp", _L),
+        # All further keys of a message's metadata (push time, headers, ...) as one JSON object.
+        T.StructField("other", _S),
     ]
 )
 

@@ -17,28 +17,53 @@ NOT_JSON = "message is not a JSON object"
 NO_CONTENT = "record_content is missing"
 NO_METADATA = "record_metadata is missing"
 NO_KEY = "record_content has no "
+BAD_FIELD = "unreadable value in "
+KNOWN_METADATA = [f.name for f in schema.METADATA.fields if f.name != "other"]
+_TEXTS = "map<string,string>"
 
 
 def _envelope(content: T.StructType) -> T.StructType:
+    """Times are read as text: they come in several forms, and a cast reads them all."""
+    known = T.StructType([f for f in schema.METADATA.fields if f.name != "other"])
+    fields = [
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+        for f in content.fields
+    ]
     return T.StructType(
         [
-            T.StructField("record_metadata", schema.METADATA),
-            T.StructField("record_content", content),
+            T.StructField("record_metadata", known),
+            T.StructField("record_content", T.StructType(fields)),
             T.StructField("_corrupt", T.StringType()),
         ]
     )
 
 
+def _time(text: Column) -> Column:
+    """A time with ``T`` or a blank, any number of digits after the second, and with or without a
+    zone; times without one are UTC, like the session."""
+    return text.try_cast("timestamp").cast("timestamp_ntz")
+
+
 def to_envelope(landing: DataFrame) -> DataFrame:
     """Landing rows as messages (``key``, ``value``, ``partition``, ``offset``, ``ingest_ts``).
 
     Missing values are left out, as producers do.
     """
     fields = [c for c in landing.columns if c not in ("record_metadata", "ingest_ts")]
-    body = F.struct("record_metadata", F.struct(*fields).alias("record_content"))
+    times = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    known = F.to_json(F.struct(*[f"record_metadata.{name}" for name in KNOWN_METADATA]))
+    other = F.col("record_metadata.other")
+    # Both are JSON objects: the second one's members go on behind those of the first.
+    comma = F.when(known == "{}", F.lit("{")).otherwise(F.concat(known.substr(F.lit(1), F.length(known) - 1), F.lit(",")))
+    metadata = F.when(F.coalesce(other, F.lit("{}")) == "{}", known).otherwise(
+        F.concat(comma, F.substring(other, 2, 2**31 - 1))
+    )
+    content = F.to_json(F.struct(*fields), times)
     return landing.select(
         F.col("record_metadata.key").alias("key"),
-        F.to_json(body, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"),
+        F.concat(
+            F.lit('{"record_metadata":'), metadata, F.lit(',"record_content":'), content, F.lit("}")
+        ).alias("value"),
         F.col("record_metadata.partition").alias("partition"),
         F.col("record_metadata.offset").alias("offset"),
         "ingest_ts",
@@ -46,39 +71,81 @@ def to_envelope(landing: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame, fields: T.StructType = schema.CONTENT, value: str = "value") -> DataFrame:
-    """Add ``_event`` (typed envelope) and ``_error`` (NULL for a usable message).
+    """Add ``_event`` (typed envelope), ``_error`` (NULL for a usable message) and ``_other``.
 
     ``fields`` is the active field list: other keys of the content are ignored, absent ones NULL.
     Exploding a one-element array keeps the optimizer from copying the parser into every place
     that reads one of its fields, so each message is parsed once.
     """
     event = F.from_json(
-        F.col(value),
-        _envelope(fields),
-        {
-            "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": "_corrupt",
-            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
-        },
+        F.col(value), _envelope(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     content = F.col("_event.record_content")
+    # What follows is only looked at where the reader found something that does not fit.
+    raw = F.from_json(F.get_json_object(value, "$.record_content"), _TEXTS)
+    read = F.from_json(F.to_json(content), _TEXTS)
+    names = F.array(*[F.lit(f.name) for f in fields.fields])
+    unread = F.filter(
+        F.array_intersect(F.map_keys(raw), names),
+        lambda name: F.element_at(raw, name).isNotNull() & F.element_at(read, name).isNull(),
+    )
+    misfit = F.when(
+        F.size(unread) > 0, F.concat(F.lit(BAD_FIELD), unread[0], F.lit(": "), F.element_at(raw, unread[0]))
+    ).otherwise(F.lit(BAD_FIELD + "record_metadata"))
+    whole = F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT")
+    corrupt = F.col("_event._corrupt").isNotNull()
+
+    def missing(part: str) -> Column:
+        return F.col(f"_event.{part}").isNull() & F.get_json_object(value, f"$.{part}").isNull()
+
     error = (
-        F.when(F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), F.lit(NOT_JSON))
-        .when(F.col("_event.record_metadata").isNull(), F.lit(NO_METADATA))
-        .when(content.isNull(), F.lit(NO_CONTENT))
+        F.when(F.col("_event").isNull() | (corrupt & ~F.coalesce(whole, F.lit(False))), F.lit(NOT_JSON))
+        .when(missing("record_metadata"), F.lit(NO_METADATA))
+        .when(missing("record_content"), F.lit(NO_CONTENT))
+        .when(corrupt, misfit)
     )
     for name in ("vehicle_id", "event_ts"):
         error = error.when(content[name].isNull(), F.lit(NO_KEY + name))
-    return messages.select("*", F.explode(F.array(event)).alias("_event")).withColumn("_error", error)
+    if "event_ts" in fields.names:
+        when = content["event_ts"]
+        error = error.when(_time(when).isNull(), F.concat(F.lit(BAD_FIELD + "event_ts: "), when))
+    return messages.select("*", F.explode(F.array(event)).alias("_event")).withColumns(
+        {"_error": error, "_other": _other_metadata(value)}
+    )
+
+
+def _other_metadata(value: str) -> Column:
+    """The members of a message's metadata that have no column of their own, as one JSON object."""
+    whole = F.from_json(F.get_json_object(value, "$.record_metadata"), _TEXTS)
+    further = F.filter(F.map_keys(whole), lambda k: ~k.isin(KNOWN_METADATA))
+
+    def member(key: Column) -> Column:
+        text = F.element_at(whole, key)
+        # The reader gives nested values and numbers as their JSON text, strings without quotes.
+        plain = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).isNotNull(), F.lit(False))
+        quoted = F.get_json_object(F.to_json(F.array(text)), "$")
+        body = F.when(plain, text).otherwise(quoted.substr(F.lit(2), F.length(quoted) - 2))
+        name = F.get_json_object(F.to_json(F.array(key)), "$")
+        return F.concat(name.substr(F.lit(2), F.length(name) - 2), F.lit(":"), F.coalesce(body, F.lit("null")))
+
+    joined = F.array_join(F.transform(further, member), ",")
+    return F.when(F.size(further) > 0, F.concat(F.lit("{"), joined, F.lit("}")))
 
 
 def flatten(parsed: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     """Usable messages as landing rows; the ingest time defaults to now."""
     fields = parsed.schema["_event"].dataType["record_content"].dataType.names
+    times = {f.name for f in schema.CONTENT.fields if isinstance(f.dataType, T.TimestampNTZType)}
+
+    def typed(name: str) -> Column:
+        column = F.col(f"_event.record_content.{name}")
+        return (_time(column) if name in times else column).alias(name)
+
+    known = [F.col(f"_event.record_metadata.{name}").alias(name) for name in KNOWN_METADATA]
     when = F.current_timestamp().cast("timestamp_ntz") if ingest_ts is None else ingest_ts
     return parsed.where("_error IS NULL").select(
-        F.col("_event.record_metadata").alias("record_metadata"),
-        *[F.col(f"_event.record_content.{name}").alias(name) for name in fields],
+        F.struct(*known, F.col("_other").alias("other")).alias("record_metadata"),
+        *[typed(name) for name in fields],
         when.alias("ingest_ts"),
     )
 

@@ -25,14 +25,19 @@ FENCE_LON = "72e0 + ((37 * {n}) % 150) * 0.125e0"
 SPEED = "k * 1.25e0 + copy_no"
 LOAD = "20e0 + k * 0.5e0 + (event_id % 8) * 0.25e0"
 
+# Seven digits at least; longer numbers keep all of theirs.
+NUMBER = (
+    "lpad(CAST(user_id AS STRING), CAST(greatest(7, length(CAST(user_id AS STRING))) AS INT), '0')"
+)
+
 FIELDS: dict[str, str] = {
     "event_ts": "ts",
     "customer_id": (
         "CASE WHEN user_id % 50 = 17 AND event_id % 3 = 0 THEN 'CUST_9999'"
         " ELSE concat('CUST_', lpad(CAST(user_id % 20 + 1 AS STRING), 4, '0')) END"
     ),
-    "vehicle_id": "concat('VH_', lpad(CAST(user_id AS STRING), 7, '0'))",
-    "device_id": "concat('DEV_', lpad(CAST(user_id AS STRING), 7, '0'))",
+    "vehicle_id": f"concat('VH_', {NUMBER})",
+    "device_id": f"concat('DEV_', {NUMBER})",
     "gps_latitude": (
         "CASE WHEN event_id % 71 <> 0 THEN " + FENCE_LAT.format(n="fence_no")
         + " + ((event_id * 31) % 400 - 200) / 1024e0 END"
@@ -119,7 +124,7 @@ def project_events(events: DataFrame) -> DataFrame:
     ).selectExpr("*", f"{SPEED} AS speed", f"{LOAD} AS load")
     metadata = (
         f"named_struct('offset', {OFFSET}, 'topic', 'VEHICLE_TELEMETRY', 'partition', user_id % 10,"
-        f" 'key', {FIELDS['vehicle_id']}, 'timestamp', unix_millis(CAST(ts AS TIMESTAMP))) AS record_metadata"
+        f" 'key', {FIELDS['vehicle_id']}, 'timestamp', unix_millis(CAST(ts AS TIMESTAMP)), 'other', CAST(NULL AS STRING)) AS record_metadata"
     )
     columns = [f"{FIELDS[name]} AS {name}" for name in schema.names(schema.ALL_FIELDS)]
     return delivered.selectExpr(metadata, *columns, f"{INGEST} AS ingest_ts")

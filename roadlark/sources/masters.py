@@ -117,7 +117,7 @@ def segments_from_waypoints(waypoints: DataFrame) -> DataFrame:
     pairs = start.join(after, ["route_name", "waypoint_idx"])
     km = haversine_km(*(F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")))
     return pairs.select(
-        F.concat("route_name", F.lit("_S"), _pad(F.col("waypoint_idx"), 3)).alias("segment_id"),
+        F.concat("route_name", F.lit("_S"), padded(F.col("waypoint_idx"), 3)).alias("segment_id"),
         "route_name",
         "highway",
         "from_city",
@@ -169,7 +169,7 @@ def segments_from_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- customer retention policies -----------------------------------------------------------
 
 
-def _pad(number: Column, width: int) -> Column:
+def padded(number: Column, width: int) -> Column:
     """Zero-padded text that is never cut when the number outgrows the width."""
     text = number.cast("string")
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
@@ -183,7 +183,7 @@ def policies_from_sequence(seq: DataFrame, created_at: str, column: str = "seq")
         return F.lit(value).cast("bigint")
 
     return seq.select(
-        F.concat(F.lit("CUST_"), _pad(n, 4)).alias("customer_id"),
+        F.concat(F.lit("CUST_"), padded(n, 4)).alias("customer_id"),
         F.concat(F.lit("Customer "), n.cast("string")).alias("customer_name"),
         F.when(n % 3 == 0, days(90)).when(n % 3 == 1, days(120)).otherwise(days(180)).alias("raw_retention_days"),
         F.when(n % 2 == 0, days(365)).otherwise(days(730)).alias("curated_retention_days"),

@@ -22,18 +22,21 @@ MESSAGE = T.StructType(
 )
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+# A backlog is worked off in batches of this many files or Kafka offsets unless told otherwise.
+FILES_PER_BATCH = 1000
+OFFSETS_PER_BATCH = 50_000_000
+
+
+def file_messages(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Messages from Parquet files as they appear in a folder."""
-    reader = spark.readStream.schema(MESSAGE)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Messages from Kafka; needs Spark's Kafka package on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-    records = reader.option("subscribe", topic).options(**options).load()
+    limits = {"maxOffsetsPerTrigger": str(OFFSETS_PER_BATCH), **options}
+    records = reader.option("subscribe", topic).options(**limits).load()
     return records.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),

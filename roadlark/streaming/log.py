@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -20,8 +21,14 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequenc
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All batches of a log.  Batches may differ in width: a field that any of them has is a column,
+    and NULL where a batch lacks it.  A known ``schema`` saves reading every file's own."""
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    if "batch_id" not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,16 +10,14 @@ from roadlark import schema
 from roadlark.functions.rules import LATE_AFTER_SECONDS, arrived_late
 from roadlark.operators.curated import latest_readings
 from roadlark.plans.refresh import IncrementalTables
+from roadlark.streaming.ingest import FILES_PER_BATCH
 from roadlark.streaming.log import write_batch
 
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def landing_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema.LANDING)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def landing_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    return spark.readStream.schema(schema.LANDING).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def _start(rows: DataFrame, save, checkpoint: str, mode: str, trigger: dict | None) -> StreamingQuery:

@@ -91,3 +91,67 @@ def test_file_listing(spark, tmp_path):
 
 def test_landing_has_all_columns(spark):
     assert len(deliveries(spark, []).columns) == 55
+
+
+def one(spark, metadata=None, **content):
+    event = {
+        "record_metadata": {**GOOD["record_metadata"], **(metadata or {})},
+        "record_content": {**GOOD["record_content"], **content},
+    }
+    return envelopes.parse(messages(spark, [json.dumps(event)]))
+
+
+def test_reasons_name_the_field(spark):
+    assert one(spark, gps_latitude="abc").first()._error == "unreadable value in gps_latitude: abc"
+    assert one(spark, event_ts="soon").first()._error == "unreadable value in event_ts: soon"
+    assert one(spark, {"offset": "x"}).first()._error == "unreadable value in record_metadata"
+    assert envelopes.parse(messages(spark, ['{"a": '])).first()._error == envelopes.NOT_JSON
+
+
+def test_forms_of_time(spark):
+    forms = {
+        "2024-01-01 00:00:05": 5,
+        "2024-01-01T00:00:05.123456789": 5.123456,
+        "2024-01-01T00:00:05Z": 5,
+        "2024-01-01T02:00:05+02:00": 5,
+    }
+    for text, seconds in forms.items():
+        parsed = one(spark, event_ts=text)
+        assert parsed.first()._error is None
+        assert envelopes.flatten(parsed).first().event_ts == at(seconds)
+
+
+def test_all_metadata_is_kept(spark):
+    more = {"push time": 9, "headers": {"a": [1, "x"]}, "note": 'say "hi"', "none": None}
+    row = envelopes.flatten(one(spark, more)).first()
+    assert json.loads(row.record_metadata.other) == more and row.record_metadata.offset == 7
+    landed = envelopes.flatten(one(spark, more))
+    again = envelopes.flatten(envelopes.parse(envelopes.to_envelope(landed))).first()
+    assert json.loads(again.record_metadata.other) == more and again.record_metadata.key == "VH_1"
+    assert envelopes.flatten(one(spark)).first().record_metadata.other is None
+
+
+def test_log_of_batches_of_different_width(spark, tmp_path):
+    narrow = envelopes.flatten(envelopes.parse(messages(spark, [json.dumps(GOOD)]), schema.PHASE1_CONTENT))
+    log.write_batch(narrow, str(tmp_path), 0)
+    log.write_batch(envelopes.flatten(one(spark, j1939_def_level_pct=50.5)), str(tmp_path), 1)
+    for table in (log.read_log(spark, str(tmp_path)), log.read_log(spark, str(tmp_path), schema.LANDING)):
+        assert set(schema.names(schema.ALL_FIELDS)) <= set(table.columns)
+        assert sorted((r.batch_id, r.j1939_def_level_pct) for r in table.collect()) == [(0, None), (1, 50.5)]
+
+
+def test_long_ids_are_not_cut(spark):
+    from roadlark.sources.events import project_events
+    from roadlark.sources.masters import padded
+
+    events = spark.range(2).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' AS ts",
+        "10000000 + id AS user_id",
+        "'view' AS event_type",
+        "1D AS value",
+        "'{\"k\": 1}' AS props",
+    )
+    got = {r.vehicle_id for r in project_events(events).collect()}
+    assert got == {"VH_10000000", "VH_10000001"}
+    assert spark.range(1).select(padded(F.lit(123456789), 7)).first()[0] == "123456789"

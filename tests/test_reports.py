@@ -63,7 +63,7 @@ def test_payload_is_permissive(spark):
 
 def test_sentiment(spark):
     docs = spark.createDataFrame([(1, "Excellent, GOOD and bad!"), (2, "nothing here"), (3, ""), (4, None)], "id int, t string")
-    got = {r.id: r for r in text.sentiment(docs, text.lexicon(spark), "id", "t").collect()}
+    got = {r.id: r for r in text.sentiment(docs, text.lexicon(), "id", "t").collect()}
     assert got[1].sentiment_score == pytest.approx(statistics.mean([1, 1, -1])) and got[1].word_count == 4
     assert got[2].sentiment_score == 0 and got[3].word_count == 0 and got[4].word_count == 0
 
@@ -77,3 +77,19 @@ def test_structured_answers(spark):
     df = spark.createDataFrame([(1, 'Sure: {"weather": "Rain", "other": 1} done'), (2, "none"), (3, None)], "id int, t string")
     got = {r.id: r.weather for r in text.structured_answers(df, "t").collect()}
     assert got == {1: "Rain", 2: None, 3: None}
+
+
+def test_texts_of_all_scripts_keep_their_row(spark):
+    rows = [(1, "plain good text"), (2, ""), (3, None), (4, "12 34"), (5, "Плохой путь. Путь хорош"), (6, "Élan naïve très bad")]
+    docs = spark.createDataFrame(rows, "id int, t string")
+    scored = {r.id: r for r in text.sentiment(docs, text.lexicon(), "id", "t").collect()}
+    assert {i: r.word_count for i, r in scored.items()} == {1: 3, 2: 0, 3: 0, 4: 0, 5: 4, 6: 4}
+    assert scored[6].sentiment_score == -1
+    summaries = {r.id: r.summary for r in text.summary(docs, "id", "t", sentences=1).collect()}
+    assert summaries == {1: "plain good text", 2: "", 3: None, 4: "", 5: "Плохой путь", 6: "Élan naïve très bad"}
+
+
+def test_text_scoring_shuffles_nothing(spark):
+    docs = spark.createDataFrame([(1, "a")], "id int, t string")
+    for df in (text.sentiment(docs, text.lexicon(), "id", "t"), text.summary(docs, "id", "t")):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

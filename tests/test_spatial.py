@@ -6,6 +6,7 @@ from helpers import plan_of
 from pyspark.sql import functions as F
 
 from roadlark.functions import geo
+from roadlark.operators import spatial
 from roadlark.operators.spatial import fences_around, match_nearest_fence, readings_on_segments
 from roadlark.sources.masters import segments_from_waypoints, with_segment_cells
 from test_trips import km
@@ -86,3 +87,31 @@ def test_segments(spark):
     assert rows[1].mid_lat == 10.1875 and rows[1].segment_km == pytest.approx(13.9, abs=0.01)
     on = spark.createDataFrame([("v", 10.1875, 77.0), ("v", 11.9, 77.0), ("v", None, None)], "vehicle_id string, gps_latitude double, gps_longitude double")
     assert [r.segment_id for r in readings_on_segments(on, segments).collect()] == ["R_S001"]
+
+
+def test_small_fences_in_one_city_meet_few_points(spark):
+    """10,000 depots of 200 metres on a grid of 8 by 8 km: a point's cell holds a handful of them."""
+    fences = spark.range(10_000).selectExpr(
+        "cast(id as string) AS geofence_id",
+        "'c' AS city_name",
+        "10D + floor(id / 100) * 0.0007 AS latitude",
+        "70D + (id % 100) * 0.0007 AS longitude",
+        "0.2D AS radius_km",
+    )
+    degrees = spatial.cell_degrees(0.2)
+    cells = spatial.fence_cells(fences, degrees)
+    per_fence = cells.count() / 10_000
+    per_cell = cells.groupBy("_x", "_y").count().agg({"count": "max"}).first()[0]
+    assert per_fence <= 9 and per_cell <= 200
+    points = spark.createDataFrame([(1, 10.03, 70.03)], "id int, lat double, lon double")
+    near = spatial.fences_around(points, fences, "lat", "lon")
+    brute = points.crossJoin(fences).where(
+        "2 * 6371 * asin(sqrt(pow(sin(radians(latitude - lat) / 2), 2) + cos(radians(lat)) * cos(radians(latitude))"
+        " * pow(sin(radians(longitude - lon) / 2), 2))) <= radius_km"
+    )
+    assert near.count() == brute.count() > 10
+
+
+def test_cells_follow_the_radius():
+    assert spatial.cell_degrees(0.2) < spatial.cell_degrees(15) < spatial.cell_degrees(200)
+    assert spatial.cell_degrees(None) == spatial.cell_degrees(0) == 360 / 2**spatial.FINEST
