@@ -5,9 +5,8 @@ These stand in for hosted language models: same inputs and result shape, transpa
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,30 +73,55 @@ def sentiment(docs: DataFrame, scores: dict[str, float], key: str, text: str) ->
     )
 
 
+def _runs(rows: Column, key: Callable[[Column], Column]) -> Column:
+    """Start of each run of equal keys in a sorted array, and its length as the last start."""
+    first = F.transform(
+        rows, lambda row, i: F.when((i == 0) | (key(F.get(rows, i - 1)) != key(row)), i)
+    )
+    return F.concat(F.filter(first, lambda i: i.isNotNull()), F.array(F.size(rows)))
+
+
+def _over_runs(starts: Column, build: Callable[[Column, Column], Column]) -> Column:
+    """``build(start, length)`` for each run."""
+    number = F.sequence(F.lit(0), F.size(starts) - 2)
+    many = F.transform(number, lambda k: build(F.get(starts, k), F.get(starts, k + 1) - F.get(starts, k)))
+    return F.when(F.size(starts) > 1, many)
+
+
 def summary(docs: DataFrame, key: str, text: str, sentences: int = 2) -> DataFrame:
     """The sentences whose words are, on average, most frequent in their text, in text order.
 
     A sentence ends at ``.``, ``!``, ``?`` or a line break.  One row per text: a text without words
-    has an empty summary, a NULL text a NULL one.  Counting the words of one text needs a hash
-    table, which column expressions lack, so an Arrow-batched function picks the sentence numbers;
-    cutting and joining text stay column expressions, and nothing is shuffled.
+    has an empty summary, a NULL text a NULL one.  A text is summed up where it stands, without
+    any shuffle: its words are sorted, runs of equal words give the frequencies, and sorted by
+    sentence these give the weights.
     """
-
-    @F.pandas_udf("array<int>")
-    def picks(texts: pd.Series) -> pd.Series:
-        def of(lists):
-            if lists is None:
-                return None
-            counts = Counter(w for ws in lists for w in ws)
-            weights = [(-sum(counts[w] for w in ws) / len(ws), i) for i, ws in enumerate(lists) if len(ws)]
-            return sorted(i for _, i in sorted(weights)[:sentences])
-
-        return texts.map(of)
-
     cut = F.split(F.col(text), r"[.!?\n]+")
-    picked = docs.select(key, cut.alias("_cut"), picks(F.transform(cut, words)).alias("_picks"))
-    lines = F.transform("_picks", lambda i: F.trim(F.get("_cut", i)))
-    return picked.select(key, F.array_join(lines, ". ").alias("summary"))
+    placed = F.flatten(
+        F.transform(F.transform("_cut", words), lambda ws, pos: F.transform(ws, lambda w: F.struct(w.alias("w"), pos.alias("pos"))))
+    )
+
+    def spread(start: Column, length: Column) -> Column:
+        run = F.slice("_words", start + 1, length)
+        return F.transform(run, lambda row: F.struct(row["pos"].alias("pos"), length.alias("n")))
+
+    def weigh(start: Column, length: Column) -> Column:
+        run = F.slice("_counts", start + 1, length)
+        total = F.aggregate(run, F.lit(0).cast("bigint"), lambda sum_, row: sum_ + row["n"])
+        return F.struct((-total / length).alias("weight"), F.get("_counts", start)["pos"].alias("pos"))
+
+    steps = docs.select(key, cut.alias("_cut"))
+    steps = steps.select(key, "_cut", F.sort_array(placed).alias("_words"))
+    steps = steps.select(key, "_cut", "_words", _runs(F.col("_words"), lambda r: r["w"]).alias("_starts"))
+    counts = F.sort_array(F.flatten(_over_runs(F.col("_starts"), spread)))
+    steps = steps.select(key, "_cut", counts.alias("_counts"))
+    steps = steps.select(key, "_cut", "_counts", _runs(F.col("_counts"), lambda r: r["pos"]).alias("_starts"))
+    best = F.slice(F.sort_array(_over_runs(F.col("_starts"), weigh)), 1, sentences)
+    picks = F.sort_array(F.transform(best, lambda r: r["pos"]))
+    lines = F.array_join(F.transform(picks, lambda i: F.trim(F.get("_cut", i))), ". ")
+    return steps.select(
+        key, F.when(F.col("_cut").isNotNull(), F.coalesce(lines, F.lit(""))).alias("summary")
+    )
 
 
 def structured_answers(df: DataFrame, text: str) -> DataFrame:

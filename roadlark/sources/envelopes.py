@@ -85,14 +85,20 @@ def parse(messages: DataFrame, fields: T.StructType = schema.CONTENT, value: str
     raw = F.from_json(F.get_json_object(value, "$.record_content"), _TEXTS)
     read = F.from_json(F.to_json(content), _TEXTS)
     names = F.array(*[F.lit(f.name) for f in fields.fields])
-    unread = F.filter(
-        F.array_intersect(F.map_keys(raw), names),
-        lambda name: F.element_at(raw, name).isNotNull() & F.element_at(read, name).isNull(),
-    )
-    misfit = F.when(
-        F.size(unread) > 0, F.concat(F.lit(BAD_FIELD), unread[0], F.lit(": "), F.element_at(raw, unread[0]))
-    ).otherwise(F.lit(BAD_FIELD + "record_metadata"))
-    whole = F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT")
+
+    def unread(maps: Column) -> Column:
+        """The fields that the message has and the reader has not."""
+        present = F.array_intersect(F.map_keys(maps["raw"]), names)
+        return F.filter(
+            present, lambda n: F.element_at(maps["raw"], n).isNotNull() & F.element_at(maps["read"], n).isNull()
+        )
+
+    def misfit(maps: Column) -> Column:
+        first = F.get(unread(maps), 0)
+        named = F.concat(F.lit(BAD_FIELD), first, F.lit(": "), F.element_at(maps["raw"], first))
+        return F.coalesce(named, F.lit(BAD_FIELD + "record_metadata"))
+
+    whole = F.get_json_object(value, "$").startswith("{")
     corrupt = F.col("_event._corrupt").isNotNull()
 
     def missing(part: str) -> Column:
@@ -102,7 +108,8 @@ def parse(messages: DataFrame, fields: T.StructType = schema.CONTENT, value: str
         F.when(F.col("_event").isNull() | (corrupt & ~F.coalesce(whole, F.lit(False))), F.lit(NOT_JSON))
         .when(missing("record_metadata"), F.lit(NO_METADATA))
         .when(missing("record_content"), F.lit(NO_CONTENT))
-        .when(corrupt, misfit)
+        # The lambda's argument is made once; its body stays out of the code that all messages run.
+        .when(corrupt, F.get(F.transform(F.array(F.struct(raw.alias("raw"), read.alias("read"))), misfit), 0))
     )
     for name in ("vehicle_id", "event_ts"):
         error = error.when(content[name].isNull(), F.lit(NO_KEY + name))
