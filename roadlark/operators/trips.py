@@ -8,9 +8,13 @@ of all readings, so no window ever spans a whole vehicle's readings:
    with the same customer and ignition class collapse into one *run* carrying partial sums.
 2. One row per (vehicle, bucket) - bounded by time, not by data - tells each bucket how its
    predecessor ended and how many trips started before it.
-3. Runs get their trip number from that row and are merged per (vehicle, trip).
+3. Runs get their trip number from that row.  Of the runs of a piece and trip, only each
+   customer's first and last ON run can bound its span; what lies between is merged, so an
+   ignition that flaps at every reading still leaves a few rows per piece.
+4. These rows are merged per (vehicle, trip).
 
-Everything after step 1 works on runs, which are far fewer than readings.
+Steps 2 and 3 both need the result of step 1, which is therefore written once, to the work folder:
+readings are scanned, deduplicated and shuffled once.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from roadlark.functions.rules import litres_per_100km
 from roadlark.functions.timing import epoch_seconds, seconds_between
 from roadlark.operators.spatial import fences_around
+from roadlark.session import work_folder
 
 BUCKET_SECONDS = 3600
 _PIECE = ["vehicle_id", "bucket"]
@@ -92,10 +97,17 @@ def _carry(rows: DataFrame, ts: str = "event_ts") -> DataFrame:
     )
 
 
+def _written(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` as a table in the work folder."""
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def ignition_transitions(readings: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Every reading with ``trip_start_flag`` and, for ON readings, the running ``trip_num``."""
     columns = ["customer_id", "vehicle_id", "event_ts", "tel_ignition_status"]
-    flagged = _ignition_flags(readings.select(*columns), bucket_seconds)
+    flagged = _written(_ignition_flags(readings.select(*columns), bucket_seconds), "ignition")
     tagged = flagged.join(_carry(flagged), _PIECE)
     starts = F.when(F.col("first_in_piece"), F.col("opens")).otherwise(F.col("starts_inside"))
     return tagged.select(
@@ -163,6 +175,38 @@ def _numbered(runs: DataFrame) -> DataFrame:
     return numbered.where("trip_num > 0")
 
 
+def _without_flapping(runs: DataFrame) -> DataFrame:
+    """Numbered runs of a piece and trip, merged between the first and last ON runs of customers.
+
+    A merged row counts as not ON, so it neither begins nor ends a span.  Rows per piece are
+    bounded by its customers, whatever the ignition does.
+    """
+    in_trip = [*_PIECE, "trip_num"]
+    by_time = Window.partitionBy(*in_trip).orderBy("first_ts")
+    same = Window.partitionBy(*in_trip, "customer_id", "is_on")
+    first, last = F.min("first_ts").over(same), F.max("first_ts").over(same)
+    marked = runs.withColumn(
+        "edge", F.col("is_on") & ((F.col("first_ts") == first) | (F.col("first_ts") == last))
+    )
+    cut = F.col("edge") | F.coalesce(F.lag("edge").over(by_time), F.lit(False))
+    parts = marked.withColumn("cut", cut.cast("int")).withColumn("part", F.sum("cut").over(by_time))
+    sums: list[Column] = []
+    for name in _COUNTERS:
+        sums += [F.min(f"{name}_min").alias(f"{name}_min"), F.max(f"{name}_max").alias(f"{name}_max")]
+    for name in _AVERAGED:
+        sums += [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in ("sum", "n")]
+    return parts.groupBy(*in_trip, "part").agg(
+        F.min_by("customer_id", "first_ts").alias("customer_id"),
+        F.bool_or("edge").alias("is_on"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *[F.min_by(f"first_{c}", "first_ts").alias(f"first_{c}") for c in _POSITION],
+        *[F.max_by(f"last_{c}", "first_ts").alias(f"last_{c}") for c in _POSITION],
+        *sums,
+        F.max("speed_max").alias("speed_max"),
+    )
+
+
 def _merged_trips(runs: DataFrame) -> DataFrame:
     """One row per (vehicle, trip) from its runs.
 
@@ -245,7 +289,8 @@ def _with_fences(trips: DataFrame, fences: DataFrame) -> DataFrame:
 
 
 def trips_from_runs(runs: DataFrame, fences: DataFrame) -> DataFrame:
-    trips = _with_fences(_merged_trips(_numbered(runs)), fences)
+    """Trips of runs that are cheap to read twice: a written table."""
+    trips = _with_fences(_merged_trips(_without_flapping(_numbered(runs))), fences)
     seconds = seconds_between(F.col("trip_start_ts"), F.col("trip_end_ts"))
     return trips.select(
         "customer_id",
@@ -272,4 +317,4 @@ def trips_from_runs(runs: DataFrame, fences: DataFrame) -> DataFrame:
 
 
 def trip_summaries(readings: DataFrame, fences: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    return trips_from_runs(trip_runs(readings, bucket_seconds), fences)
+    return trips_from_runs(_written(trip_runs(readings, bucket_seconds), "trip-runs"), fences)

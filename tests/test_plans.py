@@ -82,3 +82,16 @@ def test_fact_types(spark, sf_dir):
     types = dict(registry.model(spark, sf_dir).vehicle_daily.dtypes)
     assert types["metric_date"] == "timestamp_ntz" and types["brake_events"] == "bigint"
     assert dict(facts.telematics_health(registry.model(spark, sf_dir).readings).dtypes)["all_can_healthy"] == "boolean"
+
+
+def test_trips_read_and_deduplicate_once(spark, sf_dir):
+    """The written intermediate table is built from one scan and one deduplication, and the final
+    plan reads only that table and the fences."""
+    from roadlark.operators import trips
+
+    model = registry.model(spark, sf_dir)
+    needed = trips.trip_runs(model.readings)
+    plan = plan_of(needed)
+    assert plan.count("FileScan parquet") == 1 and plan.count("WindowGroupLimit") == 2
+    for build in (lambda: model.trips, lambda: trips.trip_boundaries(model.readings), lambda: trips.ignition_transitions(model.readings)):
+        assert "/events.parquet" not in plan_of(build())

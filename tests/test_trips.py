@@ -159,3 +159,15 @@ def test_interval_join_equals_plain_join(spark):
 
 def test_city_fences(spark):
     assert city_fences(spark).count() == 25
+
+
+def test_flapping_ignition_leaves_few_rows_per_piece(spark):
+    """2,000 readings that alternate ON and ACC are one trip of 2,000 runs."""
+    rows = [{"t": i * 10, "tel_ignition_status": "ON" if i % 2 == 0 else "ACC", "j1939_odometer_km": float(i)} for i in range(2000)]
+    runs = trips.trip_runs(deliveries(spark, rows))
+    assert runs.count() == 2000
+    merged = trips._without_flapping(trips._numbered(runs))
+    buckets = merged.select("bucket").distinct().count()
+    assert merged.count() <= 5 * buckets
+    trip = trips.trips_from_runs(runs, city_fences(spark)).collect()
+    assert len(trip) == 1 and trip[0].distance_km == 1998.0 and trip[0].duration_sec == 19980
