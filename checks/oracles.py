@@ -434,8 +434,7 @@ SELECT c.customer_id, c.customer_name, c.fleet_size, c.active_vehicles, c.total_
   f.* EXCLUDE (customer_id, metric_date, active_vehicles, total_readings)
 FROM custdim c LEFT JOIN fleetday f ON f.customer_id = c.customer_id"""
 BODIES["realtime_fleet_status"] = "SELECT * FROM fstatus"
-BODIES["stream_fleet_status"] = """
-SELECT vehicle_id, customer_id, last_event_ts, latest_lat, latest_lon, ignition_status, can_bus_health FROM fstatus"""
+BODIES["stream_fleet_status"] = "SELECT * FROM fstatus"
 BODIES["fuel_efficiency"] = "SELECT vehicle_id, customer_id, metric_date, fuel_efficiency_l_per_100km FROM v360"
 BODIES["at_risk_vehicles"] = """
 SELECT vehicle_id, customer_id, health_status, minutes_since_last_event, max_dtc_count, has_can_bus_issues, has_tamper_alert,
@@ -683,4 +682,15 @@ SELECT * FROM judged WHERE NOT gone QUALIFY row_number() OVER
  (PARTITION BY vehicle_id, event_ts ORDER BY ingest_ts DESC, offs DESC) = 1"""
 BODIES["retention_propagate"] = _AFTER
 
+BODIES["refresh_fleet"], BODIES["refresh_vehicles"] = BODIES["fact_customer_fleet"], BODIES["dim_vehicle"]
+BODIES["refresh_customers"], BODIES["refresh_health"] = BODIES["dim_customer"], BODIES["fleet_health"]
+BODIES["refresh_status"], BODIES["refresh_trips"] = BODIES["realtime_fleet_status"], BODIES["trip_summaries"]
+BODIES["retention_applied"] = "SELECT vehicle_id, customer_id, event_ts, ingest_ts FROM kept_reading"
+
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in BODIES.items()}
+
+# The same tables over what retention leaves.
+BLOCKS["reading"] = BLOCKS["kept_reading"]
+ORACLES["retention_daily"] = _sql("SELECT * FROM daily")
+ORACLES["retention_trips"] = _sql("SELECT * FROM trip")
+ORACLES["retention_health"] = _sql("SELECT * FROM health").replace(AS_OF, RETENTION_AS_OF)

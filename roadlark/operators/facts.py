@@ -85,6 +85,10 @@ def dim_vehicle(readings: DataFrame, policies: DataFrame) -> DataFrame:
         F.max("event_ts").alias("last_seen_ts"),
         F.count("*").alias("total_gps_events"),
     )
+    return _with_terms(seen, policies)
+
+
+def _with_terms(seen: DataFrame, policies: DataFrame) -> DataFrame:
     terms = policies.select(
         "customer_id",
         "customer_name",
@@ -103,6 +107,10 @@ def dim_customer(readings: DataFrame, policies: DataFrame, as_of: Column | str,
     vehicles = readings.groupBy("customer_id", "vehicle_id").agg(
         F.count("*").alias("events"), F.max("event_ts").alias("last_ts")
     )
+    return _customers(vehicles, policies, as_of, active_days)
+
+
+def _customers(vehicles: DataFrame, policies: DataFrame, as_of: Column | str, active_days: int = 7) -> DataFrame:
     is_active = F.col("vehicle_id").isNotNull() & (F.col("last_ts") >= days_before(as_ntz(as_of), active_days))
     fleets = vehicles.groupBy("customer_id").agg(
         F.count("vehicle_id").alias("fleet_size"),
@@ -154,6 +162,10 @@ def fleet_health(
         F.bool_and(rules.can_is_healthy(F.col("tel_can_bus_health"), healthy)).alias("can_ok"),
         F.bool_or(F.coalesce("tel_tamper_alert", F.lit(False))).alias("tamper"),
     )
+    return _health(parts, as_of)
+
+
+def _health(parts: DataFrame, as_of: Column | str) -> DataFrame:
     vehicle = Window.partitionBy("vehicle_id")
     merged = parts.withColumns(
         {
@@ -228,7 +240,11 @@ def realtime_fleet_status(readings: DataFrame, healthy: Collection[str] = rules.
         F.struct("event_ts", "customer_id", "gps_latitude", "gps_longitude", "tel_ignition_status", "tel_can_bus_health"),
         F.struct("event_ts", "ingest_ts"),
     )
-    state = readings.groupBy("vehicle_id").agg(
+    return _status(_vehicle_state(readings, newest, healthy))
+
+
+def _vehicle_state(readings: DataFrame, newest: Column, healthy: Collection[str]) -> DataFrame:
+    return readings.groupBy("vehicle_id").agg(
         newest.alias("newest"),
         F.round(F.avg("gps_speed_kph"), 1).alias("avg_speed_kph"),
         F.round(F.max("gps_speed_kph"), 1).alias("max_speed_kph"),
@@ -238,6 +254,9 @@ def realtime_fleet_status(readings: DataFrame, healthy: Collection[str] = rules.
         F.max("j1939_coolant_temp_c").alias("coolant"),
         F.min("j1939_battery_voltage_v").alias("battery"),
     )
+
+
+def _status(state: DataFrame) -> DataFrame:
     return state.select(
         "vehicle_id",
         F.col("newest.customer_id").alias("customer_id"),
@@ -253,3 +272,125 @@ def realtime_fleet_status(readings: DataFrame, healthy: Collection[str] = rules.
         "max_dtc_count",
         F.col("newest.tel_can_bus_health").alias("can_bus_health"),
     )
+
+
+# ---- the same tables from partial aggregates per vehicle and day -----------------------------
+
+_MEANS = {
+    "speed": "j1939_vehicle_speed_kph",
+    "fuel_rate": "j1939_fuel_rate_lph",
+    "load": "j1939_engine_load_pct",
+    "coolant": "j1939_coolant_temp_c",
+    "battery": "j1939_battery_voltage_v",
+    "tyre": "j1939_tyre_pressure_front_left_kpa",
+    "def": "j1939_def_level_pct",
+    "gsm": "tel_gsm_signal_dbm",
+    "gps": "gps_speed_kph",
+}
+_MAXIMA = {
+    "coolant": "j1939_coolant_temp_c",
+    "dtc": "j1939_active_dtc_count",
+    "odometer": "j1939_odometer_km",
+    "hours": "j1939_engine_hours",
+    "queue": "tel_storage_queue_depth",
+    "gps": "gps_speed_kph",
+}
+_STATE = ("event_ts", "customer_id", "gps_latitude", "gps_longitude", "tel_ignition_status", "tel_can_bus_health")
+
+
+def day_parts(readings: DataFrame, healthy: Collection[str] = rules.HEALTHY_CAN) -> DataFrame:
+    """What fleet facts, dimensions, health and status need of a vehicle's day, in one row.
+
+    All columns can be merged over days, so after late data only the touched days are computed
+    again and the tables are rolled up from these few rows.
+    """
+    return readings.groupBy(
+        "customer_id", "vehicle_id", "device_id", day_start(F.col("event_ts")).alias("metric_date")
+    ).agg(
+        F.count("*").alias("n"),
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        *[F.sum(c).alias(f"{m}_sum") for m, c in _MEANS.items()],
+        *[F.count(c).alias(f"{m}_n") for m, c in _MEANS.items()],
+        *[F.max(c).alias(f"{m}_max") for m, c in _MAXIMA.items()],
+        F.min("j1939_battery_voltage_v").alias("battery_min"),
+        F.sum(F.coalesce("j1939_total_fuel_used_l", F.lit(0.0))).alias("counter_sum"),
+        _count_when(F.col("j1939_active_dtc_count") > 0).alias("dtc_readings"),
+        _count_when(F.col("j1939_brake_switch")).alias("brakes"),
+        F.bool_and(rules.can_is_healthy(F.col("tel_can_bus_health"), healthy)).alias("can_ok"),
+        F.bool_or(F.coalesce("tel_tamper_alert", F.lit(False))).alias("tamper"),
+        F.max_by(F.struct(*_STATE), _order()).alias("newest"),
+        F.max(_order()).alias("newest_order"),
+    )
+
+
+def _order() -> Column:
+    return F.struct("event_ts", "ingest_ts", F.col("record_metadata.offset").alias("offset"))
+
+
+def _mean(name: str, digits: int) -> Column:
+    return F.round(F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")), digits)
+
+
+def fleet_from_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("customer_id", "metric_date").agg(
+        F.countDistinct("vehicle_id").alias("active_vehicles"),
+        F.sum("n").alias("total_readings"),
+        _mean("speed", 1).alias("fleet_avg_speed_kph"),
+        _mean("fuel_rate", 2).alias("fleet_avg_fuel_rate_lph"),
+        F.round(F.sum("counter_sum"), 0).alias("fleet_total_fuel_l"),
+        _mean("load", 1).alias("fleet_avg_engine_load_pct"),
+        _mean("coolant", 1).alias("fleet_avg_coolant_temp_c"),
+        F.sum("dtc_readings").alias("readings_with_dtc"),
+        _mean("battery", 2).alias("fleet_avg_battery_v"),
+        F.sum("brakes").alias("fleet_brake_events"),
+        _mean("tyre", 1).alias("fleet_avg_tyre_fl_kpa"),
+        _mean("def", 1).alias("fleet_avg_def_level_pct"),
+    )
+
+
+def vehicles_from_parts(parts: DataFrame, policies: DataFrame) -> DataFrame:
+    seen = parts.groupBy("vehicle_id", "customer_id", "device_id").agg(
+        F.min("first_ts").alias("first_seen_ts"),
+        F.max("last_ts").alias("last_seen_ts"),
+        F.sum("n").alias("total_gps_events"),
+    )
+    return _with_terms(seen, policies)
+
+
+def customers_from_parts(parts: DataFrame, policies: DataFrame, as_of: Column | str) -> DataFrame:
+    vehicles = parts.groupBy("customer_id", "vehicle_id").agg(
+        F.sum("n").alias("events"), F.max("last_ts").alias("last_ts")
+    )
+    return _customers(vehicles, policies, as_of)
+
+
+def health_from_parts(parts: DataFrame, as_of: Column | str) -> DataFrame:
+    merged = parts.groupBy("customer_id", "vehicle_id", "device_id").agg(
+        F.max("last_ts").alias("last_event_ts"),
+        F.coalesce(F.max("dtc_max"), F.lit(0)).alias("max_dtc_count"),
+        F.max("coolant_max").alias("coolant"),
+        F.min("battery_min").alias("battery"),
+        F.max("odometer_max").alias("odometer"),
+        F.max("hours_max").alias("hours"),
+        F.sum("gsm_sum").alias("gsm_sum"),
+        F.sum("gsm_n").alias("gsm_count"),
+        F.max("queue_max").alias("queue"),
+        F.bool_and("can_ok").alias("can_ok"),
+        F.bool_or("tamper").alias("tamper"),
+    )
+    return _health(merged, as_of)
+
+
+def status_from_parts(parts: DataFrame) -> DataFrame:
+    state = parts.groupBy("vehicle_id").agg(
+        F.max_by("newest", "newest_order").alias("newest"),
+        _mean("gps", 1).alias("avg_speed_kph"),
+        F.round(F.max("gps_max"), 1).alias("max_speed_kph"),
+        F.coalesce(F.max("dtc_max"), F.lit(0)).alias("max_dtc_count"),
+        F.bool_or("tamper").alias("tamper"),
+        F.bool_and("can_ok").alias("can_healthy"),
+        F.max("coolant_max").alias("coolant"),
+        F.min("battery_min").alias("battery"),
+    )
+    return _status(state)

@@ -1,73 +1,181 @@
-"""Incremental refresh: raw deliveries to curated readings to daily facts and trips.
+"""Incremental refresh: raw deliveries to curated readings, facts, dimensions, health and trips.
 
 Late and repeated deliveries may change any past reading, so each increment recomputes exactly
-the keys it touches: (vehicle, day) for daily facts and (vehicle, time bucket) for trip runs.
-The result equals a full rebuild.
+the vehicle days it touches: daily facts, the partial aggregates of all roll-ups, and trip runs.
+The result equals a full rebuild, whatever the order of the increments; rows without a vehicle or
+an event time are keys like others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlark.functions.timing import epoch_seconds
-from roadlark.operators import facts, trips
+from roadlark.functions import rules
+from roadlark.operators import facts, retention, trips
 from roadlark.operators.curated import latest_readings
-from roadlark.streaming.log import newest_version, read_log, write_batch
+from roadlark.session import work_folder
+from roadlark.streaming.log import Log, newest_version
+
+# An increment that touches more days than this (broken clocks, say) does without folder pruning.
+MAX_PRUNED_DAYS = 1000
+_DAY = ["vehicle_id", "event_date"]
+
+
+def _same_day(a: DataFrame, b: DataFrame) -> Column:
+    return a["vehicle_id"].eqNullSafe(b["vehicle_id"]) & a["event_date"].eqNullSafe(b["event_date"])
 
 
 class IncrementalTables:
-    def __init__(self, spark: SparkSession, root: str, bucket_seconds: int = trips.BUCKET_SECONDS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        bucket_seconds: int = trips.BUCKET_SECONDS,
+        healthy: Collection[str] = rules.HEALTHY_CAN,
+    ):
+        if 86400 % bucket_seconds:
+            raise ValueError("a day must be a whole number of buckets")
         self.spark = spark
-        self.root = root
         self.bucket_seconds = bucket_seconds
+        self.healthy = healthy
+        self.log = {n: Log(spark, f"{root}/{n}") for n in ("readings", "touched", "daily", "parts", "runs")}
 
-    def _path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def _bucket(self) -> Column:
-        return F.floor(epoch_seconds(F.col("event_ts")) / self.bucket_seconds)
+    # writing ---------------------------------------------------------------------------------
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Add one increment.  Repeating an increment under the same id changes nothing."""
-        added = self._add(batch, batch_id).select("vehicle_id", "event_date", self._bucket().alias("_bucket"))
-        # Distinct calendar dates: bounded by time, and needed as literals to prune folders.
-        dates = [row[0] for row in added.select("event_date").distinct().collect()]
-        log = (
-            read_log(self.spark, self._path("readings"))
-            .where(F.col("event_date").isin(dates) & (F.col("batch_id") <= batch_id))
-            .withColumn("_bucket", self._bucket())
-        )
-
-        def touched(*keys: str) -> DataFrame:
-            """Current readings of the touched keys; the keys are cut out before the shuffle."""
-            return latest_readings(log.join(added.select(*keys).distinct(), list(keys), "left_semi"))
-
-        self._derive(
-            touched("vehicle_id", "event_date"), touched("vehicle_id", "event_date", "_bucket"), batch_id
-        )
+        days = self._add(batch, batch_id).select(*_DAY).distinct()
+        log = self._of_days(self.log["readings"].read().where(F.col("batch_id") <= batch_id), days)
+        # The touched days' current readings: written once, read by every table.
+        touched = latest_readings(log.join(days, _same_day(log, days), "left_semi"))
+        self.log["touched"].write(touched.drop("batch_id"), batch_id)
+        self._derive(self.log["touched"].batch(batch_id), batch_id)
 
     def load(self, rows: DataFrame, batch_id: int = 0) -> None:
         """First increment: with nothing to merge, its own readings are the current ones."""
-        current = self._add(rows, batch_id)
-        self._derive(current, current, batch_id)
+        self._derive(self._add(rows, batch_id), batch_id)
 
     def _add(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Write the increment's newest deliveries; returns them as read back from its folder."""
         dated = batch.withColumn("event_date", F.to_date("event_ts"))
-        write_batch(latest_readings(dated), self._path("readings"), batch_id, ["event_date"])
-        return self.spark.read.parquet(f"{self._path('readings')}/batch_id={batch_id}")
-
-    def _derive(self, days: DataFrame, pieces: DataFrame, batch_id: int) -> None:
-        write_batch(facts.fact_vehicle_daily(days), self._path("daily"), batch_id)
-        write_batch(trips.trip_runs(pieces, self.bucket_seconds), self._path("runs"), batch_id)
+        self.log["readings"].write(latest_readings(dated), batch_id, ["event_date"])
+        return self.log["readings"].batch(batch_id)
+
+    def _of_days(self, log: DataFrame, days: DataFrame) -> DataFrame:
+        """Prune folders by the dates of ``days``, as long as they are few."""
+        dates = [r[0] for r in days.select("event_date").distinct().limit(MAX_PRUNED_DAYS + 1).collect()]
+        if len(dates) > MAX_PRUNED_DAYS:
+            return log
+        known = F.col("event_date").isin([d for d in dates if d is not None])
+        return log.where(known | F.col("event_date").isNull() if None in dates else known)
+
+    def _derive(self, days: DataFrame, batch_id: int) -> None:
+        for name, rows in self._derived(days).items():
+            self.log[name].write(rows, batch_id)
+
+    def _derived(self, days: DataFrame) -> dict[str, DataFrame]:
+        return {
+            "daily": facts.fact_vehicle_daily(days),
+            "parts": facts.day_parts(days, self.healthy),
+            "runs": trips.trip_runs(days, self.bucket_seconds),
+        }
+
+    # A key's rows are replaced as a whole; runs are keyed by piece, and a piece lies in one day.
+    KEYS = {
+        "daily": ["vehicle_id", "metric_date"],
+        "parts": ["vehicle_id", "metric_date"],
+        "runs": ["vehicle_id", "bucket"],
+    }
+
+    def compact(self) -> None:
+        """Drop superseded versions from all logs."""
+        newest = latest_readings(self.log["readings"].read())
+        self.log["readings"].swap(newest, ["event_date"])
+        for name, keys in self.KEYS.items():
+            self.log[name].compact(keys)
+
+    def retain(self, policies: DataFrame, as_of: Column | str) -> int:
+        """Delete deliveries beyond their customer's retention; returns how many.
+
+        Only date folders that hold such deliveries are rewritten.  Then the touched vehicle days
+        are recomputed, and their rows replaced or, if nothing is left of a day, removed.
+        Interrupted runs can be repeated.
+        """
+        log = self.log["readings"].read()
+        work = work_folder(self.spark, "retention")
+        gone = retention.expired(log, policies, as_of)
+        gone.groupBy(*_DAY).count().write.parquet(f"{work}/days")
+        days = self.spark.read.parquet(f"{work}/days")
+        total = days.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        if not total:
+            return 0
+        batch = log.agg(F.max("batch_id")).first()[0]
+        dates = days.select("event_date").distinct()
+        rows = self._of_days(log, days)
+        same = rows["event_date"].eqNullSafe(dates["event_date"])
+        affected = rows.join(dates, same, "left_semi")
+        retention.retained(affected, policies, as_of).write.partitionBy("batch_id", "event_date").parquet(f"{work}/kept")
+        affected.select("batch_id", "event_date").distinct().write.parquet(f"{work}/folders")
+        self._replace(f"{work}/kept", f"{work}/folders")
+
+        now = latest_readings(self._of_days(self.log["readings"].read(), days))
+        current = now.join(days, _same_day(now, days), "left_semi").drop("batch_id")
+        current.write.parquet(f"{work}/current")
+        derived = self._derived(self.spark.read.parquet(f"{work}/current"))
+        for name, rows in derived.items():
+            old = self.log[name].read()
+            day = "metric_date" if name != "runs" else None
+            date = F.to_date(day) if day else F.to_date(F.timestamp_seconds(F.col("bucket") * self.bucket_seconds))
+            old = old.withColumn("event_date", date)
+            other = old.join(days, _same_day(old, days), "left_anti").drop("event_date")
+            merged = newest_version(other, self.KEYS[name]).withColumn("batch_id", F.lit(batch))
+            self.log[name].swap(merged.unionByName(rows.withColumn("batch_id", F.lit(batch))))
+        return total
+
+    def _replace(self, kept: str, folders: str) -> None:
+        """Overwrite the date folders with what is kept of them; remove those with nothing left."""
+        target = self.log["readings"].folder()
+        every = self.spark.read.parquet(folders)
+        rows = self.spark.read.schema(self.log["readings"].read().schema).parquet(kept)
+        writer = rows.hint("rebalance", "batch_id", "event_date").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "event_date").parquet(target)
+        left = rows.select("batch_id", "event_date").distinct()
+        same = every["batch_id"].eqNullSafe(left["batch_id"]) & every["event_date"].eqNullSafe(left["event_date"])
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        # One row per removed folder: bounded by batches and days.
+        for batch_id, date in every.join(left, same, "left_anti").toLocalIterator():
+            name = "__HIVE_DEFAULT_PARTITION__" if date is None else date
+            path = hadoop(f"{target}/batch_id={batch_id}/event_date={name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    # reading ---------------------------------------------------------------------------------
+
+    def _newest(self, name: str) -> DataFrame:
+        return newest_version(self.log[name].read(), self.KEYS[name])
 
     def readings(self) -> DataFrame:
-        return latest_readings(read_log(self.spark, self._path("readings"))).drop("batch_id", "event_date")
+        return latest_readings(self.log["readings"].read()).drop("batch_id", "event_date")
 
     def fact_vehicle_daily(self) -> DataFrame:
-        return newest_version(read_log(self.spark, self._path("daily")), ["vehicle_id", "metric_date"])
+        return self._newest("daily")
+
+    def fact_customer_fleet(self) -> DataFrame:
+        return facts.fleet_from_parts(self._newest("parts"))
+
+    def dim_vehicle(self, policies: DataFrame) -> DataFrame:
+        return facts.vehicles_from_parts(self._newest("parts"), policies)
+
+    def dim_customer(self, policies: DataFrame, as_of: Column | str) -> DataFrame:
+        return facts.customers_from_parts(self._newest("parts"), policies, as_of)
+
+    def fleet_health(self, as_of: Column | str) -> DataFrame:
+        return facts.health_from_parts(self._newest("parts"), as_of)
+
+    def fleet_status(self) -> DataFrame:
+        return facts.status_from_parts(self._newest("parts"))
 
     def trip_summaries(self, fences: DataFrame) -> DataFrame:
-        runs = newest_version(read_log(self.spark, self._path("runs")), ["vehicle_id", "bucket"])
-        return trips.trips_from_runs(runs, fences)
+        return trips.trips_from_runs(self._newest("runs"), fences)

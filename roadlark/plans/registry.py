@@ -208,6 +208,10 @@ def geofences(spark, sf_dir):
 @query
 def refresh_incremental(spark, sf_dir):
     """A first load and two increments by ingest time, out of event order."""
+    return refreshed(spark, sf_dir).fact_vehicle_daily()
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> IncrementalTables:
     built = IncrementalTables(spark, work_folder(spark, "refresh"))
     raw = landing(spark, sf_dir)
     cuts = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in (11, 21)]
@@ -215,7 +219,40 @@ def refresh_incremental(spark, sf_dir):
     built.load(raw.where(ts < cuts[0]))
     built.apply(raw.where((ts >= cuts[0]) & (ts < cuts[1])), 1)
     built.apply(raw.where(ts >= cuts[1]), 2)
-    return built.fact_vehicle_daily()
+    return built
+
+
+@query
+def refresh_fleet(spark, sf_dir):
+    return refreshed(spark, sf_dir).fact_customer_fleet()
+
+
+@query
+def refresh_vehicles(spark, sf_dir):
+    return refreshed(spark, sf_dir).dim_vehicle(masters.policies_from_customers(spark, sf_dir, AS_OF))
+
+
+@query
+def refresh_customers(spark, sf_dir):
+    return refreshed(spark, sf_dir).dim_customer(masters.policies_from_customers(spark, sf_dir, AS_OF), AS_OF)
+
+
+@query
+def refresh_health(spark, sf_dir):
+    return refreshed(spark, sf_dir).fleet_health(AS_OF)
+
+
+@query
+def refresh_status(spark, sf_dir):
+    """After a compaction, which changes no table."""
+    built = refreshed(spark, sf_dir)
+    built.compact()
+    return built.fleet_status()
+
+
+@query
+def refresh_trips(spark, sf_dir):
+    return refreshed(spark, sf_dir).trip_summaries(masters.fences_from_nations(spark, sf_dir))
 
 
 # ---- curated layer -----------------------------------------------------------------------------
@@ -842,6 +879,33 @@ def after_retention(m: FleetModel) -> DataFrame:
 
 over_model("retention_propagate", after_retention)
 
+
+def after_deletion(spark: SparkSession, sf_dir: str) -> IncrementalTables:
+    built = refreshed(spark, sf_dir)
+    built.retain(masters.policies_from_customers(spark, sf_dir, AS_OF), RETENTION_AS_OF)
+    return built
+
+
+@query
+def retention_applied(spark, sf_dir):
+    """What is left in storage after the expired deliveries were deleted."""
+    return after_deletion(spark, sf_dir).readings().select("vehicle_id", "customer_id", "event_ts", "ingest_ts")
+
+
+@query
+def retention_daily(spark, sf_dir):
+    return after_deletion(spark, sf_dir).fact_vehicle_daily()
+
+
+@query
+def retention_health(spark, sf_dir):
+    return after_deletion(spark, sf_dir).fleet_health(RETENTION_AS_OF)
+
+
+@query
+def retention_trips(spark, sf_dir):
+    return after_deletion(spark, sf_dir).trip_summaries(masters.fences_from_nations(spark, sf_dir))
+
 # ---- streaming -------------------------------------------------------------------------------------
 
 
@@ -860,10 +924,7 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_fleet_status(spark, sf_dir):
-    root = work_folder(spark, "status")
-    state = tables.newest_state(stream_source(spark, sf_dir, root))
-    tables.start_update(state, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return log.newest_version(log.read_log(spark, f"{root}/out"), ["vehicle_id"])
+    return streamed_tables(spark, sf_dir).fleet_status()
 
 
 @query

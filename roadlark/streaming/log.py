@@ -44,3 +44,56 @@ def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str]) ->
     """Copy a log without its superseded versions; the copy is a log again."""
     newest = _newest(read_log(spark, path), keys)
     newest.write.mode("overwrite").partitionBy("batch_id").parquet(target)
+
+
+class Log:
+    """A log whose folder can be swapped for a rewritten one.
+
+    The first generation is the folder itself, later ones stand beside it with their number.
+    Batches go to the newest generation.  ``swap`` writes the next one; it counts only once Spark
+    has marked it as complete, and then the older ones are removed.  A swap that fails in between
+    leaves the log as it was.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _files(self):
+        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _newest_generation(self) -> int:
+        """The last complete generation; the first one needs no mark."""
+        files, root = self._files(), self._path(self.root)
+        if not files.exists(root.getParent()):
+            return 0
+        names = [s.getPath().getName().rpartition(".") for s in files.listStatus(root.getParent())]
+        numbers = [int(n) for name, _, n in names if name == root.getName() and n.isdigit()]
+        return max((n for n in numbers if files.exists(self._path(f"{self.root}.{n}/_SUCCESS"))), default=0)
+
+    def folder(self, generation: int | None = None) -> str:
+        number = self._newest_generation() if generation is None else generation
+        return f"{self.root}.{number}" if number else self.root
+
+    def write(self, rows: DataFrame, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+        write_batch(rows, self.folder(), batch_id, partition_by)
+
+    def read(self) -> DataFrame:
+        return read_log(self.spark, self.folder())
+
+    def batch(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder()}/batch_id={batch_id}")
+
+    def swap(self, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Replace the content by ``rows``, which have ``batch_id`` and may come from the log itself."""
+        before = self._newest_generation()
+        parts = ["batch_id", *partition_by]
+        rows.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(self.folder(before + 1))
+        self._files().delete(self._path(self.folder(before)), True)
+
+    def compact(self, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+        """Drop the superseded versions of all keys."""
+        self.swap(_newest(self.read(), keys), partition_by)
