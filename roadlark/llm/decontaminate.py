@@ -46,7 +46,7 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text, start, end) of the lower-case words of all texts; start and end are bytes."""
+    """(hash, text, start, end) of the lower-case words of all texts, in bytes of each text."""
     data, offsets = utf8(pc.utf8_lower(column))
     inside = _WORD_BYTE[data]
     edge = np.zeros(len(data) + 1, bool)
@@ -54,7 +54,8 @@ def words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     start = np.flatnonzero(inside & ~(np.concatenate(([False], inside[:-1])) & ~edge[:-1]))
     end = np.flatnonzero(inside & ~(np.concatenate((inside[1:], [False])) & ~edge[1:])) + 1
     hashes = _ROLLING.ranges(_ROLLING.sums(data), start, end)
-    return hashes, np.searchsorted(offsets, start, "right") - 1, start, end
+    text = np.searchsorted(offsets, start, "right") - 1
+    return hashes, text, start - offsets[text], end - offsets[text]
 
 
 def pairs(hashes: np.ndarray) -> np.ndarray:
@@ -177,7 +178,7 @@ def share(part: np.ndarray, passage: np.ndarray) -> float:
 def matches(index: Index, texts, threshold: float, overlap: float):
     """(text, item, score, question, answer, start, end), the best passage per text and item.
 
-    start and end are the passage's bytes in the lower-case text.
+    start and end are the passage's bytes in its lower-case text.
     """
     hashes, text, begin, end = words(texts)
     at = np.minimum(np.searchsorted(index.terms, hashes), len(index.terms) - 1)
@@ -205,15 +206,15 @@ def matches(index: Index, texts, threshold: float, overlap: float):
     best: dict[tuple[int, int], tuple] = {}
     for p, k, score in retrieve(index, passage, term, total, threshold):
         key = int(home[p]), k
-        if key in best and best[key][2] >= score:
-            continue
         inside = pairs(hashes[low[p] : high[p]])
         inside = np.concatenate((inside, hashes[low[p] : high[p]]))
         q, a = (share(part, inside) for part in index.parts[k])
-        if q >= overlap and a >= overlap:
+        # Of passages of one score, that with more of the item's word pairs.
+        rank = round(score, 4), q + a
+        if q >= overlap and a >= overlap and (key not in best or rank > best[key][0]):
             where = int(begin[low[p]]), int(end[high[p] - 1])
-            best[key] = (key[0], k, score, q, a, *where)
-    return list(best.values())
+            best[key] = rank, (key[0], k, score, q, a, *where)
+    return [row for _, row in best.values()]
 
 
 def indexes(benchmark: DataFrame):

@@ -64,12 +64,13 @@ SCOPE = {"ul", "ol", "dl", "table", "select", "article", "section", "div", "body
 TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|(!--)|([!?/]))")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+HOLDS = re.compile(r"(?i)\b(?:with|has|no|without|hide|show|is)[-_]+[\w-]+")
 PUNCTUATION = re.compile(r"[.,;:!?\u2026\u3001\u3002\uff0c\uff01\uff1f\u061f\u060c\u0964]")
 SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("path", "chain", "out", "named", "text", "linked", "heading")
+    __slots__ = ("path", "chain", "out", "named", "text", "linked", "heading", "lead")
 
 
 class Reader:
@@ -77,7 +78,8 @@ class Reader:
 
     def __init__(self, page: str) -> None:
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, number, outside, named
+        # Tag, number, outside, and the number of the outermost element named like a part around.
+        self.open: list[tuple[str, int, bool, int]] = []
         self.articles: set[int] = set()
         self.count = 0
         self.pieces: list[str] = []
@@ -92,7 +94,8 @@ class Reader:
             tags = [t for t, _, _, _ in self.open if t in BLOCK]
             b.path, b.text, b.heading = "/".join(tags), text, bool(tags) and tags[-1] in HEADING
             b.chain = [n for _, n, _, _ in self.open]
-            b.out, b.named = (bool(self.open) and self.open[-1][k] for k in (2, 3))
+            b.out, b.named = self.open[-1][2:] if self.open else (False, 0)
+            b.lead = bool(tags) and tags[-1] == "h1" or any(n in self.articles for n in b.chain)
             b.linked = min(self.links, len(text))
             self.blocks.append(b)
         self.pieces, self.links = [], 0
@@ -157,12 +160,12 @@ class Reader:
         if tag in VOID:
             return
         self.count += 1
-        outside, named = (self.open[-1][2], self.open[-1][3]) if self.open else (False, False)
+        outside, named = self.open[-1][2:] if self.open else (False, 0)
         inside = any(t in ("article", "main") for t, _, _, _ in self.open)
         outside = outside or tag in OUTSIDE or (tag == "header" and not inside)
         if attributes.strip(" /"):
             out, name = self.judge(tag, attributes, inside)
-            outside, named = outside or out, named or name
+            outside, named = outside or out, named or (self.count if name else 0)
         if tag in ("article", "main"):
             self.articles.add(self.count)
         self.open.append((tag, self.count, outside, named))
@@ -192,7 +195,8 @@ class Reader:
                 flat = value.replace(" ", "").lower()
                 out |= "display:none" in flat or "visibility:hidden" in flat
             elif key in ("class", "id"):
-                words |= {w.lower() for w in PART.findall(value)}
+                # "with-sidebar" and the like name what an element holds, not what it is.
+                words |= {w.lower() for w in PART.findall(HOLDS.sub(" ", value))}
         if tag in ("html", "body", "main"):
             return False, False
         if inside:
@@ -249,8 +253,16 @@ def main_text(page: str | None) -> str:
         return ""
     reader = Reader(page)
     plain = [b for b in reader.blocks if not b.out]
+    # A named element with most of the page's text and its article or title is no part around it.
+    size, lead = defaultdict(int), set()
+    for b in plain:
+        size[b.named] += len(b.text)
+        if b.lead:
+            lead.add(b.named)
+    most = sum(size.values()) / 2
+    wrong = {n for n in lead if size[n] > most}
     # If the names leave nothing at all, they were wrong.
-    blocks = [b for b in plain if not b.named] or plain
+    blocks = [b for b in plain if not b.named or b.named in wrong] or plain
     if not blocks:
         return ""
     score = scores(blocks)

@@ -413,7 +413,9 @@ def classify(
     quality, harmless or keep are replaced.
     """
     plain = documents.drop("quality", "harmless", "keep")
-    (form, form_bias), (abuse, abuse_bias) = trained(plain, labels, training_rows, labelled_rows)
+    (form, form_bias), (abuse, abuse_bias) = trained(
+        plain.select("doc_id", "text"), labels, training_rows, labelled_rows
+    )
     both = np.stack([form, abuse])
     shared = documents.sparkSession.sparkContext.broadcast(both)  # CELLS numbers each
     bias = np.array([form_bias, abuse_bias])

@@ -74,7 +74,9 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
 
 def remaining(columns: np.ndarray, step: int) -> np.ndarray:
     """Length of each vector's part from each block of dimensions on."""
-    squares = np.add.reduceat(columns * columns, np.arange(0, max(len(columns), 1), step), axis=0)
+    if not len(columns):
+        return np.zeros((1, columns.shape[1]))
+    squares = np.add.reduceat(columns * columns, np.arange(0, len(columns), step), axis=0)
     rest = np.cumsum(squares[::-1], axis=0)[::-1]
     # Room for rounding: bounds may be too wide, never too narrow.
     return np.sqrt(np.vstack([rest, np.zeros((1, columns.shape[1]))])) * (1 + 1e-9)
