@@ -627,7 +627,9 @@ WHERE gps_speed_kph > 5 AND gps_speed_kph <= 90"""
 
 # ---- governance and retention ------------------------------------------------------------------------
 
-BODIES["customer_vehicles"] = "SELECT * FROM registry"
+BODIES["customer_vehicles"] = """
+SELECT * EXCLUDE (n), 'XX-' || (n // 9000 + 10) || '-XX-' || (n % 9000 + 1000) AS device_serial_number FROM (
+  SELECT *, CAST('0x' || md5(vehicle_id || '|' || device_id)[1:15] AS BIGINT) % 810000 AS n FROM registry)"""
 BODIES["row_policy"] = f"SELECT * FROM trip WHERE customer_id || '_ROLE' = '{ROLE}'"
 BODIES["mask_email"] = f"""
 SELECT * EXCLUDE (driver_email), '****-****' AS device_serial_number, '****@fleet.example' AS driver_email

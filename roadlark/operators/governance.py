@@ -81,9 +81,11 @@ def masked_by_tags(df: DataFrame, role: str, admins=PLATFORM_ADMINS) -> DataFram
 def customer_vehicles(vehicles: DataFrame, policies: DataFrame, email_domain: str = "fleet.example") -> DataFrame:
     """Vehicle registry with the two sensitive columns the masks protect.
 
-    The serial number is a hash of the device, so a retried task writes the same number again.
+    The serial number comes from the md5 of vehicle and device, so a retried task writes the same
+    number again and any engine can check it.
     """
-    serial = F.pmod(F.xxhash64("vehicle_id", "device_id"), F.lit(90 * 9000))
+    name = F.concat_ws("|", "vehicle_id", "device_id").cast("binary")
+    serial = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint") % F.lit(90 * 9000)
     return (
         vehicles.drop("raw_retention_days", "tenant_isolation_enabled")
         .join(policies.select("customer_id", "raw_retention_days", "tenant_isolation_enabled"), "customer_id")

@@ -753,7 +753,7 @@ def vehicle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_typed(spark, sf_dir):
-    return payloads.typed_payload(vehicle_payloads(spark, sf_dir))
+    return payloads.typed_payload(vehicle_payloads(spark, sf_dir)).orderBy(F.desc("event_time"), "vehicle_id")
 
 
 @query
@@ -795,7 +795,14 @@ def registry_of(m: FleetModel) -> DataFrame:
     return governance.customer_vehicles(m.vehicles, m.policies)
 
 
-over_model("customer_vehicles", lambda m: registry_of(m).drop("device_serial_number"))
+@query
+def customer_vehicles(spark, sf_dir):
+    """Written as a table and read back."""
+    path = work_folder(spark, "customer-vehicles")
+    registry_of(model(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 over_model("row_policy", lambda m: governance.rows_of_role(m.trips, ROLE))
 over_model("mask_email", lambda m: governance.secured(registry_of(m), ROLE, VEHICLE_MASKS))
 over_model(

@@ -24,12 +24,14 @@ TABLE_FUNCTIONS = {
         vehicle_id STRING, total_trips BIGINT, total_distance_km DOUBLE, total_fuel_l DOUBLE,
         avg_fuel_efficiency DOUBLE, top_speed DOUBLE, health_status STRING, driver_grade STRING)""": """
         SELECT vehicle_id, total_trips, total_km, total_fuel_l, avg_fuel_eff, top_speed, health_status, driver_grade
-        FROM driver_scorecard_v1 WHERE customer_id = customer""",
+        FROM driver_scorecard_v1 WHERE customer_id = customer
+        ORDER BY total_km DESC NULLS FIRST, vehicle_id""",
     """get_speed_violations(customer STRING, threshold DOUBLE) RETURNS TABLE (
         vehicle_id STRING, trip_num BIGINT, trip_start_ts TIMESTAMP_NTZ, max_speed_kph DOUBLE,
         start_geofence STRING, end_geofence STRING)""": """
         SELECT vehicle_id, trip_num, trip_start_ts, round(max_speed_kph, 1), start_geofence, end_geofence
-        FROM trip_summaries_v1 WHERE customer_id = customer AND max_speed_kph > threshold""",
+        FROM trip_summaries_v1 WHERE customer_id = customer AND max_speed_kph > threshold
+        ORDER BY max_speed_kph DESC NULLS FIRST, vehicle_id, trip_num""",
 }
 
 

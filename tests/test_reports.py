@@ -93,3 +93,25 @@ def test_text_scoring_shuffles_nothing(spark):
     docs = spark.createDataFrame([(1, "a")], "id int, t string")
     for df in (text.sentiment(docs, text.lexicon(), "id", "t"), text.summary(docs, "id", "t")):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_functions_agree_with_the_column_rules(spark, sf_dir):
+    from roadlark.functions import geo
+    from roadlark.plans.registry import model
+    from roadlark.plans.sql import register
+
+    register(spark, model(spark, sf_dir))
+    points = spark.createDataFrame(
+        [(12.97, 77.59, 28.61, 77.2), (0.0, 0.0, 0.0, 0.0), (10.0, 179.9, 10.0, -179.9), (None, 1.0, 2.0, 3.0)],
+        "a double, b double, c double, d double",
+    )
+    rows = points.select(
+        F.expr("haversine_km(a, b, c, d)").alias("sql"), geo.haversine_km(*map(F.col, "abcd")).alias("column")
+    ).collect()
+    for r in rows:
+        assert (r.sql is None) == (r.column is None) and (r.sql is None or r.sql == pytest.approx(r.column, abs=1e-3))
+    report = spark.sql("SELECT * FROM get_customer_fleet_report('CUST_0003')").collect()
+    far = [r.total_distance_km for r in report]
+    assert len(far) > 0 and far == sorted(far, reverse=True)
+    fast = [r.max_speed_kph for r in spark.sql("SELECT * FROM get_speed_violations('CUST_0003', 80)").collect()]
+    assert fast == sorted(fast, reverse=True)
