@@ -47,7 +47,7 @@ def lexicon() -> dict[str, float]:
 
 def words(text: Column) -> Column:
     """Runs of letters of any script, with their combining marks, lower-cased."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}[\p{L}\p{M}]*)")), F.lower)
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}[\p{L}\p{M}]*)"))
 
 
 def sentiment(docs: DataFrame, scores: dict[str, float], key: str, text: str) -> DataFrame:
