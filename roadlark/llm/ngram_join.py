@@ -7,14 +7,16 @@ threshold.  The join is exact:
 2. Screening.  In hash order, the first e + 1 + s tokens of a set (e: how many tokens a partner
    may lack) share at least s + 1 tokens with any partner.  These tokens are counted in hash
    buckets; sets with fewer shared tokens can have no partner and leave.
-3. Signatures.  The remaining sets order their tokens by frequency class, rare ones first.  Rare
-   tokens are indexed alone.  Frequent ones are dealt to classes, and combinations of two tokens
-   of a class are indexed; a class adds one token less to the prefix than it has, so the prefix
-   is extended until its credit exceeds e.  A pair above the threshold shares a signature.
-4. Verification.  Each signature's least set is compared with the others first; sets that are
-   connected by then need no comparison, so a large group of near copies costs one comparison
-   per member and not one per pair.  What is left in a signature is compared in rounds of more
-   and more of its sets until every pair of it is either compared or connected.
+3. Signatures.  The remaining sets order their tokens by frequency, rare ones first.  How many
+   tokens a partner may lack sets the length of a set's prefix: a short one to be found by sets
+   of its size or more, a longer one to find smaller sets.  Rare tokens are indexed alone.
+   Frequent ones are dealt to classes, and combinations of two tokens of a class are indexed; a
+   class adds one token less to the prefix than it has, so the prefix is extended until it has
+   its credit.  A pair above the threshold shares a signature.
+4. Verification.  Each signature's most common set is compared with the others first; sets that
+   are connected by then need no comparison, so a large group of near copies costs few
+   comparisons per member and not one per pair.  What is left in a signature is compared in
+   rounds of more and more of its sets until every pair of it is either compared or connected.
 
 Tokens are 64-bit hashes of the shingles.
 """
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlark.llm.common import Scratch, constants, mix, parts, utf8
+from roadlark.llm.common import Scratch, constants, mix, parts, unused, utf8
 from roadlark.llm.components import components
 from roadlark.llm.shingles import batches_of_sets, digest
 
@@ -35,11 +37,20 @@ WIDTH = 5
 PERCENT = 75
 # Screening sends a token list on when it has this many tokens.
 FLUSH = 2_000_000
-# Frequencies are kept in a table of fixed size; tokens of one cell share their class.
-CELLS = 1 << 18
-SLICES = 16
-# Sets below this size index every token alone.
+# Tokens of more sets than this are frequent: they are indexed two by two.
+OFTEN = 64
+# Frequent tokens are dealt to a class per so many tokens of a set.
 SMALL = 8
+# Min-hashes per set for the first comparisons, and tokens per block of sets.
+SKETCHES = 4
+BLOCK = 1_000_000
+# Sets of a signature that one round compares with all others of it, at most; rows of one key
+# that are compared together, and rows of many keys that one call handles.
+WIDEST = 1024
+GROUP = 2000
+CELL = 20_000
+DEALT = ["bucket", "block", "tokens", "counts"]
+KINDS = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
 
 def missing(n, percent: int):
@@ -146,7 +157,7 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
             known = np.concatenate([o != nobody for _, o, _ in lists])
             # Any number stands for the owner of a token that is settled.
             sid = np.concatenate(
-                [np.append(s, 0)[np.minimum(o, len(s))] for _, o, s in lists]
+                [np.append(s, np.uint64(0))[np.minimum(o, len(s))] for _, o, s in lists]
             ).astype(np.uint64)
             order = np.lexsort((sid, token))
             token, known, sid = token[order], known[order], sid[order]
@@ -174,94 +185,219 @@ def owner_of(sid):
     return F.conv(F.hex(F.substring(sid, 1, 8)), 16, -10).cast("long")
 
 
-def frequencies(sets: DataFrame) -> np.ndarray:
-    """How many tokens of all sets fall into each cell of a table of fixed size."""
-    bits = np.uint64(64 - CELLS.bit_length() + 1)
+def needed(n: int, m: int, percent: int) -> int:
+    """The least overlap of two similar sets of n and m tokens."""
+    return -(-percent * (n + m) // (100 + percent))
 
-    def run(batches):
-        total = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            for s in batch.column(0):
-                cell = np.frombuffer(s.as_buffer(), "u8") >> bits
-                total += np.bincount(cell.view(np.int64), minlength=CELLS)
-        cut = [x.tobytes() for x in total.reshape(SLICES, -1)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(SLICES), pa.int32()), pa.array(cut, pa.binary())], names=["i", "c"]
-        )
 
-    def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in rows.column("c").to_pylist())
-        return pa.table({"i": rows.column("i")[:1], "c": pa.array([total.tobytes()], pa.binary())})
+def once(block: pa.Table) -> pa.Table:
+    """Sets that repeated rows gave more than once, once; all rows of an id are in one block."""
+    keys = zip(block.column("id").to_pylist(), block.column("sid").to_pylist())
+    last = {k: i for i, k in enumerate(keys)}
+    return block if len(last) == block.num_rows else block.take(pa.array(list(last.values())))
 
-    summed = sets.select("tokens").mapInArrow(run, "i int, c binary")
-    rows = summed.groupBy("i").applyInArrow(add, "i int, c binary").collect()
-    out = np.zeros((SLICES, CELLS // SLICES), np.int64)
-    for r in rows:
-        out[r.i] = np.frombuffer(r.c, np.int64)
-    return out.reshape(-1)
 
+def counted(sets: DataFrame) -> DataFrame:
+    """(block, tokens, counts): in how many sets each token is, for the tokens of several sets.
+
+    A block of sets sends each of its tokens once, with its count, and gets the total back: a
+    token costs a block one entry, however many sets hold it.
+    """
+    buckets = 4 * parts(sets.sparkSession)
 
-def signatures_of(tokens: np.ndarray, cells: np.ndarray, limit: int, percent: int) -> np.ndarray:
-    """The signature keys of one set, whose tokens are distinct."""
+    def row(tokens, counts):
+        return [tokens.tobytes(), counts.astype(np.uint32).tobytes()]
+
+    def deal(block: pa.Table) -> pa.Table:
+        block = once(block)
+        every = np.concatenate([np.frombuffer(x, "u8") for x in block.column("tokens").to_pylist()])
+        tokens, counts = np.unique(every, return_counts=True)
+        bucket = ((tokens >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
+        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        number = block.column("block")[0].as_py()
+        rows = [
+            [b, number, *row(tokens[cut[b] : cut[b + 1]], counts[cut[b] : cut[b + 1]])]
+            for b in range(buckets)
+            if cut[b] < cut[b + 1]
+        ]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), KINDS)]
+        return pa.Table.from_arrays(columns, names=DEALT)
+
+    def count(rows: pa.Table) -> pa.Table:
+        blocks = rows.column("block").to_pylist()
+        tokens = [np.frombuffer(x, "u8") for x in rows.column("tokens").to_pylist()]
+        counts = [np.frombuffer(x, "u4") for x in rows.column("counts").to_pylist()]
+        known, code = np.unique(np.concatenate(tokens), return_inverse=True)
+        total = np.bincount(code, weights=np.concatenate(counts)).astype(np.int64)
+        many = known[total > 1], total[total > 1]
+        out = []
+        for block, mine in zip(blocks, tokens):
+            at = np.searchsorted(many[0], mine)
+            shared = at[np.append(many[0], np.uint64(0))[at] == mine] if len(many[0]) else at[:0]
+            out.append([block, *row(many[0][shared], many[1][shared])])
+        columns = [pa.array(c, k) for c, k in zip(zip(*out), KINDS[1:])]
+        return pa.Table.from_arrays(columns, names=DEALT[1:])
+
+    schema = "block int, tokens binary, counts binary"
+    # The same shuffle as that of ``signatures``, so Spark makes it once.
+    dealt = sets.groupBy("block").applyInArrow(deal, f"bucket int, {schema}")
+    return dealt.groupBy("bucket").applyInArrow(count, schema)
+
+
+def signature_keys(tokens: np.ndarray, counts: np.ndarray, percent: int, often: int = OFTEN):
+    """(keys for partners of the set's size or more, keys for smaller partners) of one set.
+
+    counts tell how many sets hold a token; tokens of this set alone give credit and no key.
+    """
     n = len(tokens)
-    need = missing(n, percent) + 1
-    often = cells[(tokens >> np.uint64(64 - CELLS.bit_length() + 1)).view(np.int64)]
-    order = np.lexsort((tokens, often))
-    tokens, rare = tokens[order], int(np.searchsorted(often[order], limit, "right"))
-    keys = [mix(tokens[: min(rare, need)])]
+    order = np.lexsort((tokens, counts))
+    tokens, counts = tokens[order], counts[order]
+    rare, several = np.searchsorted(counts, [often, 1], "right").tolist()
+    rest = tokens[rare:]
     top = (n // SMALL).bit_length() - 1
-    if rare < need:
-        # Sizes of two similar sets differ by less than a factor of two, so their scales differ
-        # by one at most; each set is indexed on its own scale and on the one below.
-        for scale in {top, max(top - 1, -1)}:
-            rest = tokens[rare:]
+
+    def keys(need: int):
+        yield mix(tokens[several : min(rare, need)])
+        if rare >= need:
+            return
+        # Sizes of similar sets differ by less than a factor of two, so their scales differ by one
+        # at most; each set has keys of its own scale and of the one below.
+        for scale in {max(top, -1), max(top - 1, -1)}:
             if scale < 0:
-                keys.append(mix(rest[: need - rare]))
+                yield mix(rest[: need - rare])
                 continue
             label = mix(rest + np.uint64(5)) & np.uint64((1 << scale) - 1)
             # The first token of a class gives no credit.
-            _, first = np.unique(label, return_index=True)
             credit = np.ones(len(rest), np.int64)
-            credit[first] = 0
+            credit[np.unique(label, return_index=True)[1]] = 0
             end = int(np.searchsorted(np.cumsum(credit), need - rare)) + 1
-            rest, label = rest[:end], label[:end]
-            by = np.argsort(label, kind="stable")
-            rest, label = rest[by], label[by]
-            salt = constants(3, seed=1000 + scale)
-            for gap in range(1, len(rest)):
-                same = label[gap:] == label[:-gap]
+            some, group = rest[:end], label[:end]
+            by = np.argsort(group, kind="stable")
+            some, group = some[by], group[by]
+            salt = constants(2, seed=1000 + scale)
+            for gap in range(1, len(some)):
+                same = group[gap:] == group[:-gap]
                 if not same.any():
                     break
-                a, b = rest[:-gap][same], rest[gap:][same]
-                # Tokens of a class are in one global order, so the pair needs no sorting.
-                keys.append(mix(mix(a + salt[0]) * salt[1] + b * salt[2]))
-    return np.unique(np.concatenate(keys))
+                # Tokens of a class are in one order for all sets, so a pair needs no sorting.
+                yield mix(mix(some[:-gap][same] + salt[0]) * salt[1] + some[gap:][same])
 
+    least = -(-percent * n // 100)
+    own = np.unique(np.concatenate(list(keys(n - needed(n, n, percent) + 1))))
+    every = np.unique(np.concatenate(list(keys(n - needed(n, least, percent) + 1))))
+    return own, np.setdiff1d(every, own, assume_unique=True)
 
-def signatures(sets: DataFrame, cells: np.ndarray, percent: int) -> DataFrame:
-    """(key, id, n) for sets (id, n, tokens)."""
-    limit = int(2 * cells.mean()) + 64
-    shared = sets.sparkSession.sparkContext.broadcast(cells)  # CELLS numbers at any size
 
-    def run(batches):
-        for batch in batches:
-            ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            lists = [
-                signatures_of(np.frombuffer(x.as_buffer(), "u8"), shared.value, limit, percent)
-                for x in batch.column(2)
-            ]
-            count = [len(x) for x in lists]
-            keys = np.concatenate(lists).view(np.int64) if lists else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys),
-                    pa.array(np.repeat(np.array(ids, np.int64), count)),
-                    pa.array(np.repeat(np.array(sizes, np.int64), count)),
-                ],
-                names=["key", "id", "n"],
-            )
+def parity(tokens: np.ndarray) -> bytes:
+    """A bitmap of a set: each token flips one bit.  Its size follows that of the set."""
+    bits = 1 << max(8, len(tokens).bit_length())
+    at = (mix(tokens + np.uint64(71)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).tobytes()
+
 
-    return sets.select("id", "n", "tokens").mapInArrow(run, "key long, id long, n long")
+def folded(maps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of ``size`` bytes.  Tokens keep their lower bits, so a larger map folds."""
+    rows = [np.frombuffer(m, np.uint8) for m in maps]
+    rows = [r if len(r) == size else np.bitwise_xor.reduce(r.reshape(-1, size)) for r in rows]
+    return np.stack(rows)
+
+
+def signatures(sets: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """(id, n, score, bits, sketch, own, probe, tokens) for sets (id, sid, n, tokens, block).
+
+    Sets that share too few tokens with others to have a partner are left out.  score tells how
+    common a set's tokens are.  The keys in sketch come from min-hashes: they find the bulk of a
+    group of near copies with few comparisons.  own are the signatures that partners of the set's
+    size or more find, probe the further ones that find smaller partners.
+    """
+    salts = constants(SKETCHES, seed=41)
+    names = ["id", "n", "score", "bits", "sketch", "own", "probe", "tokens"]
+    longs = pa.list_(pa.int64())
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), longs, longs, longs, pa.binary()]
+
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, "u8") for x in known.column("tokens").to_pylist()]
+        totals = [np.frombuffer(x, "u4") for x in known.column("counts").to_pylist()]
+        token = np.concatenate(lists or [np.empty(0, np.uint64)])
+        total = np.concatenate(totals or [np.empty(0, np.uint32)])
+        order = np.argsort(token)
+        token = np.append(token[order], np.uint64(0))
+        total = np.append(total[order], 1).astype(np.int64)
+        rows, block = [], once(block)
+        ids, sizes = block.column("id").to_pylist(), block.column("n").to_pylist()
+        for i, n, x in zip(ids, sizes, block.column("tokens").to_pylist()):
+            x = np.frombuffer(x, "u8")
+            at = np.searchsorted(token[:-1], x)
+            counts = np.where(token[at] == x, total[at], 1)
+            shared = x[counts > 1]
+            if 100 * len(shared) < percent * n:
+                continue
+            sketch = np.unique([mix(mix(shared + s).min(keepdims=True) + s)[0] for s in salts])
+            own, probe = (k.view(np.int64) for k in signature_keys(x, counts, percent))
+            score = int(counts.mean() * 100)
+            rows.append([i, n, score, parity(x), sketch.view(np.int64), own, probe, x.tobytes()])
+        columns = list(zip(*rows)) or [[]] * len(names)
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    schema = (
+        "id long, n long, score long, bits binary, sketch array<long>, own array<long>,"
+        " probe array<long>, tokens binary"
+    )
+    both = sets.groupBy("block").cogroup(counts.groupBy("block"))
+    return both.applyInArrow(run, schema)
+
+
+def plausible(rows: DataFrame, pivots: DataFrame, cells: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of rows and pivots of one (key, sub) that are to be compared.
+
+    A pair of one component, of too different sizes or of too different bitmaps is none.  Keys
+    share out ``cells`` groups, so no group of many keys or few rows gets a call of its own.
+    """
+    names = ["id", "n", "score", "own", "label"]
+
+    def of_key(rows, pivots):
+        """Pairs of rows and pivots of one key."""
+        maps, others = rows["bits"], pivots["bits"]
+        size = min(map(len, maps + others))
+        x, y = folded(maps, size), folded(others, size)
+        p = {k: np.array(pivots[k])[None, :] for k in names if k != "own"}
+        step = max(1, (4 << 20) // y.size)
+        for begin in range(0, len(x), step):
+            r = {k: np.array(rows[k][begin : begin + step])[:, None] for k in names}
+            least = -(-percent * (r["n"] + p["n"]) // (100 + percent))
+            fit = (r["label"] != p["label"]) & (least <= np.minimum(r["n"], p["n"]))
+            # A smaller set finds a larger one where the larger is not the pivot.
+            fit &= (r["n"] >= p["n"]) | r["own"]
+            if fit.any():
+                odd = np.bitwise_count(x[begin : begin + step, None] ^ y[None]).sum(axis=2)
+                fit &= odd <= r["n"] + p["n"] - 2 * least
+                i, j = np.nonzero(fit)
+                one, two = r["id"][i, 0], p["id"][0, j]
+                yield np.stack([np.minimum(one, two), np.maximum(one, two)])
+
+    def by_key(table: pa.Table) -> dict:
+        """Columns as lists, by key and sub."""
+        out: dict[tuple, dict] = {}
+        columns = [table.column(c).to_pylist() for c in (*names, "bits")]
+        for key, row in zip(zip(*(table.column(c).to_pylist() for c in ("key", "sub"))), zip(*columns)):
+            group = out.setdefault(key, {c: [] for c in (*names, "bits")})
+            for c, v in zip(group, row):
+                group[c].append(v)
+        return out
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        others, found = by_key(right), [np.empty((2, 0), np.int64)]
+        for key, group in by_key(left).items():
+            if key in others:
+                found += of_key(group, others[key])
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"a": a, "b": b})
+
+    cell = F.pmod(F.xxhash64("key", "sub"), F.lit(cells)).alias("cell")
+    columns = cell, "key", "sub", *names, "bits"
+    left, right = rows.select(*columns).groupBy("cell"), pivots.select(*columns).groupBy("cell")
+    return left.cogroup(right).applyInArrow(run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -283,42 +419,71 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Verified links (a, b) that connect all sets (id, n, tokens) that links connect."""
-    cells = frequencies(sets)
-    left = scratch.keep(signatures(sets, cells, percent))
+    """Verified links (a, b) that connect all sets (id, sid, n, tokens, block) that links connect."""
+    every = scratch.keep(signatures(sets, counted(sets), percent))
+    facts = every.select("id", "n", "score", "bits")
     links = scratch.keep(sets.sparkSession.createDataFrame([], "a long, b long"))
-    roots, width = None, 1
-    while True:
-        label = F.col("id").alias("label")
-        marked = left.select("*", label)
-        if roots is not None:
-            named = roots.toDF("id", "root")
-            marked = left.join(named, "id", "left").select(
-                "key", "id", "n", F.coalesce("root", "id").alias("label")
-            )
-        alive = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        open_ = scratch.keep(marked.join(alive.filter("x < y").select("key"), "key"))
-        if open_.isEmpty():
-            return links
-        # The least ids of each key; Spark cuts every task to these rows before the shuffle.
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        pivots = open_.withColumn("rank", rank).filter(F.col("rank") <= width).drop("rank")
-        pivots = pivots.toDF("key", "pid", "pn", "plabel")
-        both = open_.join(pivots, "key").filter(
-            (F.col("id") > F.col("pid"))
-            & (F.col("label") != F.col("plabel"))
-            & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
+
+    def with_roots(rows, roots):
+        if roots is None:
+            return rows.withColumn("label", F.col("id"))
+        named = rows.join(roots.toDF("id", "root"), "id", "left")
+        return named.withColumn("label", F.coalesce("root", "id")).drop("root")
+
+    def compare(rows, roots, links, width):
+        """Compare each key's ``width`` most common sets that can be found with the others.
+
+        rows: (key, id, own, score, label).  Gives the links so far, their components, and the
+        rows whose pairs are still open: nothing of keys whose sets are all connected, and no set
+        that was compared with all others.
+        """
+        alive = rows.groupBy("key").agg(
+            F.min("label").alias("x"),
+            F.max("label").alias("y"),
+            F.count_if("own").alias("owns"),
+            F.expr(f"cast(1 + count(*) div {GROUP} as int)").alias("subs"),
         )
-        pairs = both.select(F.col("pid").alias("a"), F.col("id").alias("b")).distinct()
-        found = scratch.keep(verified(pairs, sets, percent))
-        last = pivots.groupBy("key").agg(F.max("pid").alias("last"))
-        rest = open_.join(last, "key").filter("id > last").select("key", "id", "n")
-        after = scratch.keep(rest)
+        alive = alive.filter("x < y and owns > 0").select("key", "owns", "subs")
+        open_ = scratch.keep(rows.join(alive, "key"))
+        count = open_.count()
+        if not count:
+            return links, roots, None
+        # Spark cuts every task to the first rows of a key before the shuffle.
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "id"))
+        chosen = open_.filter("own").withColumn("rank", rank).filter(F.col("rank") <= width)
+        chosen = scratch.keep(chosen.select("key", "id", "own", "score", "label", "owns", "subs"))
+        sizes = facts.select("id", "n", "bits")
+        # The rows of a frequent key are dealt to several groups; its pivots go to each of them.
+        every_sub = F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub")
+        pivots = scratch.keep(chosen.join(sizes, "id").select("*", every_sub))
+        sub = F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub")
+        dealt = open_.join(sizes, "id").select("*", sub)
+        pairs = scratch.keep(plausible(dealt, pivots, 1 + count // CELL, percent))
+        found = scratch.keep(verified(pairs, every, percent))
+        done = chosen.filter(F.col("owns") > width).select("key", "id")
+        more = open_.filter(F.col("owns") > width).select("key", "id", "own")
+        after = more.join(done, ["key", "id"], "left_anti")
+        after = scratch.keep(after)
         if not found.isEmpty():
             links = scratch.keep(links.union(found))
             roots = components(links, scratch)
-        scratch.drop(left, open_)
-        left, width = after, 16 if width == 1 else 4 * width
+        return links, roots, after
+
+    first = every.select(F.explode("sketch").alias("key"), "id", F.lit(True).alias("own"), "score")
+    links, roots, _ = compare(with_roots(first, None), None, links, 1)
+    # Labels join the sets, not their many signatures.
+    marked = with_roots(every, roots)
+    own = marked.select(F.explode("own").alias("key"), "id", F.lit(True).alias("own"), "score", "label")
+    probe = marked.select(F.explode("probe").alias("key"), "id", F.lit(False).alias("own"), "score", "label")
+    rows, width = own.union(probe), 64
+    while rows is not None:
+        links, roots, left = compare(rows, roots, links, width)
+        if left is not None:
+            known = with_roots(every.select("id", "score"), roots)
+            left = left.join(known, "id").select("key", "id", "own", "score", "label")
+        rows = left
+        width = min(4 * width, WIDEST)
+    return links
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -365,9 +530,11 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     wanted = scratch.keep(kept.select("id", "sid"))
     some = texts.join(wanted, "id").select("id", "sid", "text")
     schema = "id long, sid binary, n long, tokens binary"
-    sets = scratch.keep(some.mapInArrow(tokens, schema).dropDuplicates(["id", "sid"]))
+    sets = scratch.keep(some.mapInArrow(tokens, schema))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    block = F.pmod(F.xxhash64("id"), F.lit(1 + total // BLOCK)).cast("int")
 
-    links = linked(sets, scratch, percent)
+    links = linked(sets.withColumn("block", block), scratch, percent)
     # Rows of one id with several sets hold the groups of these sets together.
     member = named.join(groups.select("sid", "id"), "sid").select("doc_id", "id")
     split = member.groupBy("doc_id").agg(F.min("id").alias("x"), F.max("id").alias("y"))
@@ -382,3 +549,28 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     return rows.join(home, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
     )
+
+
+def representatives(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``documents`` with one row of each component: that of the least doc_id.
+
+    Rows without doc_id, and rows whose text is null or has no word, all stay.  Repeated rows of
+    one doc_id are one document: one of them stays, that of the least text, then of any.
+    """
+    scratch = Scratch(documents.sparkSession, "representatives")
+    found = near_duplicates(documents, width, percent)
+    linked_ = found.filter("doc_id is not null and n_shingles > 0")
+    gone = scratch.keep(
+        linked_.filter("component_id <> doc_id").select("doc_id").distinct()
+    )
+    left = documents.join(gone, "doc_id", "left_anti").select(documents.columns)
+    again = linked_.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = scratch.keep(again)
+    if again.isEmpty():
+        return left
+    once = left.join(again, "doc_id", "left_anti").select(documents.columns)
+    several = left.join(again, "doc_id").select(documents.columns)
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
+    number = unused("_rank", several)
+    several = several.withColumn(number, rank).filter(F.col(number) == 1).drop(number)
+    return once.unionByName(several)
