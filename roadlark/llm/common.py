@@ -76,6 +76,8 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; a null has no bytes."""
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if pa.types.is_dictionary(column.type):
@@ -84,7 +86,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     raw = column.buffers()
     offsets = np.frombuffer(raw[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(raw[2], np.uint8) if raw[2] is not None else np.empty(0, np.uint8)
-    return data[offsets[0] : offsets[-1]] if len(column) else data[:0], offsets - offsets[0]
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -41,6 +41,9 @@ FLUSH = 2_000_000
 OFTEN = 64
 # Frequent tokens are dealt to a class per so many tokens of a set.
 SMALL = 8
+# Bits of the filter that keeps most texts from being cut into sets again, and its slices.
+FILTER_BITS = 1 << 24
+FILTER_SLICES = 16
 # Min-hashes per set for the first comparisons, and tokens per block of sets.
 SKETCHES = 4
 BLOCK = 1_000_000
@@ -180,6 +183,37 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
     return counted.groupBy("owner").agg(F.sum("shared").alias("shared"))
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over ``id``: it may let other ids pass, never stops one."""
+
+    def run(batches):
+        found = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            for at in filter_places(batch.column(0).to_numpy()):
+                found[at] = True
+        cut = np.packbits(found).reshape(FILTER_SLICES, -1)
+        columns = [pa.array(range(FILTER_SLICES), pa.int32()), pa.array([x.tobytes() for x in cut])]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "bits"])
+
+    def merge(rows: pa.Table) -> pa.Table:
+        parts_ = [np.frombuffer(x, np.uint8) for x in rows.column("bits").to_pylist()]
+        total = np.bitwise_or.reduce(parts_).tobytes()
+        return pa.table({"i": rows.column("i")[:1], "bits": pa.array([total])})
+
+    schema = "i int, bits binary"
+    rows = ids.select("id").mapInArrow(run, schema).groupBy("i").applyInArrow(merge, schema)
+    out = np.zeros((FILTER_SLICES, FILTER_BITS // 8 // FILTER_SLICES), np.uint8)
+    for r in rows.collect():  # FILTER_BITS bits at any size
+        out[r.i] = np.frombuffer(r.bits, np.uint8)
+    return np.unpackbits(out.reshape(-1)).astype(bool)
+
+
+def filter_places(ids: np.ndarray):
+    for salt in constants(3, seed=83):
+        place = mix(ids.view(np.uint64) + salt) >> np.uint64(65 - FILTER_BITS.bit_length())
+        yield place.astype(np.int64)
+
+
 def owner_of(sid):
     """The first eight bytes of a digest as ``shared_counts`` has them."""
     return F.conv(F.hex(F.substring(sid, 1, 8)), 16, -10).cast("long")
@@ -290,7 +324,7 @@ def signature_keys(tokens: np.ndarray, counts: np.ndarray, percent: int, often:
 
 def parity(tokens: np.ndarray) -> bytes:
     """A bitmap of a set: each token flips one bit.  Its size follows that of the set."""
-    bits = 1 << max(8, len(tokens).bit_length())
+    bits = 1 << max(9, (2 * len(tokens)).bit_length())
     at = (mix(tokens + np.uint64(71)) & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).tobytes()
@@ -509,28 +543,32 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     kept = groups.withColumn("owner", owner_of(F.col("sid"))).join(counts, "owner")
     kept = kept.filter(F.col("shared") >= need).select("id", "sid", "n")
 
+    wanted = scratch.keep(kept.select("id", "sid"))
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted))
+
     def tokens(batches):
         for batch in batches:
-            data, offsets = utf8(batch.column(2))
-            wanted = batch.column(1).to_pylist()
-            row, out = [], []
-            for i, s in batches_of_sets(data, offsets, width):
-                # A repeated id may have another text, too.
-                if len(s) and digest(s) == wanted[i]:
-                    row.append(i)
-                    out.append(s.tobytes())
-            take = batch.select([0, 1]).take(pa.array(row, pa.int64()))
-            sizes = pa.array([len(x) // 8 for x in out], pa.int64())
+            pass_ = np.ones(batch.num_rows, bool)
+            for at in filter_places(batch.column(0).to_numpy()):
+                pass_ &= shared.value[at]
+            batch = batch.filter(pa.array(pass_))
+            data, offsets = utf8(batch.column(1))
+            some = [(i, s) for i, s in batches_of_sets(data, offsets, width) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [take.column(0), take.column(1), sizes, pa.array(out, pa.binary())],
+                [
+                    batch.column(0).take(pa.array([i for i, _ in some], pa.int64())),
+                    pa.array([digest(s) for _, s in some], pa.binary()),
+                    pa.array([len(s) for _, s in some], pa.int64()),
+                    pa.array([s.tobytes() for _, s in some], pa.binary()),
+                ],
                 names=["id", "sid", "n", "tokens"],
             )
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    wanted = scratch.keep(kept.select("id", "sid"))
-    some = texts.join(wanted, "id").select("id", "sid", "text")
-    schema = "id long, sid binary, n long, tokens binary"
-    sets = scratch.keep(some.mapInArrow(tokens, schema))
+    # Texts are not shuffled: what passes the filter is cut into sets where it stands, and the
+    # sets are joined with the ids and digests in question.
+    texts = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
+    found = texts.mapInArrow(tokens, "id long, sid binary, n long, tokens binary")
+    sets = scratch.keep(found.join(wanted, ["id", "sid"]).select("id", "sid", "n", "tokens"))
     total = sets.agg(F.sum("n")).first()[0] or 0
     block = F.pmod(F.xxhash64("id"), F.lit(1 + total // BLOCK)).cast("int")
 
