@@ -50,6 +50,19 @@ def variants(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return _ROLLING.ranges(sums, offsets[:-1], offsets[1:]).view(np.int64)
 
 
+def _least(piece: np.ndarray, spread: int) -> np.ndarray:
+    """The place of the least of spread + 1 pieces from each piece on, the first one of equals."""
+    # Place is below hash.
+    low = np.uint64((1 << _PLACE) - 1)
+    least, width = (piece & ~low) | np.arange(len(piece), dtype=np.uint64), 1
+    while 2 * width <= spread + 1:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    rest = spread + 1 - width
+    least = np.minimum(least[: len(least) - rest], least[rest:])
+    return (least & low).astype(np.int64)
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, spread: int):
     """(piece hash, context hash, text, first start, last start) of all anchors, in order."""
     k, n = length - spread, len(data)
@@ -59,15 +72,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, spread: int):
     sums = _ROLLING.sums(data)
     at = np.arange(n - k + 1)
     piece = _ROLLING.ranges(sums, at, at + k)
-    # The least of spread + 1 pieces, the first one of equals: place is below hash.
-    low = np.uint64((1 << _PLACE) - 1)
-    least, width = (piece & ~low) | at.astype(np.uint64), 1
-    while 2 * width <= spread + 1:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    rest = spread + 1 - width
-    least = np.minimum(least[: len(least) - rest], least[rest:])
-    anchor = (least & low).astype(np.int64)
+    # A place has _PLACE bits, so long texts are searched in windows that share spread pieces.
+    step = (1 << _PLACE) - spread
+    windows = range(0, len(piece) - spread, step)
+    anchor = np.concatenate([w + _least(piece[w : w + step + spread], spread) for w in windows])
     text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     inside = text[: len(anchor)] == text[length - 1 :]
     new = np.ones(len(anchor), bool)

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 
 from roadlark.llm import suffixes
@@ -84,3 +85,18 @@ def test_intervals_list_all_occurrences():
     assert (5, [(0, 1), (1, 1), (2, 1)]) in found
     # bcde is preceded by the same byte everywhere, so it is no repeat of its own
     assert all(members[0][1] != 2 for _, members in found)
+
+
+def test_places_behind_the_place_bits_are_anchored_alike(monkeypatch):
+    repeat = prose(60, 20)
+    texts = [prose(600, 21) + repeat + prose(30, 22), prose(30, 23) + repeat, prose(900, 24) + repeat]
+    raws = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    offsets = np.cumsum([0, *map(len, raws)])
+    want = suffixes.anchors(data, offsets, 64, 20)
+    monkeypatch.setattr(suffixes, "_PLACE", 9)
+    got = suffixes.anchors(data, offsets, 64, 20)
+    assert all((g == w).all() and len(g) == len(w) for g, w in zip(got, want))
+    # The repeat lies behind 512 bytes in two of the texts, and has the same contexts everywhere.
+    contexts = [set(got[1][got[2] == i].tolist()) for i in range(3)]
+    assert len(contexts[0] & contexts[1] & contexts[2]) >= 3
