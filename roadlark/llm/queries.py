@@ -74,7 +74,10 @@ def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.summary(table(spark, sf_dir, "documents"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunks.removed(texts).select(
+        "doc_id", "n_bytes", "n_spans", "n_repeated", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
 
 
 @query
