@@ -11,12 +11,14 @@ items after the other:
   items whose sum reaches the threshold less the bound of the frequent terms are scored in full.
 
 What reaches the threshold is verified: of the item's question and of its answer, a share of the
-word pairs has to be in the passage.
+word pairs has to be in the passage.  Items of fewer than five words have to be there as they are,
+word by word.  In scripts without blanks between words, each character is a word.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ from roadlark.llm.common import RollingSums, Scratch, constants, distinct, mix,
 K1, B = 1.2, 0.75
 THRESHOLD = 0.55
 OVERLAP = 0.5
-# Items with fewer words could be anywhere.
+# Items with fewer words have to be there exactly.
 LEAST_WORDS = 5
 # One index holds items of so many bytes; more items take several passes over the documents.
 INDEX_BYTES = 16 << 20
@@ -42,7 +44,20 @@ _WORD_BYTE = np.array(
 )
 _ROLLING = RollingSums(seed=53)
 _PAIR = constants(2, seed=59)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])\s*|\n+")
+# Thai to Myanmar, Khmer, Tai scripts, kana, Han and their supplements: no blanks between words.
+_UNSEGMENTED = (
+    (0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+    (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF),
+    (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x323AF),
+)
+_BETWEEN, _ALONE = 1, 2
+_KIND = np.zeros(0x110000, np.uint8)
+for _low, _high in _UNSEGMENTED:
+    _KIND[_low : _high + 1] = _ALONE
+for _code in range(0x80, 0x20000):  # no punctuation or blanks above
+    if unicodedata.category(chr(_code))[0] in "PZ":
+        _KIND[_code] = _BETWEEN
 
 
 def words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -51,6 +66,19 @@ def words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     inside = _WORD_BYTE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int32)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = first & (0x7F >> size)
+        for k in range(1, 4):
+            more = size > k
+            code[more] = code[more] << 6 | data[lead[more] + k] & 0x3F
+        kind = _KIND[code]
+        alone = kind == _ALONE
+        edge[lead[alone]] = edge[lead[alone] + size[alone]] = True
+        for k in range(4):
+            inside[lead[(kind == _BETWEEN) & (size > k)] + k] = False
     start = np.flatnonzero(inside & ~(np.concatenate(([False], inside[:-1])) & ~edge[:-1]))
     end = np.flatnonzero(inside & ~(np.concatenate((inside[1:], [False])) & ~edge[1:])) + 1
     hashes = _ROLLING.ranges(_ROLLING.sums(data), start, end)
@@ -70,8 +98,10 @@ def halves(text: str) -> tuple[str, str]:
     parts = [p for p in _SENTENCE.split(text.strip()) if p]
     if len(parts) > 1:
         return " ".join(parts[:-1]), parts[-1]
-    some = text.split()
-    return " ".join(some[: (len(some) + 1) // 2]), " ".join(some[(len(some) + 1) // 2 :])
+    some, blank = text.split(), " "
+    if len(some) == 1:
+        some, blank = list(some[0]), ""
+    return blank.join(some[: (len(some) + 1) // 2]), blank.join(some[(len(some) + 1) // 2 :])
 
 
 @dataclass
@@ -96,22 +126,43 @@ class Index:
     blocks: list[Block]
     parts: list[tuple[np.ndarray, np.ndarray]]  # word pairs of its question and its answer
     span: int  # words of the longest item
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # sequences of so many words: hash, item
+
+
+def sequences(hashes: np.ndarray, count: int) -> np.ndarray:
+    """Hashes of ``count`` words in a row, from each word on."""
+    size = max(len(hashes) - count + 1, 0)
+    out = hashes[:size]
+    for k in range(1, count):
+        out = mix(out * _PAIR[0] + hashes[k : k + size] * _PAIR[1])
+    return out
 
 
 def build(rows: list[tuple[int, str]], frequency: dict[int, int], total: int, mean: float):
     """An index of items (id, text); ``frequency`` is the number of all items with a word."""
-    items = []
+    items, few = [], []
     for item_id, text in rows:
         h = words(pa.array([text]))[0]
-        if len(h) >= LEAST_WORDS:
+        if 0 < len(h) < LEAST_WORDS:
+            few.append((item_id, h))
+        elif len(h):
             term, count = np.unique(h, return_counts=True)
             df = np.array([frequency[int(x)] for x in term.view(np.int64)], float)
             rare = np.log(1 + (total - df + 0.5) / (df + 0.5))
             weight = rare * count * (K1 + 1) / (count + K1 * (1 - B + B * len(h) / mean))
             both = tuple(pairs(words(pa.array([p]))[0]) for p in halves(text))
             items.append((item_id, term, weight / weight.sum(), both, len(h)))
-    if not items:
+    if not items and not few:
         return None
+    short = {}
+    for size in sorted({len(h) for _, h in few}):
+        own = [i for i, (_, h) in enumerate(few) if len(h) == size]
+        key = np.concatenate([sequences(few[i][1], size) for i in own])
+        order = np.argsort(key, kind="stable")
+        short[size] = key[order], (np.array(own) + len(items))[order]
+    ids = np.array([x[0] for x in (*items, *few)], np.int64)
+    if not items:
+        return Index(ids, np.empty(0, np.uint64), np.empty(0, np.int64), [], [], 0, short)
     terms = np.unique(np.concatenate([x[1] for x in items]))
     number = [np.searchsorted(terms, x[1]) for x in items]
     lists = np.bincount(np.concatenate(number), minlength=len(terms))
@@ -131,12 +182,13 @@ def build(rows: list[tuple[int, str]], frequency: dict[int, int], total: int, me
         dense[often[term][frequent[term]], item[frequent[term]]] = weight[frequent[term]]
         blocks.append(Block(cut, item[order], weight[order], largest, dense))
     return Index(
-        np.array([x[0] for x in items], np.int64),
+        ids,
         terms,
         often,
         blocks,
         [x[3] for x in items],
         max(x[4] for x in items),
+        short,
     )
 
 
@@ -175,12 +227,32 @@ def share(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(part, passage).mean()) if len(part) else 1.0
 
 
+def copies(index: Index, hashes, text, begin, end):
+    """As ``matches``, for the items that have to be there exactly: the first place of each."""
+    for size, (key, item) in index.short.items():
+        found = sequences(hashes, size)
+        low = np.searchsorted(key, found, "left")
+        count = np.searchsorted(key, found, "right") - low
+        count[text[: len(found)] != text[size - 1 :]] = 0
+        seen = set()
+        for at in np.flatnonzero(count).tolist():
+            known = int(text[at]), int(low[at])
+            if known not in seen:
+                seen.add(known)
+                where = int(begin[at]), int(end[at + size - 1])
+                for k in item[low[at] : low[at] + count[at]].tolist():
+                    yield known[0], k, 1.0, 1.0, 1.0, *where
+
+
 def matches(index: Index, texts, threshold: float, overlap: float):
     """(text, item, score, question, answer, start, end), the best passage per text and item.
 
     start and end are the passage's bytes in its lower-case text.
     """
     hashes, text, begin, end = words(texts)
+    exact = list(copies(index, hashes, text, begin, end))
+    if not index.blocks:
+        return exact
     at = np.minimum(np.searchsorted(index.terms, hashes), len(index.terms) - 1)
     known = np.where(index.terms[at] == hashes, at, -1)
     number = np.bincount(text, minlength=len(texts))
@@ -214,7 +286,7 @@ def matches(index: Index, texts, threshold: float, overlap: float):
         if q >= overlap and a >= overlap and (key not in best or rank > best[key][0]):
             where = int(begin[low[p]]), int(end[high[p] - 1])
             best[key] = rank, (key[0], k, score, q, a, *where)
-    return [row for _, row in best.values()]
+    return exact + [row for _, row in best.values()]
 
 
 def indexes(benchmark: DataFrame):
@@ -263,8 +335,8 @@ def contaminated(
 
     One row per document row and item, for the passage of the best score; question and answer
     are the shares of their word pairs in it.  Words are compared in lower case, so case and
-    punctuation do not matter.  Items of fewer than five words, null items and null, empty or
-    wordless texts match nothing.  Repeated items and rows match each; rows without doc_id give
+    punctuation do not matter.  Items of fewer than five words match their exact word sequence, at
+    its first place.  Null items and null, empty or wordless items and texts match nothing.  Repeated items and rows match each; rows without doc_id give
     rows with a null id.  Empty tables give an empty result; other columns are not read.
     """
     schema = "doc_id long, item_id long, score double, question double, answer double, start long, end long"

@@ -97,3 +97,32 @@ def test_odd_cases(spark):
     assert len(kept) == len(texts) - 1
     assert decontaminate.contaminated(table(spark, []), items(spark, rows)).collect() == []
     assert decontaminate.contaminated(df, items(spark, [])).collect() == []
+
+
+def test_short_items_match_as_they_are(spark):
+    rows = [(1, "Capital of Peru? Lima!"), (2, "Blue whale"), (2, "blue  WHALE."), (3, "Lima"), (4, "...")]
+    texts = [(1, "It asks: capital of Peru - Lima."), (2, "a blue, blue whale; the blue whale"), (3, "Capital of Lima Peru, whale blue")]
+    texts += [(4, "blue"), (5, "whale"), (None, "Limas")]
+    for extra in ([], benchmark_rows(20)):
+        found = decontaminate.contaminated(table(spark, texts).coalesce(1), items(spark, rows + [(100 + i, t) for i, t in extra])).collect()
+        assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 3), (2, 2), (2, 2), (3, 3)]
+        places = {(r.doc_id, r.item_id): texts[r.doc_id - 1][1][r.start : r.end] for r in found}
+        assert places[1, 1] == "capital of Peru - Lima" and places[2, 2] == "blue whale"
+
+
+def test_scripts_without_blanks(spark):
+    question, answer = "\u6c34\u306e\u5316\u5b66\u5f0f\u306f\u4f55\u3067\u3059\u304b", "\u7b54\u3048\u306f\u9178\u7d20\u3068\u6c34\u7d20\u3067\u3059"
+    thai = "\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e2b\u0e25\u0e27\u0e07\u0e02\u0e2d\u0e07\u0e44\u0e17\u0e22"
+    rows = [(1, f"{question}\uff1f{answer}\u3002"), (2, thai)]
+    around = "\u79c1\u305f\u3061\u306f\u65e5\u672c\u8a9e\u3092\u5b66\u3073\u307e\u3059"
+    texts = [(1, f"{around}{question}\u3001{answer}{around}"), (2, "abc" + thai + "\u0e04\u0e37\u0e2d"), (3, around * 3)]
+    found = decontaminate.contaminated(table(spark, texts), items(spark, rows)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2)]
+
+
+def test_words_by_unicode_classes():
+    texts = pa.array(["na\u00efve\u2014caf\u00e9 \u65e5\u672cx \U00020000\u3002\ud55c\uad6d", "\u00ab\u044f\u00bb", None, "a"])
+    _, text, start, end = decontaminate.words(texts)
+    found = [(int(t), texts[t].as_py().encode()[a:b].decode()) for t, a, b in zip(text, start, end)]
+    first = ["na\u00efve", "caf\u00e9", "\u65e5", "\u672c", "x", "\U00020000", "\ud55c\uad6d"]
+    assert found == [(0, w) for w in first] + [(1, "\u044f"), (3, "a")]
