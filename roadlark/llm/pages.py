@@ -5,7 +5,7 @@ punctuation and link text are added up; the ratios per node are smoothed over ne
 blocks, fused into one score, and a threshold picks the paths that carry content.  The element
 that holds most of the picked text is the article; blocks on picked paths and the other blocks
 of the article (its headings, say) are kept, except in parts that the markup itself names as
-menus, footers, adverts and the like.
+menus, footers, adverts and the like, and runs of links alone.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("path", "chain", "out", "named", "text", "linked", "heading", "lead")
+    __slots__ = ("path", "chain", "out", "named", "text", "linked", "heading", "lead", "links")
 
 
 class Reader:
@@ -81,11 +81,16 @@ class Reader:
         # Tag, number, outside, and the number of the outermost element named like a part around.
         self.open: list[tuple[str, int, bool, int]] = []
         self.articles: set[int] = set()
+        self.pages: set[int] = set()
+        # Links, and those around blocks.
+        self.anchors: set[int] = set()
+        self.wide: set[int] = set()
         self.count = 0
         self.pieces: list[str] = []
-        self.links = 0
+        self.links: dict[int, int] = {}
         self.read(page)
         self.flush()
+        self.unwrap()
 
     def flush(self) -> None:
         text = SPACE.sub(" ", html.unescape("".join(self.pieces))).strip()
@@ -96,15 +101,30 @@ class Reader:
             b.chain = [n for _, n, _, _ in self.open]
             b.out, b.named = self.open[-1][2:] if self.open else (False, 0)
             b.lead = bool(tags) and tags[-1] == "h1" or any(n in self.articles for n in b.chain)
-            b.linked = min(self.links, len(text))
+            b.links = self.links
             self.blocks.append(b)
-        self.pieces, self.links = [], 0
+        self.pieces, self.links = [], {}
+
+    def unwrap(self) -> None:
+        """Set the link text of all blocks; a link around most of the page's text is none."""
+        size, total = defaultdict(int), 0
+        for b in self.blocks:
+            if not b.out:
+                total += len(b.text)
+                for n, length in b.links.items():
+                    size[n] += min(length, len(b.text))
+        around = {n for n in self.wide if 2 * size[n] > total}
+        for b in self.blocks:
+            b.links = {n: length for n, length in b.links.items() if n not in around}
+            b.linked = min(sum(b.links.values()), len(b.text))
 
     def add(self, text: str) -> None:
         if text:
             self.pieces.append(text)
-            if any(t == "a" for t, _, _, _ in self.open):
-                self.links += len(text)
+            for _, n, _, _ in reversed(self.open):
+                if n in self.anchors:
+                    self.links[n] = self.links.get(n, 0) + len(text)
+                    break
 
     def tag_end(self, page: str, at: int) -> int:
         """Where a tag whose attributes begin at ``at`` ends; a quoted value may hold '>'."""
@@ -155,6 +175,11 @@ class Reader:
             self.flush()
             if tag not in {"html", "body", "head"}:
                 self.end_paragraph(tag)
+            # A name of a place holds no blocks.
+            self.open = [e for e in self.open if e[0] != "a" or e[1] in self.anchors]
+            self.wide.update(n for _, n, _, _ in self.open if n in self.anchors)
+        elif tag == "a":
+            self.open = [e for e in self.open if e[0] != "a"]
         elif tag in ("br", "wbr", "img"):
             self.pieces.append(" " if tag != "wbr" else "")
         if tag in VOID:
@@ -168,6 +193,10 @@ class Reader:
             outside, named = outside or out, named or (self.count if name else 0)
         if tag in ("article", "main"):
             self.articles.add(self.count)
+        elif tag in ("html", "body"):
+            self.pages.add(self.count)
+        elif tag == "a" and any(k.lower() == "href" for k, *_ in ATTRIBUTE.findall(attributes)):
+            self.anchors.add(self.count)
         self.open.append((tag, self.count, outside, named))
 
     def end_paragraph(self, tag: str) -> None:
@@ -219,6 +248,30 @@ class Reader:
                 return  # an inline end tag does not close a block
 
 
+# So many links in a row, without other text, are a menu.
+MENU = 3
+
+
+def menus(blocks: list[Block]) -> list[bool]:
+    """Which blocks belong to a run of links alone: siblings, or several links of one block."""
+    out, begin = [False] * len(blocks), 0
+    for i in range(1, len(blocks) + 1):
+        a = blocks[begin]
+        if i < len(blocks):
+            b = blocks[i]
+            if b.path == a.path and b.chain[:-1] == a.chain[:-1] and alone(a) and alone(b):
+                continue
+        if alone(a) and sum(len(b.links) for b in blocks[begin:i]) >= MENU:
+            out[begin:i] = [True] * (i - begin)
+        begin = i
+    return out
+
+
+def alone(b: Block) -> bool:
+    """Little more than links: a separator between them is no text."""
+    return b.linked + 3 * len(b.links) >= len(b.text) and bool(b.links)
+
+
 KERNEL = (0.25, 0.5, 1.0, 0.5, 0.25)
 SHARE = 0.25
 
@@ -278,14 +331,17 @@ def main_text(page: str | None) -> str:
     # Articles that the markup declares, if they hold most of the picked text.
     declared = {n for n in reader.articles if held[n]}
     inner = [any(n in declared for n in b.chain) for b in blocks]
+    article = inner
     if 2 * sum(w for p, w, i in zip(picked, weight, inner) if p and i) < total:
         # Else the innermost element with most of it; other picked blocks stay, too.
         best = max((n for n in held if 5 * held[n] >= 4 * total), default=0)
         inner = [p or best in b.chain for b, p in zip(blocks, picked)]
+        # A whole page is no article: its other blocks of links stand around one.
+        article = [best in b.chain and best not in reader.pages for b in blocks]
     keep = [
         b.text
-        for b, p, i in zip(blocks, picked, inner)
-        if i and (p or b.heading or 2 * b.linked <= len(b.text))
+        for b, p, i, a, m in zip(blocks, picked, inner, article, menus(blocks))
+        if i and (p or b.heading or 2 * b.linked <= len(b.text) or (a and not m))
     ]
     return "\n".join(keep)
 

@@ -59,3 +59,24 @@ def test_long_page_and_table(spark):
     got = sorted(pages.extract(df).collect(), key=lambda r: r.n_chars)
     assert [(r.page_id, r.url, r.n_chars) for r in got] == [(2, None, 0), (2, None, 0), (None, "v", 11), (1, "u", len("Some words, and more of them here.") * 20000 + 19999)]
     assert pages.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    "<body><a name=top><h1>Title</h1>{}</body>",
+    "<body><a id=top><div><h1>Title</h1>{}</div></body>",
+    "<body><a href=/x><article><h1>Title</h1>{}</article></a></body>",
+    "<body><div><a href=/x><h1>Title</h1>{}</a></div></body>",
+    "<body><h1>Title</h1><a name=start>{}</body>",
+    "<body><nav><a href=/>Home<a href=/x>News</nav><article><a href=/y><h1>Title</h1></a>{}</article></body>",
+])
+def test_anchors_and_block_links_hide_no_article(page):
+    assert main_text(page.format(BODY)) == "Title\n" + WANT
+
+
+def test_linked_lines_of_an_article_stay_and_menus_go():
+    source = "<p><a href=/s>The source of this story</a></p><ul><li><a href=/1>First work</a><li><a href=/2>Second work</a></ul>"
+    for around in ("<article>{}</article>", "<div><div>{}</div></div>"):
+        assert main_text("<body>" + around.format(BODY + source) + "</body>") == WANT + "\nThe source of this story\nFirst work\nSecond work"
+        menu = "<ul>" + "".join(f"<li><a href=/{i}>Place {i}</a>" for i in range(5)) + "</ul><div>" + " | ".join(f"<a href=/{i}>Part {i}</a>" for i in range(4)) + "</div>"
+        assert main_text("<body>" + around.format(menu + BODY) + "</body>") == WANT
+    assert main_text(f"<body><div><a href=/>Home</a></div>{BODY}</body>") == WANT
