@@ -18,8 +18,9 @@ from roadlark.llm import (
     secrets,
     suffixes,
     topk,
+    warc,
 )
-from roadlark.llm.common import table
+from roadlark.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +110,32 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed(texts).select(
         F.col("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op13_warc")
+    path = f"{scratch.root}/archives"
+    warc.write(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read(spark, path, payloads=False), scratch)
+    return warc.resolved(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# DuckDB has no base32: the digest's 160 bits are cut into letters of five.
+SQL["op13_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, html, sha1(html) AS hex, octet_length(encode(html)) AS n,
+    row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS age,
+    first_value(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS newest
+  FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(hex || '0', 1 + CAST(floor(i * 5 / 4) AS BIGINT), 2) AS BIGINT)
+      >> CAST(3 - (i * 5) % 4 AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN age = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN age = 1 THEN NULL ELSE newest END AS refers_to
+FROM d
+"""
