@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadlark.session import work_folder
 
@@ -144,3 +146,35 @@ class RollingSums:
     def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         length = (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         return mix((sums[end] - sums[start]) * self.down[start] + length)
+
+
+def _digests(batches: Iterator[pa.RecordBatch], glue: bytes) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each key's pieces, joined; a key's rows follow each other in order."""
+    schema = pa.schema([("key", pa.int64()), ("digest", pa.string())])
+    key, digest, begun, out = None, None, False, []
+    for batch in batches:
+        for k, piece in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if digest is None or k != key:
+                if digest is not None:
+                    out.append({"key": key, "digest": digest.hexdigest()})
+                key, digest, begun = k, hashlib.sha256(), False
+            if piece.is_valid:
+                digest.update(glue if begun else b"")
+                digest.update(piece.as_buffer())
+                begun = True
+        yield pa.RecordBatch.from_pylist(out, schema)
+        out = []
+    if digest is not None:
+        yield pa.RecordBatch.from_pylist([{"key": key, "digest": digest.hexdigest()}], schema)
+
+
+def ordered_digests(pieces: DataFrame, key: str, order: list[str], piece: str, glue: bytes) -> DataFrame:
+    """(key, digest): the SHA-256 of a key's binary pieces in order, with ``glue`` between them.
+
+    SHA-256 has no parallel form, so a key's pieces pass through one task; they are streamed, and
+    none but the current one is held.  Callers join neighbours to large pieces first, so that even
+    a very large group is few rows.  A null piece adds nothing, not even glue.
+    """
+    dealt = pieces.select(key, piece, *order).repartition(parts(pieces.sparkSession), key)
+    rows = dealt.sortWithinPartitions(key, *order).select(key, F.col(piece).cast("binary"))
+    return rows.mapInArrow(lambda b: _digests(b, glue), "key long, digest string").withColumnRenamed("key", key)

@@ -15,12 +15,13 @@ from roadlark.llm import (
     ngram_join,
     pages,
     quality,
+    repair,
     secrets,
     suffixes,
     topk,
     warc,
 )
-from roadlark.llm.common import Scratch, table
+from roadlark.llm.common import Scratch, ordered_digests, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,3 +140,17 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
   CASE WHEN age = 1 THEN NULL ELSE newest END AS refers_to
 FROM d
 """
+
+
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op11_repair")
+    repaired = repair.repair(repair.damage(table(spark, sf_dir, "conversations")), scratch)
+    said = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit(":"), t)), "\n")
+    whole = repaired.whole.withColumn("repaired_sha256", F.sha2(said, 256))
+    pieces = repaired.pieces.select("conv_id", "part", "seg", F.when(F.size("roles") > 0, said).alias("piece"))
+    digests = ordered_digests(pieces, "conv_id", ["part", "seg"], "piece", b"\n")
+    digests = digests.select(F.col("conv_id").alias("id"), F.col("digest").alias("repaired_sha256"))
+    large = repaired.large.join(digests, F.col("conv_id").eqNullSafe(F.col("id")))
+    columns = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return whole.select(columns).unionByName(large.select(columns))
