@@ -148,33 +148,37 @@ class RollingSums:
         return mix((sums[end] - sums[start]) * self.down[start] + length)
 
 
-def _digests(batches: Iterator[pa.RecordBatch], glue: bytes) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of each key's pieces, joined; a key's rows follow each other in order."""
-    schema = pa.schema([("key", pa.int64()), ("digest", pa.string())])
-    key, digest, begun, out = None, None, False, []
+def _digests(batches: Iterator[pa.RecordBatch], glue: bytes, keys: int) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each key's pieces, joined; a key's rows follow each other in order.  The key is in
+    the first columns, the piece in the last."""
+    key, digest, begun, out, schema = None, None, False, [], None
     for batch in batches:
-        for k, piece in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if digest is None or k != key:
+        schema = pa.schema([*batch.schema][:keys] + [pa.field("digest", pa.string())])
+        columns = [batch.column(i).to_pylist() for i in range(keys)]
+        for piece, *new in zip(batch.column(keys), *columns, strict=True):
+            if digest is None or new != key:
                 if digest is not None:
-                    out.append({"key": key, "digest": digest.hexdigest()})
-                key, digest, begun = k, hashlib.sha256(), False
+                    out.append([*key, digest.hexdigest()])
+                key, digest, begun = new, hashlib.sha256(), False
             if piece.is_valid:
                 digest.update(glue if begun else b"")
                 digest.update(piece.as_buffer())
                 begun = True
-        yield pa.RecordBatch.from_pylist(out, schema)
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema)
         out = []
     if digest is not None:
-        yield pa.RecordBatch.from_pylist([{"key": key, "digest": digest.hexdigest()}], schema)
+        last = dict(zip(schema.names, [*key, digest.hexdigest()], strict=True))
+        yield pa.RecordBatch.from_pylist([last], schema)
 
 
-def ordered_digests(pieces: DataFrame, key: str, order: list[str], piece: str, glue: bytes) -> DataFrame:
-    """(key, digest): the SHA-256 of a key's binary pieces in order, with ``glue`` between them.
+def ordered_digests(pieces: DataFrame, keys: list[str], order: list[str], piece: str, glue: bytes) -> DataFrame:
+    """(keys, digest): the SHA-256 of a key's binary pieces in order, with ``glue`` between them.
 
     SHA-256 has no parallel form, so a key's pieces pass through one task; they are streamed, and
     none but the current one is held.  Callers join neighbours to large pieces first, so that even
     a very large group is few rows.  A null piece adds nothing, not even glue.
     """
-    dealt = pieces.select(key, piece, *order).repartition(parts(pieces.sparkSession), key)
-    rows = dealt.sortWithinPartitions(key, *order).select(key, F.col(piece).cast("binary"))
-    return rows.mapInArrow(lambda b: _digests(b, glue), "key long, digest string").withColumnRenamed("key", key)
+    dealt = pieces.repartition(parts(pieces.sparkSession), *keys).sortWithinPartitions(*keys, *order)
+    rows = dealt.select(*keys, F.col(piece).cast("binary").alias("_piece"))
+    ddl = ", ".join(f"{k} {dict(rows.dtypes)[k]}" for k in keys) + ", digest string"
+    return rows.mapInArrow(lambda b: _digests(b, glue, len(keys)), ddl)

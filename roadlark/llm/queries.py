@@ -19,6 +19,7 @@ from roadlark.llm import (
     secrets,
     suffixes,
     topk,
+    trie,
     warc,
 )
 from roadlark.llm.common import Scratch, ordered_digests, table
@@ -113,6 +114,11 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"), Scratch(spark, "op12_trie"))
+
+
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op13_warc")
@@ -149,7 +155,7 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit(":"), t)), "\n")
     whole = repaired.whole.withColumn("repaired_sha256", F.sha2(said, 256))
     pieces = repaired.pieces.select("conv_id", "part", "seg", F.when(F.size("roles") > 0, said).alias("piece"))
-    digests = ordered_digests(pieces, "conv_id", ["part", "seg"], "piece", b"\n")
+    digests = ordered_digests(pieces, ["conv_id"], ["part", "seg"], "piece", b"\n")
     digests = digests.select(F.col("conv_id").alias("id"), F.col("digest").alias("repaired_sha256"))
     large = repaired.large.join(digests, F.col("conv_id").eqNullSafe(F.col("id")))
     columns = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]

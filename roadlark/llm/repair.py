@@ -291,7 +291,7 @@ def settle(conv_id: int | None, rows: Turns) -> dict:
     return out
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, int]]:
+def _cut(batches: Iterator[pa.RecordBatch], most_rows: int) -> Iterator[tuple[dict, int]]:
     """Settled conversations, and open segments of those at the partition's edges or too large.
 
     Rows: conv_id, turn, role, text, live (whether the row stands for a turn or its conversation only).
@@ -306,7 +306,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, int]]:
 
     for batch in batches:
         for conv_id, turn, role, text, live in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if begun and (conv_id != conv or size >= CUT_BYTES or len(rows.roles) >= CUT_ROWS):
+            if begun and (conv_id != conv or size >= CUT_BYTES or len(rows.roles) >= most_rows):
                 same = conv_id == conv
                 yield emit(not (first or cut or same))
                 seg, size, rows = seg + 1, 0, Turns([], [], [])
@@ -331,7 +331,8 @@ def segments(turns: DataFrame) -> DataFrame:
     # Equal rows may be parted anywhere: their place in the input is the last key.
     placed = keyed.withColumn("_place", F.monotonically_increasing_id())
     dealt = placed.repartitionByRange(parts(turns.sparkSession), *order, "_place").sortWithinPartitions(*order)
-    return dealt.select(rows.columns).mapInArrow(lambda b: _batches(_cut(b), SEGMENT), SEGMENT)
+    most = CUT_ROWS
+    return dealt.select(rows.columns).mapInArrow(lambda b: _batches(_cut(b, most), SEGMENT), SEGMENT)
 
 
 # ---- conversations of several segments -----------------------------------------------------------
