@@ -5,9 +5,11 @@ Queries are assembled from named building blocks; ``_sql`` adds the blocks a que
 
 from __future__ import annotations
 
+import math
 import re
 
 from roadlark import schema
+from roadlark.functions import hexagons
 from roadlark.operators.text import LEXICON
 from roadlark.plans.registry import AS_OF, RETENTION_AS_OF, ROLE, TENANT, TRACKED_VEHICLE
 from roadlark.sources import events as ev
@@ -51,6 +53,65 @@ def cell(lat: str, lon: str, resolution: int) -> str:
     )
 
 
+def _face_values() -> str:
+    """(face, centre, x axis, y axis) of the icosahedron's faces, from their published centres."""
+    rows = []
+    for n, (lat, lon, azimuth) in enumerate(hexagons.FACES):
+        centre = [math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)]
+        north = [-math.sin(lat) * math.cos(lon), -math.sin(lat) * math.sin(lon), math.cos(lat)]
+        east = [-math.sin(lon), math.cos(lon), 0.0]
+        x = [math.cos(azimuth) * p + math.sin(azimuth) * q for p, q in zip(north, east, strict=True)]
+        y = [math.sin(azimuth) * p - math.cos(azimuth) * q for p, q in zip(north, east, strict=True)]
+        rows.append(f"({n}, {', '.join(f'{v!r}::DOUBLE' for v in (*centre, *x, *y))})")
+    return ", ".join(rows)
+
+
+def hexes(resolution: int) -> str:
+    """(lat, lon, h): hexagon ids of all points in ``hexpoint``, one subquery per level."""
+    size = math.sqrt(7) ** resolution * 2 / (3 - math.sqrt(5))
+    turn = math.asin(math.sqrt(3 / 28)) if resolution % 2 else 0.0
+    sine, cosine = math.sin(turn) * size, math.cos(turn) * size
+    sql = f"""
+SELECT lat, lon, face, (px * {cosine!r} + py * {sine!r}) / d AS hx, (py * {cosine!r} - px * {sine!r}) / d AS hy
+FROM (SELECT p.lat, p.lon, f.face, vx * cx + vy * cy + vz * cz AS d,
+    vx * xx + vy * xy + vz * xz AS px, vx * yx + vy * yy + vz * yz AS py
+  FROM (SELECT lat, lon, cos(radians(lat)) * cos(radians(lon)) AS vx, cos(radians(lat)) * sin(radians(lon)) AS vy,
+      sin(radians(lat)) AS vz FROM hexpoint) p,
+    (VALUES {_face_values()}) f(face, cx, cy, cz, xx, xy, xz, yx, yy, yz)
+  QUALIFY row_number() OVER (PARTITION BY p.lat, p.lon ORDER BY d DESC, face) = 1)"""
+    # The nearest lattice point is a corner of the parallelogram that holds the place.
+    sql = f"""
+SELECT lat, lon, face, CAST(floor(a) AS BIGINT) + i AS a, CAST(floor(b) AS BIGINT) + j AS b, 0::BIGINT AS digits, 0::BIGINT AS lead
+FROM (SELECT lat, lon, face, hx + hy / sqrt(3) AS a, hy * 2 / sqrt(3) AS b FROM ({sql})), (VALUES (0), (1)) u(i), (VALUES (0), (1)) v(j)
+QUALIFY row_number() OVER (PARTITION BY lat, lon ORDER BY pow(floor(a) + i - a, 2) + pow(floor(b) + j - b, 2)
+  - (floor(a) + i - a) * (floor(b) + j - b)) = 1"""
+    for level in range(resolution, 0, -1):
+        up, down = (("3 * a - b", "a + 2 * b"), ("2 * pa + pb", "3 * pb - pa"))
+        if level % 2 == 0:
+            up, down = (("2 * a + b", "3 * b - a"), ("3 * pa - pb", "pa + 2 * pb"))
+        sql = f"""
+SELECT lat, lon, face, pa AS a, pb AS b, digits + (digit << {3 * (15 - level)}) AS digits, CASE WHEN digit <> 0 THEN digit ELSE lead END AS lead
+FROM (SELECT *, CAST(4 * da + 2 * db + 7 * greatest(0, -da, -db) AS BIGINT) AS digit
+  FROM (SELECT *, a - ({down[0]}) AS da, b - ({down[1]}) AS db
+    FROM (SELECT *, CAST(round(({up[0]}) / 7.0) AS BIGINT) AS pa, CAST(round(({up[1]}) / 7.0) AS BIGINT) AS pb FROM ({sql}))))"""
+    known = [hexagons.base_cell(n // 27, n // 9 % 3, n // 3 % 3, n % 3) for n in range(540)]
+    places = ", ".join(f"({n}, {cell}, {turns})" for n, (cell, turns) in enumerate(known))
+    head = (1 << 59) + (resolution << 52) + sum(7 << 3 * n for n in range(15 - resolution))
+    ring = "[1, 5, 4, 6, 2, 3]"
+    digits = " + ".join(
+        f"(CASE WHEN (digits >> {s}) & 7 = 0 THEN 0 ELSE {ring}[1 + CAST((list_position({ring}, CAST((digits >> {s}) & 7 AS INT)) - 1 + turns) % 6 AS INT)] END::BIGINT << {s})"
+        for s in (3 * (15 - level) for level in range(1, resolution + 1))
+    )
+    return f"""
+SELECT lat, lon, printf('%x', {head} + (cell::BIGINT << 45) + {digits}) AS h
+FROM ({sql}) JOIN (VALUES {places}) t(place, cell, turns)
+  ON place = face * 27 + 9 * a + 3 * b + 13 * greatest(0, -a, -b)"""
+
+
+def hexed(lat: str, lon: str, resolution: int) -> str:
+    return f"(SELECT h FROM hex{resolution} x WHERE x.lat = {lat} AND x.lon = {lon})"
+
+
 LATE = "coalesce(abs(date_diff('second', event_ts, ingest_ts)) > 25400, FALSE)"
 DAY = "CAST(date_trunc('day', event_ts) AS TIMESTAMP)"
 HAVERSINE_FENCE = km("p.lat", "p.lon", "f.latitude", "f.longitude")
@@ -277,9 +338,17 @@ BLOCKS["profile"] = """
 SELECT printf('D-%07d', c_custkey) AS driver_id, c_name AS driver_name, printf('+91-98%07d', c_custkey) AS phone,
   printf('DL-%07d', c_custkey) AS license_no, printf('VIN%07d', c_custkey) AS vin, r_name AS dealer_region
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"""
+BLOCKS["hexpoint"] = """
+SELECT DISTINCT lat, lon FROM (SELECT gps_latitude AS lat, gps_longitude AS lon FROM reading
+  UNION ALL SELECT latitude, longitude FROM fence UNION ALL SELECT start_lat, start_lon FROM segment
+  UNION ALL SELECT end_lat, end_lon FROM segment UNION ALL SELECT mid_lat, mid_lon FROM segment)
+WHERE lat IS NOT NULL AND lon IS NOT NULL"""
+# No point of the data lies in a pentagon, so the missing direction never has to be closed here.
+BLOCKS["hex7"], BLOCKS["hex9"] = hexes(7), hexes(9)
 BLOCKS["onroad"] = f"""
 SELECT r.*, s.segment_id, s.route_name, s.highway, s.from_city, s.to_city, s.segment_km
-FROM reading r JOIN segment s ON {cell('r.gps_latitude', 'r.gps_longitude', 7)} = {cell('s.mid_lat', 's.mid_lon', 7)}"""
+FROM reading r JOIN hex7 x ON x.lat = r.gps_latitude AND x.lon = r.gps_longitude
+JOIN (SELECT s.*, m.h FROM segment s JOIN hex7 m ON m.lat = s.mid_lat AND m.lon = s.mid_lon) s ON s.h = x.h"""
 BLOCKS["message"] = """
 SELECT *, CASE WHEN offs % 86 = 4 THEN 'message is not a JSON object' WHEN offs % 86 = 8 THEN 'record_content is missing'
   WHEN offs % 86 = 12 THEN 'record_content has no vehicle_id'
@@ -359,12 +428,12 @@ SELECT (hi * 6 + lo) % 10 AS "partition", count(*) AS messages, count(DISTINCT v
     CAST(CAST('0x' || md5(vehicle_id)[17:32] AS UBIGINT) % 10 AS BIGINT) AS lo FROM raw) GROUP BY 1"""
 BODIES["load_segments"] = "SELECT * FROM segment"
 BODIES["segments_enriched"] = f"""
-SELECT *, {cell('start_lat', 'start_lon', 7)} AS cell_start_res7, {cell('end_lat', 'end_lon', 7)} AS cell_end_res7,
-  {cell('mid_lat', 'mid_lon', 7)} AS cell_mid_res7, {cell('mid_lat', 'mid_lon', 9)} AS cell_mid_res9 FROM segment"""
+SELECT *, {hexed('start_lat', 'start_lon', 7)} AS cell_start_res7, {hexed('end_lat', 'end_lon', 7)} AS cell_end_res7,
+  {hexed('mid_lat', 'mid_lon', 7)} AS cell_mid_res7, {hexed('mid_lat', 'mid_lon', 9)} AS cell_mid_res9 FROM segment"""
 BODIES["retention_policies"] = "SELECT * FROM policy"
 BODIES["geofences"] = f"""
-SELECT *, 'CITY_BOUNDARY' AS geofence_type, {cell('latitude', 'longitude', 7)} AS cell_center_res7,
-  {cell('latitude', 'longitude', 9)} AS cell_center_res9, TRUE AS is_active FROM fence"""
+SELECT *, 'CITY_BOUNDARY' AS geofence_type, {hexed('latitude', 'longitude', 7)} AS cell_center_res7,
+  {hexed('latitude', 'longitude', 9)} AS cell_center_res9, TRUE AS is_active FROM fence"""
 BODIES["refresh_incremental"] = BODIES["stream_daily_metrics"] = BODIES["fact_vehicle_daily"] = "SELECT * FROM daily"
 
 # ---- curated -----------------------------------------------------------------------------------
@@ -578,6 +647,14 @@ SELECT vehicle_id, event_ts, {DIST} <= radius_km AS inside, {DIST} <= 400 AS ins
 BODIES["geo_cell"] = f"""
 SELECT vehicle_id, event_ts, {cell('gps_latitude', 'gps_longitude', 7)} AS cell_res7,
   {cell('gps_latitude', 'gps_longitude', 9)} AS cell_res9 FROM reading"""
+BODIES["hex_cell"] = f"""
+SELECT vehicle_id, event_ts, {hexed('gps_latitude', 'gps_longitude', 7)} AS cell_res7,
+  {hexed('gps_latitude', 'gps_longitude', 9)} AS cell_res9 FROM reading"""
+# The parent of a cell by its id: another resolution, and no digits behind it.
+BODIES["hex_density"] = f"""
+SELECT printf('%x', (CAST('0x' || h AS BIGINT) & {~(15 << 52)}) | {(4 << 52) + sum(7 << 3 * n for n in range(11))}) AS cell_res4,
+  count(DISTINCT h) AS cells, count(DISTINCT vehicle_id) AS vehicles, count(*) AS readings
+FROM reading JOIN hex7 x ON x.lat = gps_latitude AND x.lon = gps_longitude GROUP BY 1"""
 BEARING = (
     "degrees(atan2(sin(radians(end_lon - start_lon)) * cos(radians(end_lat)), cos(radians(start_lat)) * sin(radians(end_lat))"
     " - sin(radians(start_lat)) * cos(radians(end_lat)) * cos(radians(end_lon - start_lon))))"

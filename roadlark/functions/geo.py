@@ -61,7 +61,7 @@ def cell_index(degrees: Column, step: float) -> Column:
 def geo_cell(lat: Column, lon: Column, resolution: int = 7) -> Column:
     """Text id of the latitude/longitude grid cell that holds a point; NULL for a missing point.
 
-    Spark has no hexagonal index, so a square grid of similar size stands in for one.  Any other
+    A square grid of about the size of ``hexagons.hex_cell``, and cheaper; any other
     ``(lat, lon, resolution) -> Column`` function can be passed where a cell function is asked for.
     """
     step = CELL_DEGREES[resolution]

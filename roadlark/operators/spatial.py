@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlark.functions.geo import EARTH_RADIUS_KM, geo_cell, haversine_km
+from roadlark.functions.geo import EARTH_RADIUS_KM, haversine_km
+from roadlark.functions.hexagons import hex_cell
 from roadlark.functions.timing import month_start
 from roadlark.sources.masters import CellFunction
 
@@ -106,8 +107,8 @@ def match_nearest_fence(points: DataFrame, fences: DataFrame, keys: list[str], l
     )
 
 
-def readings_on_segments(readings: DataFrame, segments: DataFrame, cell: CellFunction = geo_cell) -> DataFrame:
-    """Readings whose grid cell is the cell of a segment's midpoint; cells may hold several segments."""
+def readings_on_segments(readings: DataFrame, segments: DataFrame, cell: CellFunction = hex_cell) -> DataFrame:
+    """Readings whose cell is the cell of a segment's midpoint; cells may hold several segments."""
     place = readings.withColumn("_cell", cell(F.col("gps_latitude"), F.col("gps_longitude"), 7))
     roads = segments.select(
         F.col("cell_mid_res7").alias("_cell"),
@@ -121,7 +122,7 @@ def readings_on_segments(readings: DataFrame, segments: DataFrame, cell: CellFun
     return place.join(roads, "_cell").drop("_cell")
 
 
-def monthly_segment_efficiency(readings: DataFrame, segments: DataFrame, cell: CellFunction = geo_cell) -> DataFrame:
+def monthly_segment_efficiency(readings: DataFrame, segments: DataFrame, cell: CellFunction = hex_cell) -> DataFrame:
     """Fuel use per month and road segment.
 
     Sums per (month, segment, vehicle, customer) come first; the two distinct counts then run on
@@ -161,7 +162,7 @@ def monthly_segment_efficiency(readings: DataFrame, segments: DataFrame, cell: C
         F.round(mean("fuel"), 2).alias("avg_fuel_rate_lph"),
         F.round(mean("speed"), 1).alias("avg_speed_kph"),
         F.round(mean("load"), 1).alias("avg_engine_load_pct"),
-        F.when(mean("speed") > 0, F.round(mean("fuel") / mean("speed") * 100, 2)).alias(
+        F.when(mean("speed") > 0, F.round(mean("fuel") * 100 / mean("speed"), 2)).alias(
             "fuel_efficiency_l_per_100km"
         ),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlark import schema
-from roadlark.functions import geo, masks, rules, timing
+from roadlark.functions import geo, hexagons, masks, rules, timing
 from roadlark.operators import (
     curated,
     facts,
@@ -625,6 +625,30 @@ over_model(
 )
 
 
+over_model(
+    "hex_cell",
+    lambda m: m.readings.select(
+        "vehicle_id",
+        "event_ts",
+        hexagons.hex_cell(F.col("gps_latitude"), F.col("gps_longitude"), 7).alias("cell_res7"),
+        hexagons.hex_cell(F.col("gps_latitude"), F.col("gps_longitude"), 9).alias("cell_res9"),
+    ),
+)
+
+
+def _density(m: FleetModel) -> DataFrame:
+    cell = hexagons.hex_id(F.col("gps_latitude"), F.col("gps_longitude"), 7)
+    cells = m.readings.select("vehicle_id", cell.alias("cell")).where("cell IS NOT NULL")
+    vehicles = cells.groupBy("cell", "vehicle_id").agg(F.count("*").alias("n"))
+    around = vehicles.groupBy(hexagons.hex_parent(F.col("cell"), 4).alias("around")).agg(
+        F.countDistinct("cell").alias("cells"), F.countDistinct("vehicle_id").alias("vehicles"), F.sum("n").alias("readings")
+    )
+    return around.select(F.lower(F.hex("around")).alias("cell_res4"), "cells", "vehicles", "readings")
+
+
+over_model("hex_density", _density)
+
+
 def segment_ends() -> list:
     return [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
 

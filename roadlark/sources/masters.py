@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlark.functions.geo import geo_cell, haversine_km
+from roadlark.functions.geo import haversine_km
+from roadlark.functions.hexagons import hex_cell
 from roadlark.functions.timing import as_ntz
 from roadlark.sources.events import FENCE_LAT, FENCE_LON, read_table
 
@@ -56,7 +57,7 @@ SEGMENT_FILE = T.StructType(
 # ---- geofences -----------------------------------------------------------------------------
 
 
-def complete_fences(fences: DataFrame, cell: CellFunction = geo_cell) -> DataFrame:
+def complete_fences(fences: DataFrame, cell: CellFunction = hex_cell) -> DataFrame:
     """Add the column defaults and the centre cells to (id, city, lat, lon, radius) rows."""
     lat, lon = F.col("latitude"), F.col("longitude")
     return fences.select(
@@ -133,7 +134,7 @@ def segments_from_waypoints(waypoints: DataFrame) -> DataFrame:
     )
 
 
-def with_segment_cells(segments: DataFrame, cell: CellFunction = geo_cell) -> DataFrame:
+def with_segment_cells(segments: DataFrame, cell: CellFunction = hex_cell) -> DataFrame:
     def at(point: str, resolution: int) -> Column:
         return cell(F.col(f"{point}_lat"), F.col(f"{point}_lon"), resolution)
 
