@@ -328,6 +328,22 @@ def _order() -> Column:
     return F.struct("event_ts", "ingest_ts", F.col("record_metadata.offset").alias("offset"))
 
 
+def merged_parts(parts: DataFrame, *keys: str) -> DataFrame:
+    """Day parts of all days as one row per key, with the same columns but the day."""
+    added = ["n", *[f"{m}_{k}" for m in _MEANS for k in ("sum", "n")], "counter_sum", "dtc_readings", "brakes"]
+    return parts.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in added],
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *[F.max(f"{m}_max").alias(f"{m}_max") for m in _MAXIMA],
+        F.min("battery_min").alias("battery_min"),
+        F.bool_and("can_ok").alias("can_ok"),
+        F.bool_or("tamper").alias("tamper"),
+        F.max_by("newest", "newest_order").alias("newest"),
+        F.max("newest_order").alias("newest_order"),
+    )
+
+
 def _mean(name: str, digits: int) -> Column:
     return F.round(F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")), digits)
 

@@ -288,9 +288,17 @@ def _with_fences(trips: DataFrame, fences: DataFrame) -> DataFrame:
     )
 
 
+def spans_of_runs(runs: DataFrame) -> DataFrame:
+    """One row per trip, without fences, of runs that are cheap to read twice: a written table."""
+    return _merged_trips(_without_flapping(_numbered(runs)))
+
+
 def trips_from_runs(runs: DataFrame, fences: DataFrame) -> DataFrame:
-    """Trips of runs that are cheap to read twice: a written table."""
-    trips = _with_fences(_merged_trips(_without_flapping(_numbered(runs))), fences)
+    return trips_from_spans(spans_of_runs(runs), fences)
+
+
+def trips_from_spans(spans: DataFrame, fences: DataFrame) -> DataFrame:
+    trips = _with_fences(spans, fences)
     seconds = seconds_between(F.col("trip_start_ts"), F.col("trip_end_ts"))
     return trips.select(
         "customer_id",

@@ -1,9 +1,18 @@
 """Incremental refresh: raw deliveries to curated readings, facts, dimensions, health and trips.
 
-Late and repeated deliveries may change any past reading, so each increment recomputes exactly
-the vehicle days it touches: daily facts, the partial aggregates of all roll-ups, and trip runs.
-The result equals a full rebuild, whatever the order of the increments; rows without a vehicle or
-an event time are keys like others.
+Late and repeated deliveries may change any past reading.  All tables lie in folders by date and
+shard (a hash of the vehicle), by shard, or by date, and an increment rewrites exactly the folders
+that it touches, in this order:
+
+    deliveries        by batch and date: appended, for retention
+    readings          by date and shard: the newest delivery of each reading
+    daily, parts, runs  by date and shard: a vehicle day's facts, mergeable aggregates and trip runs
+    vehicles, spans   by shard: all days of a vehicle merged, and its trips
+    fleet             by date: all vehicles of a customer's day merged
+
+So reads rank nothing and merge no history: a vehicle's status is one row of one folder.  The result
+equals a full rebuild, whatever the order of the increments; rows without a vehicle or an event time
+are keys like others.  See ``FolderTables`` for interrupted increments.
 """
 
 from __future__ import annotations
@@ -16,166 +25,156 @@ from pyspark.sql import functions as F
 from roadlark.functions import rules
 from roadlark.operators import facts, retention, trips
 from roadlark.operators.curated import latest_readings
-from roadlark.session import work_folder
-from roadlark.streaming.log import Log, newest_version
+from roadlark.streaming.folders import FolderTables, in_parallel, same_values
+from roadlark.streaming.log import write_batch
 
-# An increment that touches more days than this (broken clocks, say) does without folder pruning.
-MAX_PRUNED_DAYS = 1000
-_DAY = ["vehicle_id", "event_date"]
+SHARDS = 16
+_CELL = ["event_date", "shard"]
 
 
-def _same_day(a: DataFrame, b: DataFrame) -> Column:
-    return a["vehicle_id"].eqNullSafe(b["vehicle_id"]) & a["event_date"].eqNullSafe(b["event_date"])
+def shard(vehicle: Column, shards: int) -> Column:
+    return F.pmod(F.hash(vehicle), F.lit(shards))
 
 
-class IncrementalTables:
+class IncrementalTables(FolderTables):
+    """``shards`` folders per date: about as many as a date's readings have gigabytes."""
+
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         bucket_seconds: int = trips.BUCKET_SECONDS,
         healthy: Collection[str] = rules.HEALTHY_CAN,
+        shards: int = SHARDS,
     ):
         if 86400 % bucket_seconds:
             raise ValueError("a day must be a whole number of buckets")
-        self.spark = spark
+        layout = {
+            "deliveries": ["batch_id", "event_date"],
+            **dict.fromkeys(("readings", "daily", "parts", "runs"), _CELL),
+            "vehicles": ["shard"],
+            "spans": ["shard"],
+            "fleet": ["event_date"],
+        }
+        super().__init__(spark, root, layout)
         self.bucket_seconds = bucket_seconds
         self.healthy = healthy
-        self.log = {n: Log(spark, f"{root}/{n}") for n in ("readings", "touched", "daily", "parts", "runs")}
+        self.shards = shards
 
     # writing ---------------------------------------------------------------------------------
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Add one increment.  Repeating an increment under the same id changes nothing."""
-        days = self._add(batch, batch_id).select(*_DAY).distinct()
-        log = self._of_days(self.log["readings"].read().where(F.col("batch_id") <= batch_id), days)
-        # The touched days' current readings: written once, read by every table.
-        touched = latest_readings(log.join(days, _same_day(log, days), "left_semi"))
-        self.log["touched"].write(touched.drop("batch_id"), batch_id)
-        self._derive(self.log["touched"].batch(batch_id), batch_id)
-
-    def load(self, rows: DataFrame, batch_id: int = 0) -> None:
-        """First increment: with nothing to merge, its own readings are the current ones."""
-        self._derive(self._add(rows, batch_id), batch_id)
+    def _placed(self, rows: DataFrame, date: Column) -> DataFrame:
+        return rows.withColumns({"event_date": date, "shard": shard(F.col("vehicle_id"), self.shards)})
 
     def _add(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Write the increment's newest deliveries; returns them as read back from its folder."""
+        """Write the increment's deliveries into its own folder; returns them as read back."""
         dated = batch.withColumn("event_date", F.to_date("event_ts"))
-        self.log["readings"].write(latest_readings(dated), batch_id, ["event_date"])
-        return self.log["readings"].batch(batch_id)
-
-    def _of_days(self, log: DataFrame, days: DataFrame) -> DataFrame:
-        """Prune folders by the dates of ``days``, as long as they are few."""
-        dates = [r[0] for r in days.select("event_date").distinct().limit(MAX_PRUNED_DAYS + 1).collect()]
-        if len(dates) > MAX_PRUNED_DAYS:
-            return log
-        known = F.col("event_date").isin([d for d in dates if d is not None])
-        return log.where(known | F.col("event_date").isNull() if None in dates else known)
-
-    def _derive(self, days: DataFrame, batch_id: int) -> None:
-        for name, rows in self._derived(days).items():
-            self.log[name].write(rows, batch_id)
-
-    def _derived(self, days: DataFrame) -> dict[str, DataFrame]:
-        return {
-            "daily": facts.fact_vehicle_daily(days),
-            "parts": facts.day_parts(days, self.healthy),
-            "runs": trips.trip_runs(days, self.bucket_seconds),
+        write_batch(dated, f"{self.root}/deliveries", batch_id, ["event_date"])
+        added = self.read("deliveries").where(F.col("batch_id") == batch_id).drop("batch_id")
+        return self._placed(added, F.col("event_date"))
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Add one increment.  Repeating an increment under the same id changes nothing."""
+        self.recover()
+        rows = self._add(batch, batch_id)
+        touched = self.touch(rows, _CELL)
+        if self.exists("readings"):
+            rows = self.pruned("readings", touched).unionByName(rows, allowMissingColumns=True)
+        self._change(latest_readings(rows), touched)
+
+    load = apply
+
+    def _change(self, readings: DataFrame, touched: DataFrame) -> None:
+        """Replace the touched folders' readings, and all that follows from them."""
+        self.stage("readings", readings)
+        self._follow(touched)
+        self.ready()
+        self.finish()
+
+    def _follow(self, touched: DataFrame) -> None:
+        new = self.staged("readings")
+        start = F.timestamp_seconds(F.col("bucket") * self.bucket_seconds)
+        derived = {
+            "daily": (facts.fact_vehicle_daily(new), F.to_date("metric_date")),
+            "parts": (facts.day_parts(new, self.healthy), F.to_date("metric_date")),
+            "runs": (trips.trip_runs(new, self.bucket_seconds), F.to_date(start)),
         }
+        steps = [lambda n=n, r=r, d=d: self.stage(n, self._placed(r, d)) for n, (r, d) in derived.items()]
+        steps += [lambda c=c: self.touch(touched, [c]) for c in _CELL]
+        in_parallel(self.spark, steps)
+
+        def vehicles() -> None:
+            parts = self.merged("parts", touched, ["shard"])
+            whole = facts.merged_parts(parts, "customer_id", "vehicle_id", "device_id")
+            self.stage("vehicles", whole.withColumn("shard", shard(F.col("vehicle_id"), self.shards)))
+
+        def spans() -> None:
+            whole = trips.spans_of_runs(self.merged("runs", touched, ["shard"]).drop(*_CELL))
+            self.stage("spans", whole.withColumn("shard", shard(F.col("vehicle_id"), self.shards)))
 
-    # A key's rows are replaced as a whole; runs are keyed by piece, and a piece lies in one day.
-    KEYS = {
-        "daily": ["vehicle_id", "metric_date"],
-        "parts": ["vehicle_id", "metric_date"],
-        "runs": ["vehicle_id", "bucket"],
-    }
+        def fleet() -> None:
+            whole = facts.fleet_from_parts(self.merged("parts", touched, ["event_date"]))
+            self.stage("fleet", whole.withColumn("event_date", F.to_date("metric_date")))
 
-    def compact(self) -> None:
-        """Drop superseded versions from all logs."""
-        newest = latest_readings(self.log["readings"].read())
-        self.log["readings"].swap(newest, ["event_date"])
-        for name, keys in self.KEYS.items():
-            self.log[name].compact(keys)
+        in_parallel(self.spark, [vehicles, spans, fleet])
 
     def retain(self, policies: DataFrame, as_of: Column | str) -> int:
         """Delete deliveries beyond their customer's retention; returns how many.
 
-        Only date folders that hold such deliveries are rewritten.  Then the touched vehicle days
-        are recomputed, and their rows replaced or, if nothing is left of a day, removed.
-        Interrupted runs can be repeated.
+        Folders that hold such deliveries are rewritten without them, and all that follows from
+        those folders; nothing of a deleted delivery stays below the root.  An interrupted run is
+        finished by the next call of any change: then this returns what it deletes beyond that.
         """
-        log = self.log["readings"].read()
-        work = work_folder(self.spark, "retention")
-        gone = retention.expired(log, policies, as_of)
-        gone.groupBy(*_DAY).count().write.parquet(f"{work}/days")
-        days = self.spark.read.parquet(f"{work}/days")
-        total = days.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        self.recover()
+        if not self.exists("deliveries"):
+            return 0
+        stored = self.read("deliveries")
+        gone = retention.expired(stored, policies, as_of)
+        counted = self._placed(gone, F.col("event_date")).groupBy("batch_id", *_CELL).count()
+        counted.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_stage/_gone")
+        hit = self.spark.read.parquet(f"{self.root}/_stage/_gone")
+        total = hit.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
         if not total:
+            self._delete("_stage")
             return 0
-        batch = log.agg(F.max("batch_id")).first()[0]
-        dates = days.select("event_date").distinct()
-        rows = self._of_days(log, days)
-        same = rows["event_date"].eqNullSafe(dates["event_date"])
-        affected = rows.join(dates, same, "left_semi")
-        retention.retained(affected, policies, as_of).write.partitionBy("batch_id", "event_date").parquet(f"{work}/kept")
-        affected.select("batch_id", "event_date").distinct().write.parquet(f"{work}/folders")
-        self._replace(f"{work}/kept", f"{work}/folders")
-
-        now = latest_readings(self._of_days(self.log["readings"].read(), days))
-        current = now.join(days, _same_day(now, days), "left_semi").drop("batch_id")
-        current.write.parquet(f"{work}/current")
-        derived = self._derived(self.spark.read.parquet(f"{work}/current"))
-        for name, rows in derived.items():
-            old = self.log[name].read()
-            day = "metric_date" if name != "runs" else None
-            date = F.to_date(day) if day else F.to_date(F.timestamp_seconds(F.col("bucket") * self.bucket_seconds))
-            old = old.withColumn("event_date", date)
-            other = old.join(days, _same_day(old, days), "left_anti").drop("event_date")
-            merged = newest_version(other, self.KEYS[name]).withColumn("batch_id", F.lit(batch))
-            self.log[name].swap(merged.unionByName(rows.withColumn("batch_id", F.lit(batch))))
+        folders, touched = self.touch(hit, self.layout["deliveries"]), self.touch(hit, _CELL)
+        self.stage("deliveries", retention.retained(self.pruned("deliveries", folders), policies, as_of))
+        # The touched readings come from all batches of their dates: rewritten folders and others.
+        dates = touched.select("event_date").distinct()
+        other = self.pruned("deliveries", dates)
+        other = other.join(folders, same_values(other, folders, folders.columns), "left_anti")
+        rows = self._placed(other.unionByName(self.staged("deliveries")), F.col("event_date")).drop("batch_id")
+        rows = rows.join(touched, same_values(rows, touched, _CELL), "left_semi")
+        self._change(latest_readings(rows), touched)
         return total
 
-    def _replace(self, kept: str, folders: str) -> None:
-        """Overwrite the date folders with what is kept of them; remove those with nothing left."""
-        target = self.log["readings"].folder()
-        every = self.spark.read.parquet(folders)
-        rows = self.spark.read.schema(self.log["readings"].read().schema).parquet(kept)
-        writer = rows.hint("rebalance", "batch_id", "event_date").write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "event_date").parquet(target)
-        left = rows.select("batch_id", "event_date").distinct()
-        same = every["batch_id"].eqNullSafe(left["batch_id"]) & every["event_date"].eqNullSafe(left["event_date"])
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        # One row per removed folder: bounded by batches and days.
-        for batch_id, date in every.join(left, same, "left_anti").toLocalIterator():
-            name = "__HIVE_DEFAULT_PARTITION__" if date is None else date
-            path = hadoop(f"{target}/batch_id={batch_id}/event_date={name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
     # reading ---------------------------------------------------------------------------------
 
-    def _newest(self, name: str) -> DataFrame:
-        return newest_version(self.log[name].read(), self.KEYS[name])
-
     def readings(self) -> DataFrame:
-        return latest_readings(self.log["readings"].read()).drop("batch_id", "event_date")
+        return self.read("readings").drop(*_CELL)
 
     def fact_vehicle_daily(self) -> DataFrame:
-        return self._newest("daily")
+        return self.read("daily").drop(*_CELL)
 
     def fact_customer_fleet(self) -> DataFrame:
-        return facts.fleet_from_parts(self._newest("parts"))
+        return self.read("fleet").drop("event_date")
 
     def dim_vehicle(self, policies: DataFrame) -> DataFrame:
-        return facts.vehicles_from_parts(self._newest("parts"), policies)
+        return facts.vehicles_from_parts(self.read("vehicles"), policies)
 
     def dim_customer(self, policies: DataFrame, as_of: Column | str) -> DataFrame:
-        return facts.customers_from_parts(self._newest("parts"), policies, as_of)
+        return facts.customers_from_parts(self.read("vehicles"), policies, as_of)
 
     def fleet_health(self, as_of: Column | str) -> DataFrame:
-        return facts.health_from_parts(self._newest("parts"), as_of)
+        return facts.health_from_parts(self.read("vehicles"), as_of)
 
-    def fleet_status(self) -> DataFrame:
-        return facts.status_from_parts(self._newest("parts"))
+    def fleet_status(self, vehicle_id: str | None = None) -> DataFrame:
+        """Newest state of all vehicles, or of one, which is looked up in its shard's folder."""
+        rows = self.read("vehicles")
+        if vehicle_id is not None:
+            number = self.spark.range(1).select(shard(F.lit(vehicle_id), self.shards)).first()[0]
+            rows = rows.where((F.col("shard") == number) & (F.col("vehicle_id") == vehicle_id))
+        return facts.status_from_parts(rows)
 
     def trip_summaries(self, fences: DataFrame) -> DataFrame:
-        return trips.trips_from_runs(self._newest("runs"), fences)
+        return trips.trips_from_spans(self.read("spans").drop("shard"), fences)

@@ -37,6 +37,7 @@ RETENTION_AS_OF = "2024-05-10 00:00:00"
 TRACKED_VEHICLE = "VH_0000008"
 TENANT = "CUST_0003"
 ROLE = f"{TENANT}_ROLE"
+SHARDS = 2  # folders per date of the given tables
 
 QUERIES: dict[str, Query] = {}
 
@@ -212,7 +213,7 @@ def refresh_incremental(spark, sf_dir):
 
 
 def refreshed(spark: SparkSession, sf_dir: str) -> IncrementalTables:
-    built = IncrementalTables(spark, work_folder(spark, "refresh"))
+    built = IncrementalTables(spark, work_folder(spark, "refresh"), shards=SHARDS)
     raw = landing(spark, sf_dir)
     cuts = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in (11, 21)]
     ts = F.col("ingest_ts")
@@ -244,10 +245,13 @@ def refresh_health(spark, sf_dir):
 
 @query
 def refresh_status(spark, sf_dir):
-    """After a compaction, which changes no table."""
-    built = refreshed(spark, sf_dir)
-    built.compact()
-    return built.fleet_status()
+    return refreshed(spark, sf_dir).fleet_status()
+
+
+@query
+def refresh_status_lookup(spark, sf_dir):
+    """One vehicle's state, from its own folder."""
+    return refreshed(spark, sf_dir).fleet_status(TRACKED_VEHICLE)
 
 
 @query
@@ -948,9 +952,9 @@ def stream_source(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 @query
 def stream_dedup(spark, sf_dir):
     root = work_folder(spark, "dedup")
-    tables.start_dedup(stream_source(spark, sf_dir, root), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    newest = curated.latest_readings(log.read_log(spark, f"{root}/out"))
-    return newest.select(*schema.SIGNAL_KEYS, "gps_speed_kph")
+    kept = tables.LatestReadings(spark, f"{root}/out", SHARDS)
+    tables.start_dedup(stream_source(spark, sf_dir, root), kept, f"{root}/checkpoint").awaitTermination()
+    return kept.readings().select(*schema.SIGNAL_KEYS, "gps_speed_kph")
 
 
 @query
@@ -968,7 +972,7 @@ def stream_late_counts(spark, sf_dir):
 
 def streamed_tables(spark: SparkSession, sf_dir: str) -> IncrementalTables:
     root = work_folder(spark, "tables")
-    built = IncrementalTables(spark, f"{root}/tables")
+    built = IncrementalTables(spark, f"{root}/tables", shards=SHARDS)
     tables.start_refresh(stream_source(spark, sf_dir, root), built, f"{root}/checkpoint").awaitTermination()
     return built
 

@@ -32,3 +32,31 @@ def write_clustered(rows: DataFrame, path: str, mode: str = "overwrite") -> None
         .partitionBy("event_date")
         .parquet(path)
     )
+
+
+# ---- small files beside a table's data, such as its schema --------------------------------------
+
+
+def path(spark: SparkSession, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def system(spark: SparkSession, name: str):
+    return path(spark, name).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small text file whole, over an old one."""
+    stream = system(spark, name).create(path(spark, name), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    stream = system(spark, name).open(path(spark, name))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

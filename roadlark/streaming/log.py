@@ -1,29 +1,88 @@
 """Output of micro-batches: one folder per batch, newest version per key at read time.
 
 A batch overwrites its own folder, so a batch repeated after a failure leaves the same files.
-Readers keep, per key, the rows of the newest batch that wrote the key.
+A small file beside the folders holds the schema of all batches together, so that a read opens no
+file for it.  Batches may differ: a field that any of them has is a column, NULL where a batch lacks
+it, and a field that was a whole number or a float first and a wider one later has the wider type.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlark.sources import files
+
+# Types that can be read as a wider one without a loss.
+_WIDER = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("tinyint", "double"),
+    ("smallint", "int"), ("smallint", "bigint"), ("smallint", "double"),
+    ("int", "bigint"), ("int", "double"), ("float", "double"),
+}
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds all values of both."""
+    if a == b:
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return widened(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(wider(a.elementType, b.elementType))
+    names = a.simpleString(), b.simpleString()
+    if names in _WIDER:
+        return b
+    if names[::-1] in _WIDER or names[1] == "void":
+        return a
+    if names[0] == "void":
+        return b
+    raise ValueError(f"a field cannot be both {names[0]} and {names[1]}")
+
+
+def widened(known: T.StructType, new: T.StructType, last: Sequence[str] = ()) -> T.StructType:
+    """Fields of both schemas; those named in ``last`` stand at the end."""
+    fields = {f.name: f.dataType for f in known}
+    for f in new:
+        fields[f.name] = wider(fields[f.name], f.dataType) if f.name in fields else f.dataType
+    names = [n for n in fields if n not in last] + [n for n in last if n in fields]
+    return T.StructType([T.StructField(n, fields[n]) for n in names])
+
+
+def _schema_file(path: str) -> str:
+    return f"{path}/_schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of all batches below a path; None if none was written by ``write_batch``."""
+    name = _schema_file(path)
+    if "*" in path or not files.system(spark, name).exists(files.path(spark, name)):
+        return None
+    return T.StructType.fromJson(json.loads(files.read_text(spark, name)))
+
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """With partition columns, AQE first gathers each partition's rows into few tasks (and splits
     a partition that is too big for one), so a batch does not leave one file per task and folder."""
+    spark, last = rows.sparkSession, ["batch_id", *partition_by]
+    known = stored_schema(spark, path)
+    own = rows.withColumn("batch_id", F.lit(0)).schema
+    schema = widened(known, own, last) if known else widened(T.StructType([]), own, last)
+    if schema != known:
+        files.write_text(spark, _schema_file(path), schema.json())
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batches of a log.  Batches may differ in width: a field that any of them has is a column,
-    and NULL where a batch lacks it.  A known ``schema`` saves reading every file's own."""
+    """All batches of a log, with their stored schema or a given one.  Folders that others wrote
+    have none: their files are asked."""
+    if schema is None:
+        schema = stored_schema(spark, path)
     if schema is None:
         return spark.read.option("mergeSchema", "true").parquet(path)
     if "batch_id" not in schema.names:
@@ -31,69 +90,6 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return spark.read.schema(schema).parquet(path)
 
 
-def _newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    by_batch = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return log.withColumn("_age", F.rank().over(by_batch)).where("_age = 1").drop("_age")
-
-
 def newest_version(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _newest(log, keys).drop("batch_id")
-
-
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
-    """Copy a log without its superseded versions; the copy is a log again."""
-    newest = _newest(read_log(spark, path), keys)
-    newest.write.mode("overwrite").partitionBy("batch_id").parquet(target)
-
-
-class Log:
-    """A log whose folder can be swapped for a rewritten one.
-
-    The first generation is the folder itself, later ones stand beside it with their number.
-    Batches go to the newest generation.  ``swap`` writes the next one; it counts only once Spark
-    has marked it as complete, and then the older ones are removed.  A swap that fails in between
-    leaves the log as it was.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
-
-    def _files(self):
-        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _newest_generation(self) -> int:
-        """The last complete generation; the first one needs no mark."""
-        files, root = self._files(), self._path(self.root)
-        if not files.exists(root.getParent()):
-            return 0
-        names = [s.getPath().getName().rpartition(".") for s in files.listStatus(root.getParent())]
-        numbers = [int(n) for name, _, n in names if name == root.getName() and n.isdigit()]
-        return max((n for n in numbers if files.exists(self._path(f"{self.root}.{n}/_SUCCESS"))), default=0)
-
-    def folder(self, generation: int | None = None) -> str:
-        number = self._newest_generation() if generation is None else generation
-        return f"{self.root}.{number}" if number else self.root
-
-    def write(self, rows: DataFrame, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-        write_batch(rows, self.folder(), batch_id, partition_by)
-
-    def read(self) -> DataFrame:
-        return read_log(self.spark, self.folder())
-
-    def batch(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder()}/batch_id={batch_id}")
-
-    def swap(self, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Replace the content by ``rows``, which have ``batch_id`` and may come from the log itself."""
-        before = self._newest_generation()
-        parts = ["batch_id", *partition_by]
-        rows.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(self.folder(before + 1))
-        self._files().delete(self._path(self.folder(before)), True)
-
-    def compact(self, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-        """Drop the superseded versions of all keys."""
-        self.swap(_newest(self.read(), keys), partition_by)
+    by_batch = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
+    return log.withColumn("_age", F.rank().over(by_batch)).where("_age = 1").drop("_age", "batch_id")

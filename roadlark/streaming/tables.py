@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from roadlark import schema
 from roadlark.functions.rules import LATE_AFTER_SECONDS, arrived_late
 from roadlark.operators.curated import latest_readings
-from roadlark.plans.refresh import IncrementalTables
+from roadlark.plans.refresh import IncrementalTables, shard
+from roadlark.streaming.folders import FolderTables
 from roadlark.streaming.ingest import FILES_PER_BATCH
 from roadlark.streaming.log import write_batch
 
@@ -25,15 +26,31 @@ def _start(rows: DataFrame, save, checkpoint: str, mode: str, trigger: dict | No
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
 
 
-def start_dedup(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep-latest table: each batch appends its own newest deliveries; ``latest_readings`` over
-    the table resolves the rest.  Stateless, so no reading is ever too late to win."""
+class LatestReadings(FolderTables):
+    """Keep-latest table: a batch is merged into the folders (date and shard of the vehicle) that hold
+    its keys, and only those are rewritten.  No reading is ever too late to win, and reads rank nothing."""
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        dated = latest_readings(batch).withColumn("event_date", F.to_date("event_ts"))
-        write_batch(dated, path, batch_id, ["event_date"])
+    def __init__(self, spark: SparkSession, root: str, shards: int):
+        super().__init__(spark, root, {"readings": ["event_date", "shard"]})
+        self.shards = shards
 
-    return _start(rows, save, checkpoint, "append", trigger)
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        self.recover()
+        placed = {"event_date": F.to_date("event_ts"), "shard": shard(F.col("vehicle_id"), self.shards)}
+        rows = latest_readings(batch).withColumns(placed)
+        touched = self.touch(rows, self.layout["readings"])
+        if self.exists("readings"):
+            rows = self.pruned("readings", touched).unionByName(rows, allowMissingColumns=True)
+        self.stage("readings", latest_readings(rows))
+        self.ready()
+        self.finish()
+
+    def readings(self) -> DataFrame:
+        return self.read("readings").drop("event_date", "shard")
+
+
+def start_dedup(rows: DataFrame, kept: LatestReadings, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return _start(rows, kept.apply, checkpoint, "append", trigger)
 
 
 def start_refresh(rows: DataFrame, tables: IncrementalTables, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -1,7 +1,9 @@
 """A stream leaves the same tables as one batch over all its rows."""
 
+import pathlib
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import deliveries
 from test_trips import random_rows
@@ -37,7 +39,7 @@ def source(spark, tmp_path):
 
 def test_refresh_stream(spark, source):
     raw, path, root = source
-    built = IncrementalTables(spark, f"{root}/tables")
+    built = IncrementalTables(spark, f"{root}/tables", shards=2)
     rows = tables.landing_stream(spark, path, files_per_batch=1)
     tables.start_refresh(rows, built, f"{root}/cp").awaitTermination()
     readings = curated.latest_readings(raw)
@@ -49,7 +51,7 @@ def test_refresh_stream(spark, source):
 
 def test_repeated_increment_changes_nothing(spark, source):
     raw, _, root = source
-    built = IncrementalTables(spark, f"{root}/again")
+    built = IncrementalTables(spark, f"{root}/again", shards=2)
     part = raw.where("record_metadata.offset % 2 = 0")
     rest = raw.where("record_metadata.offset % 2 = 1")
     built.apply(part, 0)
@@ -57,17 +59,13 @@ def test_repeated_increment_changes_nothing(spark, source):
     before = built.fact_vehicle_daily().collect()
     built.apply(rest, 1)
     assert sorted(map(str, built.fact_vehicle_daily().collect())) == sorted(map(str, before))
-    log.compact(spark, f"{root}/again/daily", f"{root}/small", ["vehicle_id", "metric_date"])
-    small = log.read_log(spark, f"{root}/small")
-    assert small.count() == len(before)
-    same(log.newest_version(small, ["vehicle_id", "metric_date"]), built.fact_vehicle_daily())
 
 
 def test_dedup_and_state_streams(spark, source):
     raw, path, root = source
-    tables.start_dedup(tables.landing_stream(spark, path, 1), f"{root}/d", f"{root}/cp1").awaitTermination()
-    kept = curated.latest_readings(log.read_log(spark, f"{root}/d")).drop("batch_id", "event_date")
-    same(kept, curated.latest_readings(raw))
+    kept = tables.LatestReadings(spark, f"{root}/d", 2)
+    tables.start_dedup(tables.landing_stream(spark, path, 1), kept, f"{root}/cp1").awaitTermination()
+    same(kept.readings(), curated.latest_readings(raw))
     state = tables.newest_state(tables.landing_stream(spark, path, 1))
     tables.start_update(state, f"{root}/s", f"{root}/cp2").awaitTermination()
     same(log.newest_version(log.read_log(spark, f"{root}/s"), ["vehicle_id"]), tables.newest_state(raw))
@@ -119,13 +117,10 @@ def policies_of(spark):
 
 def test_increments_with_missing_keys_equal_a_rebuild(spark, tmp_path):
     raw = deliveries(spark, with_gaps(6))
-    built = IncrementalTables(spark, str(tmp_path / "t"))
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
     number = "record_metadata.offset"
-    for batch in range(3):
-        built.apply(raw.where(f"{number} % 3 = {batch}"), batch)
-    equal_to_rebuild(spark, built, raw)
-    built.compact()
-    equal_to_rebuild(spark, built, raw)
+    for batch in range(2):
+        built.apply(raw.where(f"{number} % 2 = {batch}"), batch)
     late = deliveries(spark, [{**r, "offset": 10_000 + i} for i, r in enumerate(with_gaps(7))])
     built.apply(late, 3)
     equal_to_rebuild(spark, built, raw.union(late))
@@ -136,15 +131,97 @@ def test_retention_deletes_and_all_tables_follow(spark, tmp_path):
 
     rows = [{**r, "t": None if r["t"] is None else r["t"] * 40} for r in with_gaps(8)]
     raw = deliveries(spark, rows)
-    built = IncrementalTables(spark, str(tmp_path / "t"))
-    built.apply(raw.where("record_metadata.offset % 2 = 0"), 0)
-    built.apply(raw.where("record_metadata.offset % 2 = 1"), 1)
-    stored = built.log["readings"].read()
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
+    built.apply(raw, 0)
+    stored = built.read("deliveries")
     policies, total = policies_of(spark), stored.count()
     kept = retention.retained(stored, policies, "2024-01-02 12:00:00").drop("batch_id", "event_date")
     kept.write.parquet(f"{tmp_path}/kept")
     deleted = built.retain(policies, "2024-01-02 12:00:00")
-    left = built.log["readings"].read().count()
+    left = built.read("deliveries").count()
     assert 0 < deleted < total and left + deleted == total
     equal_to_rebuild(spark, built, spark.read.schema(raw.schema).parquet(f"{tmp_path}/kept"))
     assert built.retain(policies, "2024-01-02 12:00:00") == 0
+
+
+def left_files(root):
+    """Part files by folder, with their times."""
+    out = {}
+    for file in pathlib.Path(root).rglob("part-*"):
+        out.setdefault(str(file.parent.relative_to(root)), []).append((file.name, file.stat().st_mtime_ns))
+    return {folder: sorted(files) for folder, files in out.items()}
+
+
+def test_one_vehicle_day_rewrites_its_own_folders(spark, tmp_path):
+    rows = [{**r, "t": r["t"] * 40} for r in noisy(9)]
+    raw = deliveries(spark, rows)
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
+    built.apply(raw, 0)
+    before = left_files(built.root)
+    late = deliveries(spark, [{**rows[0], "offset": 50_000, "lag": 40_000, "j1939_vehicle_speed_kph": 2.0}])
+    built.apply(late, 1)
+    after = left_files(built.root)
+    changed = sorted(f for f in after.keys() | before.keys() if after.get(f) != before.get(f))
+    tables_hit = [f.split("/")[0] for f in changed]
+    assert sorted(tables_hit) == ["daily", "deliveries", "fleet", "parts", "readings", "runs", "spans", "vehicles"]
+    assert len(before) > 20
+    equal_to_rebuild(spark, built, raw.union(late))
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_follow", "late"])
+def test_interrupted_retention_is_finished(spark, tmp_path, monkeypatch, step):
+    from roadlark.operators import retention
+
+    raw = deliveries(spark, [{**r, "t": r["t"] * 40} for r in noisy(8)])
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=2)
+    built.apply(raw, 0)
+    as_of, policies = "2024-01-02 12:00:00", policies_of(spark)
+    total = built.read("deliveries").count()
+    kept = retention.retained(raw, policies, as_of)
+    place = IncrementalTables._place
+
+    def stop(self, *args):
+        if step == "late":  # after some tables have changed
+            if args[0] in ("parts", "vehicles"):
+                raise Stopped
+            return place(self, *args)
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(IncrementalTables, "_place" if step == "late" else step, stop)
+        with pytest.raises(Stopped):
+            built.retain(policies, as_of)
+    built = IncrementalTables(spark, built.root, shards=2)
+    deleted = built.retain(policies, as_of)
+    assert deleted == (0 if step in ("_place", "late") else total - kept.count())
+    equal_to_rebuild(spark, built, kept)
+    # No file below the root holds an expired reading.
+    for file in pathlib.Path(built.root).rglob("part-*.parquet"):
+        assert "_stage" not in str(file)
+        if "event_ts" in pq.read_schema(file).names:
+            found = spark.read.parquet(f"{built.root}/{file.relative_to(built.root).parts[0]}")
+            assert retention.expired(found, policies, as_of).isEmpty()
+            break
+    for name in ("deliveries", "readings"):
+        assert retention.expired(built.read(name), policies, as_of).isEmpty()
+
+
+def test_wider_batches(spark, tmp_path):
+    """Three widths, and fields that grow from int to long and from float to double."""
+    path = str(tmp_path / "log")
+    log.write_batch(spark.createDataFrame([(1, 1.5)], "a int, b float"), path, 0)
+    log.write_batch(spark.createDataFrame([(1 << 40, "x")], "a long, c string"), path, 1)
+    log.write_batch(spark.createDataFrame([(2, 0.1, "y", True)], "a int, b double, c string, d boolean"), path, 2)
+    read = log.read_log(spark, path)
+    assert dict(read.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "boolean", "batch_id": "int"}
+    assert sorted(map(tuple, read.collect()), key=lambda r: r[-1]) == [
+        (1, 1.5, None, None, 0),
+        (1 << 40, None, "x", None, 1),
+        (2, 0.1, "y", True, 2),
+    ]
+    with pytest.raises(ValueError):
+        log.write_batch(spark.createDataFrame([("z",)], "a string"), path, 3)
