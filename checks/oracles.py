@@ -647,6 +647,9 @@ SELECT vehicle_id, event_ts, {DIST} <= radius_km AS inside, {DIST} <= 400 AS ins
 BODIES["geo_cell"] = f"""
 SELECT vehicle_id, event_ts, {cell('gps_latitude', 'gps_longitude', 7)} AS cell_res7,
   {cell('gps_latitude', 'gps_longitude', 9)} AS cell_res9 FROM reading"""
+BODIES["fleet_distinct_sketch"] = """
+SELECT customer_id, count(DISTINCT vehicle_id) AS vehicles, count(DISTINCT device_id) AS devices, TRUE AS within_bound
+FROM reading GROUP BY customer_id"""
 BODIES["hex_cell"] = f"""
 SELECT vehicle_id, event_ts, {hexed('gps_latitude', 'gps_longitude', 7)} AS cell_res7,
   {hexed('gps_latitude', 'gps_longitude', 9)} AS cell_res9 FROM reading"""
@@ -764,6 +767,7 @@ BODIES["retention_propagate"] = _AFTER
 BODIES["refresh_fleet"], BODIES["refresh_vehicles"] = BODIES["fact_customer_fleet"], BODIES["dim_vehicle"]
 BODIES["refresh_customers"], BODIES["refresh_health"] = BODIES["dim_customer"], BODIES["fleet_health"]
 BODIES["refresh_status"], BODIES["refresh_trips"] = BODIES["realtime_fleet_status"], BODIES["trip_summaries"]
+BODIES["refresh_status_lookup"] = f"SELECT * FROM ({BODIES['realtime_fleet_status']}) WHERE vehicle_id = '{TRACKED_VEHICLE}'"
 BODIES["retention_applied"] = "SELECT vehicle_id, customer_id, event_ts, ingest_ts FROM kept_reading"
 
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in BODIES.items()}

@@ -328,6 +328,28 @@ def _order() -> Column:
     return F.struct("event_ts", "ingest_ts", F.col("record_metadata.offset").alias("offset"))
 
 
+SKETCH_LG_K = 12
+#: Relative error that a distinct-count sketch of this size keeps with a probability of 99.7 %.
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_LG_K / 2)
+
+
+def distinct_sketches(readings: DataFrame) -> DataFrame:
+    """Mergeable sketches of the vehicles and devices per customer and day, a few kilobytes each.
+
+    Unlike exact distinct counts they add up: days to months, batches to tables, without a look at
+    the readings again (see ``distinct_estimates``)."""
+    return readings.groupBy("customer_id", day_start(F.col("event_ts")).alias("metric_date")).agg(
+        F.hll_sketch_agg("vehicle_id", SKETCH_LG_K).alias("vehicles"),
+        F.hll_sketch_agg("device_id", SKETCH_LG_K).alias("devices"),
+    )
+
+
+def distinct_estimates(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Estimated distinct vehicles and devices per key, from sketches of finer keys."""
+    names = ("vehicles", "devices")
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(n)).alias(n) for n in names])
+
+
 def merged_parts(parts: DataFrame, *keys: str) -> DataFrame:
     """Day parts of all days as one row per key, with the same columns but the day."""
     added = ["n", *[f"{m}_{k}" for m in _MEANS for k in ("sum", "n")], "counter_sum", "dtc_readings", "brakes"]

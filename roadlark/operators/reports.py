@@ -6,7 +6,7 @@ its key columns so that its rows are fully determined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlark.functions import rules
@@ -308,7 +308,7 @@ def counts_by(df: DataFrame, *columns: str, name: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
-    """Count and percentage per value; the total is a window over the few grouped rows."""
+    """Count and percentage per value; the total is a subquery over the few grouped rows."""
     counts = df.groupBy(column).agg(F.count("*").alias("event_count"))
-    total = F.sum("event_count").over(Window.partitionBy(F.lit(1)))
+    total = counts.select(F.sum("event_count")).scalar()
     return counts.withColumn("pct", F.round(F.col("event_count") * 100.0 / total, 1))

@@ -12,35 +12,29 @@ from roadlark.functions.hexagons import hex_cell
 from roadlark.functions.timing import month_start
 from roadlark.sources.masters import CellFunction
 
-# Cells per great circle are powers of two, from 1.4 degrees down to about 150 metres.
-COARSEST, FINEST = 8, 18
+# A quadtree over longitude and latitude: cells of 360 / 2**level degrees, at every other level.
+FINEST, STEP = 22, 2
+POLAR = 6  # caps over a pole touch whole circles of latitude: not finer than this
+_CELLS = [2**n for n in range(FINEST + 1)]
 
 
-def cell_degrees(radius_km: float | None) -> float:
-    """The cell for fences of about this radius: a fence then touches a few cells, and a cell holds
-    few fences that a point in it is not near to."""
-    if not radius_km or radius_km <= 0:
-        return 360 / 2**FINEST
-    reach = math.degrees(2 * radius_km / EARTH_RADIUS_KM)
-    return 360 / 2 ** min(max(math.floor(math.log2(360 / reach)), COARSEST), FINEST)
+def _index(degrees: Column, level: Column) -> Column:
+    return F.floor(degrees * F.get(F.lit(_CELLS), level) / 360.0)
 
 
-def _cell_x(lon: Column, degrees: float) -> Column:
-    return F.pmod(F.floor(lon / degrees), F.lit(round(360 / degrees)))
+def _around(column: Column, level: Column) -> Column:
+    return F.pmod(column, F.get(F.lit(_CELLS), level).cast("bigint"))
 
 
-def _cell_y(lat: Column, degrees: float) -> Column:
-    return F.floor(lat / degrees)
+def fence_cells(fences: DataFrame) -> DataFrame:
+    """One row per fence and quadtree cell its circle may touch, all of the fence's own level.
 
-
-def fence_cells(fences: DataFrame, degrees: float) -> DataFrame:
-    """One row per fence and grid cell its circle may touch.
-
-    The latitude band is the angular radius; the longitude band is the exact half-width of a
-    spherical cap, or the whole circle of latitude when the cap reaches a pole.  Both get a small
-    margin, so a point on the rim is never missed; the exact distance test comes after the join.
+    The level is the finest whose cells are as wide as the circle, so it touches four as a rule,
+    whatever its radius.  The latitude band is the angular radius; the longitude band is the exact
+    half-width of a spherical cap, or the whole circle of latitude when the cap reaches a pole.  Both
+    get a small margin, so a point on the rim is never missed; the exact distance test comes after
+    the join.
     """
-    around = round(360 / degrees)
     angle = F.col("radius_km") / EARTH_RADIUS_KM + 1e-9
     lat = F.radians("latitude")
     lat_reach = F.degrees(angle) + 1e-6
@@ -48,44 +42,59 @@ def fence_cells(fences: DataFrame, degrees: float) -> DataFrame:
     lon_reach = F.when(over_pole, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), F.sin(angle) / F.cos(lat)))) + 1e-6
     )
-    west, east = (F.floor((F.col("longitude") + s * lon_reach) / degrees) for s in (-1, 1))
-    columns = F.sequence(west, F.least(east, west + around - 1))
-    south, north = (_cell_y(F.col("latitude") + s * lat_reach, degrees) for s in (-1, 1))
+
+    def finest(reach: Column) -> Column:
+        level = F.floor(F.log2(F.lit(180.0) / reach))
+        return F.greatest(F.least(level, F.lit(FINEST)), F.lit(0)).cast("int")
+
+    reached = fences.withColumns({"_lat_reach": lat_reach, "_lon_reach": lon_reach})
+    by_lat, by_lon = finest(F.col("_lat_reach")), finest(F.col("_lon_reach"))
+    level = F.greatest(by_lon, F.least(by_lat, F.lit(POLAR)))
+    leveled = reached.where("radius_km >= 0").withColumn("_level", level - level % STEP)
+    west, east = (_index(F.col("longitude") + s * F.col("_lon_reach"), F.col("_level")) for s in (-1, 1))
+    whole = F.get(F.lit(_CELLS), F.col("_level")).cast("bigint")
+    columns = F.sequence(west, F.least(east, west + whole - 1))
+    south, north = (_index(F.col("latitude") + s * F.col("_lat_reach"), F.col("_level")) for s in (-1, 1))
     return (
-        fences.select("*", F.explode(F.sequence(south, north)).alias("_y"), columns.alias("_columns"))
+        leveled.select("*", F.explode(F.sequence(south, north)).alias("_y"), columns.alias("_columns"))
         .select("*", F.explode("_columns").alias("_column"))
-        .withColumn("_x", F.pmod("_column", F.lit(around)))
-        .drop("_columns", "_column")
+        .withColumn("_x", _around(F.col("_column"), F.col("_level")))
+        .drop("_columns", "_column", "_lat_reach", "_lon_reach")
     )
 
 
-def fences_around(
-    points: DataFrame, fences: DataFrame, lat: str, lon: str, how: str = "inner", degrees: float | None = None
-) -> DataFrame:
-    """Each point with every fence that holds it, plus ``distance_km``.
+def fences_around(points: DataFrame, fences: DataFrame, lat: str, lon: str, how: str = "inner") -> DataFrame:
+    """Each point with every fence that holds it, plus ``distance_km``; with ``how="left"`` also one
+    row without a fence for each point that no fence of the coarsest level holds.
 
-    The grid's cell follows the fences: its default comes from their median radius, or from the
-    largest one where that would touch very many cells; ``degrees`` sets it.
-
-    An equi join on grid cells with the exact distance as residual condition.  Spark broadcasts
-    the fences while their size is below its threshold and otherwise shuffles on the cell, where
-    AQE splits a cell that holds too many points.
+    An equi join on quadtree cells with the exact distance as residual condition: a fence lies in the
+    cells of its own level, and a point looks into one cell for each level that some fence has (a
+    subquery over the fences tells which, when the join runs).  So depots of 200 metres and regions
+    of 2,000 km can stand in one table.  Spark broadcasts the fences while their size is below its
+    threshold and otherwise shuffles on the cell, where AQE splits a cell that holds too many points.
     """
-    if degrees is None:
-        usual, largest = fences.select(F.median("radius_km"), F.max("radius_km")).first()
-        degrees = cell_degrees(max(usual or 0, (largest or 0) / 32))
     cells = fence_cells(
-        fences.select("geofence_id", "city_name", "latitude", "longitude", "radius_km"), degrees
+        fences.select("geofence_id", "city_name", "latitude", "longitude", "radius_km")
     ).withColumnsRenamed({"latitude": "_fence_lat", "longitude": "_fence_lon"})
-    located = points.withColumns({"_px": _cell_x(F.col(lon), degrees), "_py": _cell_y(F.col(lat), degrees)})
+    levels = cells.select(F.sort_array(F.collect_set("_level"))).scalar()
+    # Without any fence a point is looked up once, in vain.
+    used = F.when(F.size(levels) > 0, levels).otherwise(F.array(F.lit(0)))
+
+    leveled = points.withColumn("_used", used).select("*", F.posexplode("_used").alias("_n", "_pl")).drop("_used")
+    x = _around(_index(F.col(lon), F.col("_pl")), F.col("_pl"))
+    located = leveled.withColumns({"_px": x, "_py": _index(F.col(lat), F.col("_pl"))})
     distance = haversine_km(F.col(lat), F.col(lon), F.col("_fence_lat"), F.col("_fence_lon"))
     near = (
-        (F.col("_px") == F.col("_x")) & (F.col("_py") == F.col("_y")) & (distance <= F.col("radius_km"))
+        (F.col("_pl") == F.col("_level"))
+        & (F.col("_px") == F.col("_x"))
+        & (F.col("_py") == F.col("_y"))
+        & (distance <= F.col("radius_km"))
     )
     return (
         located.join(cells, near, how)
         .withColumn("distance_km", distance)
-        .drop("_px", "_py", "_x", "_y", "_fence_lat", "_fence_lon", "radius_km")
+        .where((F.col("_n") == 0) | F.col("geofence_id").isNotNull())
+        .drop("_n", "_pl", "_px", "_py", "_level", "_x", "_y", "_fence_lat", "_fence_lon", "radius_km")
     )
 
 

@@ -82,7 +82,9 @@ class IncrementalTables(FolderTables):
             rows = self.pruned("readings", touched).unionByName(rows, allowMissingColumns=True)
         self._change(latest_readings(rows), touched)
 
-    load = apply
+    def load(self, rows: DataFrame, batch_id: int = 0) -> None:
+        """First increment: there is nothing to merge it with."""
+        self.apply(rows, batch_id)
 
     def _change(self, readings: DataFrame, touched: DataFrame) -> None:
         """Replace the touched folders' readings, and all that follows from them."""

@@ -259,6 +259,25 @@ def refresh_trips(spark, sf_dir):
     return refreshed(spark, sf_dir).trip_summaries(masters.fences_from_nations(spark, sf_dir))
 
 
+@query
+def fleet_distinct_sketch(spark, sf_dir):
+    """Exact distinct counts per customer, and whether those merged from stored daily sketches keep
+    their error bound."""
+    m, path = model(spark, sf_dir), work_folder(spark, "sketches")
+    facts.distinct_sketches(m.readings).write.parquet(path)
+    guessed = facts.distinct_estimates(spark.read.parquet(path), "customer_id")
+    guessed = guessed.withColumnsRenamed({"customer_id": "id", "vehicles": "v", "devices": "d"})
+    exact = m.readings.groupBy("customer_id").agg(
+        F.countDistinct("vehicle_id").alias("vehicles"), F.countDistinct("device_id").alias("devices")
+    )
+
+    def near(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(1.0), F.col(count) * facts.SKETCH_ERROR)
+
+    joined = exact.join(guessed, F.col("customer_id").eqNullSafe(F.col("id")))
+    return joined.select("customer_id", "vehicles", "devices", (near("v", "vehicles") & near("d", "devices")).alias("within_bound"))
+
+
 # ---- curated layer -----------------------------------------------------------------------------
 
 over_model("raw_count", lambda m: m.raw.agg(F.count("*").alias("raw_row_count")))

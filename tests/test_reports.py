@@ -7,6 +7,24 @@ from roadlark.functions import rules
 from roadlark.operators import payloads, quantiles, reports, text
 
 
+def test_quantiles_of_one_large_continuous_group(spark):
+    """All rows in one group, no two values equal, most of them in a thousandth of the range."""
+    import numpy as np
+
+    n = 200_000
+    value = F.when(F.col("id") % 100 == 0, F.col("id") * 1.5).otherwise(F.pow(F.rand(3), F.lit(3.0)) + F.col("id") * 1e-12)
+    df = spark.range(n).select(F.when(F.col("id") >= 7, "a").alias("g"), value.alias("v")).persist()
+    values = {}
+    for g, v in df.collect():
+        values.setdefault(g, []).append(v)
+    rows = {r.g: r for r in quantiles.exact_quantiles(df, "g", "v").collect()}
+    assert set(rows) == {"a", None}
+    for g, row in rows.items():
+        assert row.n == len(values[g])
+        for name, p in quantiles.BOX_PLOT.items():
+            assert row[name] == pytest.approx(np.quantile(values[g], p), abs=6e-5)
+
+
 def test_quantiles_equal_numpy(spark):
     import numpy as np
 

@@ -98,10 +98,9 @@ def test_small_fences_in_one_city_meet_few_points(spark):
         "70D + (id % 100) * 0.0007 AS longitude",
         "0.2D AS radius_km",
     )
-    degrees = spatial.cell_degrees(0.2)
-    cells = spatial.fence_cells(fences, degrees)
+    cells = spatial.fence_cells(fences)
     per_fence = cells.count() / 10_000
-    per_cell = cells.groupBy("_x", "_y").count().agg({"count": "max"}).first()[0]
+    per_cell = cells.groupBy("_level", "_x", "_y").count().agg({"count": "max"}).first()[0]
     assert per_fence <= 9 and per_cell <= 200
     points = spark.createDataFrame([(1, 10.03, 70.03)], "id int, lat double, lon double")
     near = spatial.fences_around(points, fences, "lat", "lon")
@@ -112,6 +111,34 @@ def test_small_fences_in_one_city_meet_few_points(spark):
     assert near.count() == brute.count() > 10
 
 
-def test_cells_follow_the_radius():
-    assert spatial.cell_degrees(0.2) < spatial.cell_degrees(15) < spatial.cell_degrees(200)
-    assert spatial.cell_degrees(None) == spatial.cell_degrees(0) == 360 / 2**spatial.FINEST
+FENCE = "geofence_id string, city_name string, latitude double, longitude double, radius_km double"
+
+
+def test_mixed_radii_in_one_table(spark):
+    """Depots of 200 metres and a region of 2,000 km; no job runs while the plan is built."""
+    rng = random.Random(4)
+    depots = [(f"D{n}", "d", rng.uniform(8, 30), rng.uniform(70, 90), 0.2) for n in range(3000)]
+    region = [("R", "r", 20.0, 80.0, 2000.0), ("Z", "z", 20.0, 80.0, 0.0), ("N", "n", 20.0, 80.0, None)]
+    fences = spark.createDataFrame(depots + region, FENCE)
+    per_fence = {r.geofence_id: r["count"] for r in spatial.fence_cells(fences).groupBy("geofence_id").count().collect()}
+    assert max(per_fence.values()) <= 9 and "N" not in per_fence
+    near = [(n, lat + rng.uniform(-0.003, 0.003), lon) for n, (_, _, lat, lon, _) in enumerate(depots[:300])]
+    points = spark.createDataFrame([*near, (1000, -40.0, -60.0), (1001, None, 1.0)], "id int, lat double, lon double")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    joined = fences_around(points, fences, "lat", "lon", how="left")
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    got = [(r.id, r.geofence_id) for r in joined.collect()]
+    want = {(i, g) for i, la, lo in near for g, _, fa, fo, rad in depots + region[:1] if km(la, lo, fa, fo) <= rad}
+    assert sorted(g for g in got if g[1]) == sorted(want) and len(want) > 400
+    assert {(1000, None), (1001, None)} <= set(got)
+    # A point is compared with the depots of its own small cell only.
+    cells = spatial.fence_cells(fences.where("radius_km = 0.2")).groupBy("_level", "_x", "_y").count()
+    assert cells.agg({"count": "max"}).first()[0] <= 4
+
+
+def test_no_fences(spark):
+    points = spark.createDataFrame([(1, 10.0, 77.0)], "id int, lat double, lon double")
+    none = spark.createDataFrame([], FENCE)
+    assert fences_around(points, none, "lat", "lon").isEmpty()
+    assert [r.geofence_id for r in fences_around(points, none, "lat", "lon", how="left").collect()] == [None]

@@ -151,12 +151,28 @@ def test_interval_join_equals_plain_join(spark):
         lo = rng.randrange(0, 20000)
         spans.append((f"VH_{rng.randrange(6)}", n, at(lo), at(lo + rng.choice([-5, 0, 40, 9000]))))
     spans = spark.createDataFrame(spans, "vehicle_id string, n int, s timestamp_ntz, e timestamp_ntz")
-    got = intervals.interval_join(events, spans, "vehicle_id", "event_ts", "s", "e", 600)
+    got = intervals.interval_join(events, spans, "vehicle_id", "event_ts", "s", "e")
     plain = events.join(spans, "vehicle_id").where("event_ts BETWEEN s AND e")
     assert sorted(got.select("n", "event_ts").collect()) == sorted(plain.select("n", "event_ts").collect())
     assert got.count() > 0
 
 
+def test_long_and_short_intervals_in_one_join(spark):
+    """Intervals of a second, an hour and ten years; each lies in two cells at most."""
+    events = deliveries(spark, [{"t": t} for t in range(0, 40000, 7)]).select("vehicle_id", "event_ts")
+    spans = spark.createDataFrame(
+        [(1, at(70), at(71)), (2, at(0), at(3600)), (3, at(-150_000_000), at(170_000_000)), (4, at(20), at(10)), (5, at(0), None)],
+        "n int, s timestamp_ntz, e timestamp_ntz",
+    )
+    spans = spans.crossJoin(events.select("vehicle_id").distinct())
+    cells = intervals.interval_cells(spans, "s", "e").groupBy("n").count().collect()
+    assert {r.n for r in cells} == {1, 2, 3} and max(r["count"] for r in cells) <= 2
+    got = intervals.interval_join(events, spans, "vehicle_id", "event_ts", "s", "e")
+    plain = events.join(spans, "vehicle_id").where("event_ts BETWEEN s AND e")
+    assert sorted(got.select("n", "event_ts").collect()) == sorted(plain.select("n", "event_ts").collect())
+    assert intervals.interval_join(events, spans.where("n > 5"), "vehicle_id", "event_ts", "s", "e").isEmpty()
+
+
 def test_city_fences(spark):
     assert city_fences(spark).count() == 25
 
