@@ -46,6 +46,13 @@ NAMES = set(
     " commentlist disqus replies reply respond reactions pagination pager toolbar search copyright"
     " hidden skip banner topbar".split()
 )
+# Words that say nothing about what a part holds.
+FILLERS = set(
+    "area article bar block bottom box button buttons card cards col column container content entry"
+    " form global group header icons inner item items left link links list main module outer page"
+    " panel post posts primary region right row secondary section site slot small top unit user view"
+    " wrap wrapper".split()
+)
 # A start tag of the first kind ends an open element of the second.
 CLOSES = {
     "li": {"li"},
@@ -70,22 +77,33 @@ SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("path", "chain", "out", "named", "text", "linked", "heading", "lead", "links")
+    __slots__ = ("path", "at", "out", "named", "text", "linked", "heading", "lead", "links")
+
+
+class Element:
+    """An open element.  What depends on all elements around it is known from its parent, so no
+    list of open elements is walked, however deep a broken page nests."""
+
+    __slots__ = ("tag", "number", "outside", "named", "inside", "link", "path", "block")
 
 
 class Reader:
-    """Cuts one page into blocks.  ``chain`` holds the numbers of the open elements."""
+    """Cuts one page into blocks; a block knows its innermost element, an element its parent."""
 
     def __init__(self, page: str) -> None:
         self.blocks: list[Block] = []
-        # Tag, number, outside, and the number of the outermost element named like a part around.
-        self.open: list[tuple[str, int, bool, int]] = []
+        root = Element()
+        root.tag, root.number, root.outside, root.named, root.inside = "", 0, False, 0, False
+        root.link, root.path, root.block = 0, 0, ""
+        self.open: list[Element] = [root]
+        self.of_tag: dict[str, int] = defaultdict(int)
+        self.parent = [0]
+        self.paths: dict[tuple[int, str], int] = {}
         self.articles: set[int] = set()
         self.pages: set[int] = set()
         # Links, and those around blocks.
         self.anchors: set[int] = set()
         self.wide: set[int] = set()
-        self.count = 0
         self.pieces: list[str] = []
         self.links: dict[int, int] = {}
         self.read(page)
@@ -95,12 +113,10 @@ class Reader:
     def flush(self) -> None:
         text = SPACE.sub(" ", html.unescape("".join(self.pieces))).strip()
         if text:
-            b = Block()
-            tags = [t for t, _, _, _ in self.open if t in BLOCK]
-            b.path, b.text, b.heading = "/".join(tags), text, bool(tags) and tags[-1] in HEADING
-            b.chain = [n for _, n, _, _ in self.open]
-            b.out, b.named = self.open[-1][2:] if self.open else (False, 0)
-            b.lead = bool(tags) and tags[-1] == "h1" or any(n in self.articles for n in b.chain)
+            b, top = Block(), self.open[-1]
+            b.path, b.text, b.heading = top.path, text, top.block in HEADING
+            b.at, b.out, b.named = top.number, top.outside, top.named
+            b.lead = top.block == "h1" or top.inside
             b.links = self.links
             self.blocks.append(b)
         self.pieces, self.links = [], {}
@@ -121,10 +137,31 @@ class Reader:
     def add(self, text: str) -> None:
         if text:
             self.pieces.append(text)
-            for _, n, _, _ in reversed(self.open):
-                if n in self.anchors:
-                    self.links[n] = self.links.get(n, 0) + len(text)
-                    break
+            n = self.open[-1].link
+            if n:
+                self.links[n] = self.links.get(n, 0) + len(text)
+
+    def drop(self, k: int) -> None:
+        """Close the open elements from position k on."""
+        for e in self.open[k:]:
+            self.of_tag[e.tag] -= 1
+        del self.open[k:]
+
+    def drop_links(self, named_only: bool) -> None:
+        """Close open links, or those without a target, but not what stands inside of them."""
+        k, left = len(self.open), self.of_tag["a"]
+        while left:
+            k -= 1
+            e = self.open[k]
+            if e.tag != "a":
+                continue
+            left -= 1
+            if not (named_only and e.number in self.anchors):
+                del self.open[k]
+                self.of_tag["a"] -= 1
+                for around, inner in zip(self.open[k - 1 :], self.open[k:]):
+                    self.parent[inner.number] = around.number
+                    inner.link = inner.number if inner.number in self.anchors else around.link
 
     def tag_end(self, page: str, at: int) -> int:
         """Where a tag whose attributes begin at ``at`` ends; a quoted value may hold '>'."""
@@ -176,35 +213,50 @@ class Reader:
             if tag not in {"html", "body", "head"}:
                 self.end_paragraph(tag)
             # A name of a place holds no blocks.
-            self.open = [e for e in self.open if e[0] != "a" or e[1] in self.anchors]
-            self.wide.update(n for _, n, _, _ in self.open if n in self.anchors)
+            self.drop_links(True)
+            link = self.open[-1].link
+            while link and link not in self.wide:
+                self.wide.add(link)
+                link = next((e.link for e in self.open if e.number == self.parent[link]), 0)
         elif tag == "a":
-            self.open = [e for e in self.open if e[0] != "a"]
+            self.drop_links(False)
         elif tag in ("br", "wbr", "img"):
             self.pieces.append(" " if tag != "wbr" else "")
         if tag in VOID:
             return
-        self.count += 1
-        outside, named = self.open[-1][2:] if self.open else (False, 0)
-        inside = any(t in ("article", "main") for t, _, _, _ in self.open)
-        outside = outside or tag in OUTSIDE or (tag == "header" and not inside)
+        around, e = self.open[-1], Element()
+        e.tag, e.number = tag, len(self.parent)
+        self.parent.append(around.number)
+        outside = around.outside or tag in OUTSIDE or (tag == "header" and not around.inside)
+        e.outside, e.named = outside, around.named
         if attributes.strip(" /"):
-            out, name = self.judge(tag, attributes, inside)
-            outside, named = outside or out, named or (self.count if name else 0)
+            out, name = self.judge(tag, attributes, around.inside)
+            e.outside, e.named = outside or out, around.named or (e.number if name else 0)
+        e.inside, e.link = around.inside, around.link
+        e.path, e.block = around.path, around.block
+        if tag in BLOCK:
+            e.path = self.paths.setdefault((around.path, tag), len(self.paths) + 1)
+            e.block = tag
         if tag in ("article", "main"):
-            self.articles.add(self.count)
+            self.articles.add(e.number)
+            e.inside = True
         elif tag in ("html", "body"):
-            self.pages.add(self.count)
+            self.pages.add(e.number)
         elif tag == "a" and any(k.lower() == "href" for k, *_ in ATTRIBUTE.findall(attributes)):
-            self.anchors.add(self.count)
-        self.open.append((tag, self.count, outside, named))
+            self.anchors.add(e.number)
+            e.link = e.number
+        self.of_tag[tag] += 1
+        self.open.append(e)
 
     def end_paragraph(self, tag: str) -> None:
         closes = CLOSES.get(tag, set())
+        ends = {"p"} | closes | (HEADING if tag in HEADING else set())
+        if not any(self.of_tag[t] for t in ends):
+            return
         for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == "p" or name in closes or (name in HEADING and tag in HEADING):
-                del self.open[k:]
+            name = self.open[k].tag
+            if name in ends:
+                self.drop(k)
                 if name == "p" and closes:
                     return self.end_paragraph(tag)
                 return
@@ -213,7 +265,7 @@ class Reader:
 
     def judge(self, tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
         """(hidden or of a foreign role, named like a part around articles)"""
-        out, words = False, set()
+        out, words, tokens = False, set(), []
         for key, *values in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "")
             if key == "role":
@@ -225,13 +277,15 @@ class Reader:
                 out |= "display:none" in flat or "visibility:hidden" in flat
             elif key in ("class", "id"):
                 # "with-sidebar" and the like name what an element holds, not what it is.
-                words |= {w.lower() for w in PART.findall(HOLDS.sub(" ", value))}
+                tokens += [{w.lower() for w in PART.findall(t)} for t in HOLDS.sub(" ", value).split()]
+                words.update(*tokens)
         if tag in ("html", "body", "main"):
             return False, False
-        if inside:
-            words.discard("header")  # of the article itself
         if tag == "article":
-            words &= {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"}
+            return out, bool(words & {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"})
+        if inside:
+            # Inside of an article only whole names count: "related-work" is a section of its own.
+            return out, any(w <= NAMES | FILLERS and w & (NAMES - {"header"}) for w in tokens)
         return out, bool(words & NAMES)
 
     def close(self, tag: str) -> None:
@@ -240,26 +294,35 @@ class Reader:
         if tag == "br":
             self.pieces.append(" ")
             return
+        if not self.of_tag[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
+            if self.open[k].tag == tag:
+                self.drop(k)
                 return
-            if tag not in BLOCK and self.open[k][0] in BLOCK:
+            if tag not in BLOCK and self.open[k].tag in BLOCK:
                 return  # an inline end tag does not close a block
 
+    def below(self, chosen: set[int]) -> list[bool]:
+        """Of every element, whether it or one around it is chosen."""
+        out = [0 in chosen]
+        for n in range(1, len(self.parent)):
+            out.append(n in chosen or out[self.parent[n]])
+        return out
+
 
 # So many links in a row, without other text, are a menu.
 MENU = 3
 
 
-def menus(blocks: list[Block]) -> list[bool]:
+def menus(blocks: list[Block], parent: list[int]) -> list[bool]:
     """Which blocks belong to a run of links alone: siblings, or several links of one block."""
     out, begin = [False] * len(blocks), 0
     for i in range(1, len(blocks) + 1):
         a = blocks[begin]
         if i < len(blocks):
             b = blocks[i]
-            if b.path == a.path and b.chain[:-1] == a.chain[:-1] and alone(a) and alone(b):
+            if b.path == a.path and parent[b.at] == parent[a.at] and alone(a) and alone(b):
                 continue
         if alone(a) and sum(len(b.links) for b in blocks[begin:i]) >= MENU:
             out[begin:i] = [True] * (i - begin)
@@ -322,25 +385,27 @@ def main_text(page: str | None) -> str:
     weight = [len(b.text) - b.linked for b in blocks]
     mean = sum(s * w for s, w in zip(score, weight)) / max(sum(weight), 1)
     picked = [s >= SHARE * mean and 2 * b.linked <= len(b.text) for s, b in zip(score, blocks)]
-    held = defaultdict(int)
+    held = [0] * len(reader.parent)
     for b, p, w in zip(blocks, picked, weight):
         if p:
-            for n in b.chain:
-                held[n] += w
+            held[b.at] += w
+    for n in range(len(held) - 1, 0, -1):  # children have larger numbers than their parents
+        held[reader.parent[n]] += held[n]
     total = max(sum(w for p, w in zip(picked, weight) if p), 1)
     # Articles that the markup declares, if they hold most of the picked text.
-    declared = {n for n in reader.articles if held[n]}
-    inner = [any(n in declared for n in b.chain) for b in blocks]
+    declared = reader.below({n for n in reader.articles if held[n]})
+    inner = [declared[b.at] for b in blocks]
     article = inner
     if 2 * sum(w for p, w, i in zip(picked, weight, inner) if p and i) < total:
         # Else the innermost element with most of it; other picked blocks stay, too.
-        best = max((n for n in held if 5 * held[n] >= 4 * total), default=0)
-        inner = [p or best in b.chain for b, p in zip(blocks, picked)]
+        best = max((n for n in range(1, len(held)) if held[n] and 5 * held[n] >= 4 * total), default=0)
+        within = reader.below({best} if best else set())
+        inner = [p or within[b.at] for b, p in zip(blocks, picked)]
         # A whole page is no article: its other blocks of links stand around one.
-        article = [best in b.chain and best not in reader.pages for b in blocks]
+        article = [within[b.at] and best not in reader.pages for b in blocks]
     keep = [
         b.text
-        for b, p, i, a, m in zip(blocks, picked, inner, article, menus(blocks))
+        for b, p, i, a, m in zip(blocks, picked, inner, article, menus(blocks, reader.parent))
         if i and (p or b.heading or 2 * b.linked <= len(b.text) or (a and not m))
     ]
     return "\n".join(keep)

@@ -80,3 +80,26 @@ def test_linked_lines_of_an_article_stay_and_menus_go():
         menu = "<ul>" + "".join(f"<li><a href=/{i}>Place {i}</a>" for i in range(5)) + "</ul><div>" + " | ".join(f"<a href=/{i}>Part {i}</a>" for i in range(4)) + "</div>"
         assert main_text("<body>" + around.format(menu + BODY) + "</body>") == WANT
     assert main_text(f"<body><div><a href=/>Home</a></div>{BODY}</body>") == WANT
+
+
+def test_broken_nesting_takes_linear_time():
+    import time
+
+    for page in ("<div>x " * 8000, "<a href=x><span>y " * 8000, "<b>z<p>" * 8000, "<ul><li>" * 4000 + "</section>w" * 4000):
+        begin = time.perf_counter()
+        pages.main_text(page)
+        assert time.perf_counter() - begin < 3
+
+
+def test_sections_with_names_of_their_own_stay_in_an_article():
+    long = "Some words of the article, and more of them. " * 8
+    page = (
+        f"<article><h1>Title</h1><p>{long}</p>"
+        "<section class='related-work'><h2>Related work</h2><p>Others did so before, too.</p></section>"
+        "<div id='social-history'><p>A history, in short.</p></div>"
+        "<div class='related-posts box-2'><p>See this post, and that one.</p></div>"
+        "<div id='comment-list'><p>First comment, by a reader.</p></div></article>"
+    )
+    text = pages.main_text(page)
+    assert "Others did so" in text and "Related work" in text and "A history" in text
+    assert "See this post" not in text and "First comment" not in text
