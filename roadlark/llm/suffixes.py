@@ -38,16 +38,17 @@ FLUSH = 1_000_000
 # Contexts of one piece that one task sorts; contexts that one call handles.
 CONTEXTS = 4096
 CELL = 20_000
+CUT_BYTES = 8 << 20  # of contexts per Arrow batch
 
 _ROLLING = RollingSums(seed=7)
 _PLACE = 24
 KINDS = {"key": "u4", "context": "u8", "doc": "i8", "variant": "i8", "start": "u4", "reach": "u2"}
 
 
-def variants(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A hash of each whole text: it tells texts of one id apart."""
-    sums = _ROLLING.sums(data)
-    return _ROLLING.ranges(sums, offsets[:-1], offsets[1:]).view(np.int64)
+def _home() -> list:
+    """Id and variant of a row: a hash of its whole text tells texts of one id, or of none, apart."""
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("doc_id")
+    return [doc_id, F.xxhash64("text").alias("variant")]
 
 
 def _least(piece: np.ndarray, spread: int) -> np.ndarray:
@@ -154,8 +155,8 @@ def grouped(documents: DataFrame, length: int, spread: int) -> DataFrame:
     def deal(batches):
         held, count = [], 0
         for batch in batches:
-            ids = np.array(batch.column(0).fill_null(NOBODY))
-            for i, j, data, offsets in pieces_of(batch.column(1)):
+            ids, variant = (batch.column(k).to_numpy() for k in (0, 1))
+            for i, j, data, offsets in pieces_of(batch.column(2)):
                 piece, context, text, first, last = anchors(data, offsets, length, spread)
                 if not len(piece):
                     continue
@@ -166,7 +167,7 @@ def grouped(documents: DataFrame, length: int, spread: int) -> DataFrame:
                         "key": piece.astype(np.uint32),
                         "context": context,
                         "doc": ids[i:j][text],
-                        "variant": variants(data, offsets)[text],
+                        "variant": variant[i:j][text],
                         "start": (first - offsets[text]).astype(np.uint32),
                         "reach": (last - first).astype(np.uint16),
                     }
@@ -210,7 +211,7 @@ def grouped(documents: DataFrame, length: int, spread: int) -> DataFrame:
         return pa.concat_tables(tables)
 
     texts = documents.filter(F.octet_length("text") >= length)
-    dealt = texts.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    dealt = texts.select(*_home(), F.col("text").cast("string"))
     schema = ", ".join(["bucket int", *(f"{k} binary" for k in sent[1:])])
     return dealt.mapInArrow(deal, schema).groupBy("bucket").applyInArrow(settle, out)
 
@@ -258,6 +259,16 @@ def intervals(contexts: list[bytes], before: list[bytes], reach: list[int], leng
             stack.append((depth, first))
 
 
+def _listed(column: pa.Array, i: int):
+    """The structs of row i of a list column, as tuples."""
+    return zip(*(c.to_pylist() for c in column[i].values.flatten()), strict=True)
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
 def repeats(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
     """(doc_id, variant, start, size, repeat): occurrences of maximal repeats.
 
@@ -278,34 +289,36 @@ def repeats(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) ->
     sizes = mixed.groupBy("piece").agg(F.count("*").alias("contexts"))
     some = mixed.join(sizes, "piece").drop("mixed", "member")
 
+    fields = ["start", "reach", "piece", "context", "several", "contexts"]
+    schema = (
+        "doc_id long, variant long, start long, reach long, piece long, context long,"
+        " several boolean, contexts long, raw binary"
+    )
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64(), pa.binary()]
+
     def cut(batches):
-        """The bytes of each row's context, and the byte in front."""
+        """The bytes of each context of a text, and the byte in front."""
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            own = []
-            for i, j, part, bounds in pieces_of(batch.column(0)):
-                own += variants(part, bounds).tolist()
-            take, out = [], []
-            columns = [batch.column(k).to_pylist() for k in (2, 3, 4)]
-            for i, (variant, start, reach) in enumerate(zip(*columns)):
-                if variant == own[i]:
+            held, size = [], 0
+            for i in range(batch.num_rows):
+                doc_id, variant = (batch.column(k)[i].as_py() for k in (1, 2))
+                for part in _listed(batch.column(3), i):
+                    start, reach = part[0], part[1]
                     begin = int(offsets[i]) + start
                     raw = data[begin - (start > 0) : begin + reach + length].tobytes()
-                    take.append(i)
-                    out.append(raw)
-            kept = pa.Table.from_batches([batch]).select(batch.schema.names[1:])
-            kept = kept.take(pa.array(take, pa.int64())).append_column("raw", pa.array(out, pa.binary()))
-            yield from kept.to_batches()
-
-    fields = "doc_id", "variant", "start", "reach", "piece", "context", "several", "contexts"
-    texts = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("doc_id"), "text"
-    )
-    schema = (
-        "doc_id long, variant long, start long, reach long, piece long, context long,"
-        " several boolean, contexts long, raw binary"
-    )
-    joined = texts.join(some, "doc_id").select("text", *fields)
+                    held.append((doc_id, variant, *part, raw))
+                    size += len(raw)
+                    if size >= CUT_BYTES:
+                        yield _batch(held, names, kinds)
+                        held, size = [], 0
+            yield _batch(held, names, kinds)
+
+    # A text meets the list of its contexts once, however many they are.
+    lists = some.groupBy("doc_id", "variant").agg(F.collect_list(F.struct(*fields)).alias("cuts"))
+    texts = documents.select(*_home(), "text")
+    joined = texts.join(lists, ["doc_id", "variant"]).select("text", "doc_id", "variant", "cuts")
     # Repeated rows give the same bytes for one context; one of them is enough.
     contexts = joined.mapInArrow(cut, schema).dropDuplicates(["piece", "context"])
     contexts = scratch.keep(contexts)
@@ -377,32 +390,28 @@ def removed(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) ->
     """
     names = ["n_bytes", "n_removed", "n_spans", "kept"]
     plain = documents.drop(*names)
-    key, lists = unused("_key", plain), unused("_spans", plain)
-    spans = repeats(plain, length, spread).groupBy(F.col("doc_id").alias(key)).agg(
-        F.collect_list(F.struct("variant", "start", "size")).alias(lists)
-    )
-    home = F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY))
-    joined = plain.withColumn(key, home).join(spans, key, "left").select(*plain.columns, lists)
+    key, twin, lists = (unused(n, plain) for n in ("_key", "_variant", "_spans"))
+    found = repeats(plain, length, spread).groupBy("doc_id", "variant")
+    spans = found.agg(F.collect_list(F.struct("start", "size")).alias(lists)).toDF(key, twin, lists)
+    home, variant = _home()
+    joined = plain.withColumns({key: home, twin: variant}).join(spans, [key, twin], "left").select(*plain.columns, lists)
     before = plain.columns
     at = before.index("text")
 
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(at))
-            own, out = [], []
-            for _, _, part, bounds in pieces_of(batch.column(at)):
-                own += variants(part, bounds).tolist()
+            out = []
             lists = batch.column(batch.num_columns - 1)
             for i in range(batch.num_rows):
                 raw = data[offsets[i] : offsets[i + 1]]
                 if not lists[i].is_valid:
                     out.append((len(raw), 0, 0, raw.tobytes()))
                     continue
-                variant, start, size = (c.to_numpy() for c in lists[i].values.flatten())
-                mine = variant == own[i]
+                start, size = (c.to_numpy() for c in lists[i].values.flatten())
                 cover = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(cover, start[mine], 1)
-                np.add.at(cover, start[mine] + size[mine], -1)
+                np.add.at(cover, start, 1)
+                np.add.at(cover, start + size, -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 runs = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
                 out.append((len(raw), int(gone.sum()), runs, raw[~gone].tobytes()))

@@ -74,6 +74,31 @@ def test_odd_cases(spark):
     assert result(df, length=40, spread=12) == expected(texts, 40)
 
 
+def test_long_edited_copies(spark):
+    """Two texts of 600 KB, one byte in 450 changed: every context is a text's own."""
+    text = prose(120_000, 30)[:600_000]
+    edited = list(text)
+    for i in range(100, len(edited), 450):
+        edited[i] = "#"
+    texts = [(1, text), (2, "".join(edited)), (3, prose(50, 31))]
+    got = {r[1]: r[2:] for r in result(table(spark, texts))}
+    # Between two edits 449 bytes agree, so all but the edits and the texts' ends repeat.
+    places = len(range(100, len(edited), 450))
+    last = (len(edited) - 1 - 100) % 450
+    tail = last if last < 400 else 0
+    for i in (1, 2):
+        assert got[i][0] == len(text) and got[i][1] == len(text) - places - 100 - tail
+        assert got[i][2] == places - (tail > 0)
+    assert got[3][1] == 0
+
+
+def test_many_rows_without_id(spark):
+    rng = np.random.default_rng(3)
+    common = prose(30, 40)
+    texts = [(None, prose(12, 1000 + n) + (common if n % 3 == 0 else "") + prose(5, int(rng.integers(50)))) for n in range(300)]
+    assert result(table(spark, texts), length=40, spread=12) == expected(texts, 40)
+
+
 def test_empty_table(spark):
     assert suffixes.removed(table(spark, [])).collect() == []
 
