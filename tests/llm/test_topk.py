@@ -73,3 +73,23 @@ def test_odd_cases(spark):
 def test_repeated_rows_are_candidates_of_their_own(spark):
     rows = [(0, [1.0], 0), (5, [1.0], 0), (5, [1.0], 0)]
     assert result(vectors(spark, rows), 5, 20) == [(0, 1, 5, 4096), (0, 2, 5, 4096)]
+
+
+def test_large_finite_components(spark):
+    """Components beyond 32 bits are scored exactly; only scores beyond a long are an error."""
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-3, 3)), rng.random(), 0.0], 0) for i in range(60)]
+    rows += [(60, [5e8, 1.0, 0.0], 0), (61, [0.5, 2.0**40 + 0.25, 0.0], 0), (62, [-1e9, 1e9, 1e30], 0), (64, [1.0, 1.0, 0.0], 0)]
+    assert result(vectors(spark, rows).selectExpr("vec_id", "cast(embedding AS array<double>) AS embedding"), 5, 4) == brute(
+        [(i, list(map(float, v)), x) for i, v, x in as_floats(rows)], 5, 4
+    )
+    huge = vectors(spark, [(0, [3e18], 0), (1, [5.0], 0)])
+    with pytest.raises(Exception, match="does not fit a long"):
+        result(huge, 5, 20)
+
+
+def as_floats(rows):
+    """The values as they are after a stay in a column of 32-bit floats."""
+    import numpy as np
+
+    return [(i, [float(np.float32(x)) for x in v], n) for i, v, n in rows]
