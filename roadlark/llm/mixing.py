@@ -64,7 +64,7 @@ def mix(documents: DataFrame, seed: int = 7) -> DataFrame:
 
     size counts the words of the whole text (null or empty: 0).  copies is how often the mix
     emits the row, taken = copies * size.  Rows of an empty source get no copies.  Repeated rows
-    count like others and rows of one id get the same draw; rows without an id share one draw.
+    count like others and rows of one id get the same draw; rows without an id are drawn by their texts.
     An empty table gives an empty result.  Further columns stay as they are, but columns of the
     names above are replaced.
     """
@@ -81,7 +81,8 @@ def mix(documents: DataFrame, seed: int = 7) -> DataFrame:
     joined = sized.join(small, sized["source"].eqNullSafe(small[key])).drop(key)
     empty = F.col("source_size") == 0
     rate = F.when(empty, 0.0).otherwise(F.col("target") / F.col("source_size"))
-    more = draw(F.col("doc_id"), seed) < rate - F.floor(rate)
+    who = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
+    more = draw(who, seed) < rate - F.floor(rate)
     copies = F.floor(rate) + F.when(more, 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("long")).withColumn(
         "taken", F.col("copies") * F.col("size")
