@@ -367,10 +367,26 @@ def contaminated(
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``documents`` without the rows that ``contaminated`` finds; all columns stay.
+def clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """``documents`` without the rows whose text ``contaminated`` finds; all columns stay.
 
-    Rows without doc_id stay.
+    Each row is judged by its own text where it is read: rows without doc_id and rows that share one
+    are no exception, and nothing is shuffled.
     """
-    found = contaminated(documents, benchmark, **options).select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti").select(documents.columns)
+    spark, at = documents.sparkSession, documents.columns.index("text")
+    for index in indexes(benchmark):
+        shared = spark.sparkContext.broadcast(index)  # of bounded size
+
+        def run(batches, shared=shared):
+            index = shared.value
+            for batch in batches:
+                column = batch.column(at).cast(pa.string())
+                sizes = np.array(pc.fill_null(pc.binary_length(column), 0))
+                keep = np.ones(len(column), bool)
+                for i, j in slices(sizes, SLICE_BYTES):
+                    for text, *_ in matches(index, column.slice(i, j - i), threshold, overlap):
+                        keep[i + text] = False
+                yield batch.filter(pa.array(keep))
+
+        documents = documents.mapInArrow(run, documents.schema)
+    return documents
