@@ -81,10 +81,12 @@ def main() -> None:
         "retention_deleted",
         lambda: drain(retention.deleted_per_customer(raw, live.policies, registry.RETENTION_AS_OF)),
     )
-    built = IncrementalTables(spark, f"{root}/tables")
+    built = IncrementalTables(spark, f"{root}/tables", shards=registry.SHARDS)
     last_day = F.col("ingest_ts") >= F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
     timed("refresh_first_load", lambda: built.load(raw.where(~last_day)))
     timed("refresh_last_day", lambda: built.apply(raw.where(last_day), 1))
+    timed("status_lookup", lambda: drain(built.fleet_status(registry.TRACKED_VEHICLE)))
+    timed("hex_cell", lambda: drain(registry.QUERIES["hex_cell"](spark, SF_DIR)))
     timed("text_sentiment", lambda: drain(registry.text_sentiment(spark, SF_DIR)))
     timed("text_summary", lambda: drain(registry.text_summary(spark, SF_DIR)))
 

@@ -650,6 +650,10 @@ SELECT vehicle_id, event_ts, {cell('gps_latitude', 'gps_longitude', 7)} AS cell_
 BODIES["fleet_distinct_sketch"] = """
 SELECT customer_id, count(DISTINCT vehicle_id) AS vehicles, count(DISTINCT device_id) AS devices, TRUE AS within_bound
 FROM reading GROUP BY customer_id"""
+BODIES["curved_box"] = """
+SELECT vehicle_id, event_ts, gps_latitude, gps_longitude, gps_speed_kph FROM reading
+WHERE CAST(substr(vehicle_id, 4) AS BIGINT) BETWEEN 10 AND 60 AND event_ts >= TIMESTAMP '2024-01-05 00:00:00'
+  AND event_ts < TIMESTAMP '2024-01-15 00:00:00' AND gps_latitude BETWEEN 10 AND 20"""
 BODIES["hex_cell"] = f"""
 SELECT vehicle_id, event_ts, {hexed('gps_latitude', 'gps_longitude', 7)} AS cell_res7,
   {hexed('gps_latitude', 'gps_longitude', 9)} AS cell_res9 FROM reading"""

@@ -17,7 +17,6 @@ from roadlark.functions.masks import MASK_BY_TAG
 
 ADMIN_ROLES = ("ACCOUNTADMIN",)
 PLATFORM_ADMINS = ("SYSADMIN", "ACCOUNTADMIN")
-OPEN_REGION = "Pune-Chikhali"
 
 Mask = Callable[[Column], Column]
 
@@ -46,7 +45,7 @@ def visible_counts(df: DataFrame, roles: list[str], column: str = "customer_id")
 
 
 def rows_of_region(
-    df: DataFrame, role: str, column: str, region: str = OPEN_REGION, admins=PLATFORM_ADMINS
+    df: DataFrame, role: str, column: str, region: str, admins=PLATFORM_ADMINS
 ) -> DataFrame:
     return df if role in admins else df.where(F.col(column) == region)
 

@@ -672,6 +672,28 @@ def _density(m: FleetModel) -> DataFrame:
 over_model("hex_density", _density)
 
 
+@query
+def curved_box(spark, sf_dir):
+    """Readings of some vehicles in ten days and a box of places, from files along a curve through
+    vehicle, time and place."""
+    path, rows = work_folder(spark, "curved"), model(spark, sf_dir).readings
+    rows = rows.select("vehicle_id", "event_ts", "gps_latitude", "gps_longitude", "gps_speed_kph")
+    number = F.substring("vehicle_id", 4, 18).cast("long")
+    files.write_curved(
+        rows.withColumn("vehicle_no", number),
+        path,
+        {
+            "vehicle": F.col("vehicle_no"),
+            "time": timing.epoch_seconds(F.col("event_ts")),
+            "lat": F.col("gps_latitude"),
+            "lon": F.col("gps_longitude"),
+        },
+        16,
+    )
+    box = "vehicle_no BETWEEN 10 AND 60 AND event_ts >= timestamp_ntz'2024-01-05 00:00:00' AND event_ts < timestamp_ntz'2024-01-15 00:00:00' AND gps_latitude BETWEEN 10 AND 20"
+    return spark.read.parquet(path).where(box).drop("vehicle_no")
+
+
 def segment_ends() -> list:
     return [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
 

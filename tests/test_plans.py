@@ -2,10 +2,13 @@
 
 import re
 
+import pyarrow.parquet as pq
 from helpers import deliveries, plan_of
+from pyspark.sql import functions as F
 
 from roadlark.operators import curated, facts
 from roadlark.plans import registry
+from roadlark.sources import files
 from roadlark.sources.files import write_clustered
 
 
@@ -95,3 +98,28 @@ def test_trips_read_and_deduplicate_once(spark, sf_dir):
     assert plan.count("FileScan parquet") == 1 and plan.count("WindowGroupLimit") == 2
     for build in (lambda: model.trips, lambda: trips.trip_boundaries(model.readings), lambda: trips.ignition_transitions(model.readings)):
         assert "/events.parquet" not in plan_of(build())
+
+
+def test_a_box_meets_few_files_along_the_curve(spark, tmp_path):
+    """A box over three columns overlaps under a tenth of the files, by their min/max values."""
+    number = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n)) for k, n in enumerate((997, 1_000_000, 9000))]
+    rows = spark.range(100_000).select(number[0].alias("vehicle"), number[1].alias("second"), (number[2] / 100).alias("lat"))
+    rows = rows.unionByName(spark.createDataFrame([(None, None, None)], rows.schema))
+    columns = {c: F.col(c) for c in rows.columns}
+    files.write_curved(rows, str(tmp_path / "t"), columns, 256)
+    box = {"vehicle": (100, 180), "second": (300_000, 380_000), "lat": (20.0, 28.0)}
+    met, every = 0, list((tmp_path / "t").glob("*.parquet"))
+    for file in every:
+        groups = pq.ParquetFile(file).metadata
+        met += any(
+            all(
+                (stats := groups.row_group(g).column(k).statistics).has_min_max
+                and stats.min <= high and stats.max >= low
+                for k, (low, high) in enumerate(box.values())
+            )
+            for g in range(groups.num_row_groups)
+        )
+    assert len(every) >= 200 and 0 < met < len(every) / 10
+    where = " AND ".join(f"{c} BETWEEN {low} AND {high}" for c, (low, high) in box.items())
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.where(where).count() == rows.where(where).count() > 0 and stored.count() == 100_001
