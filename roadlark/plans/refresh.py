@@ -79,7 +79,7 @@ class IncrementalTables(FolderTables):
         rows = self._add(batch, batch_id)
         touched = self.touch(rows, _CELL)
         if self.exists("readings"):
-            rows = self.pruned("readings", touched).unionByName(rows, allowMissingColumns=True)
+            rows = self.pruned("readings", _CELL).unionByName(rows, allowMissingColumns=True)
         self._change(latest_readings(rows), touched)
 
     def load(self, rows: DataFrame, batch_id: int = 0) -> None:
@@ -106,16 +106,16 @@ class IncrementalTables(FolderTables):
         in_parallel(self.spark, steps)
 
         def vehicles() -> None:
-            parts = self.merged("parts", touched, ["shard"])
+            parts = self.merged("parts", ["shard"])
             whole = facts.merged_parts(parts, "customer_id", "vehicle_id", "device_id")
             self.stage("vehicles", whole.withColumn("shard", shard(F.col("vehicle_id"), self.shards)))
 
         def spans() -> None:
-            whole = trips.spans_of_runs(self.merged("runs", touched, ["shard"]).drop(*_CELL))
+            whole = trips.spans_of_runs(self.merged("runs", ["shard"]).drop(*_CELL))
             self.stage("spans", whole.withColumn("shard", shard(F.col("vehicle_id"), self.shards)))
 
         def fleet() -> None:
-            whole = facts.fleet_from_parts(self.merged("parts", touched, ["event_date"]))
+            whole = facts.fleet_from_parts(self.merged("parts", ["event_date"]))
             self.stage("fleet", whole.withColumn("event_date", F.to_date("metric_date")))
 
         in_parallel(self.spark, [vehicles, spans, fleet])
@@ -137,13 +137,13 @@ class IncrementalTables(FolderTables):
         hit = self.spark.read.parquet(f"{self.root}/_stage/_gone")
         total = hit.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
         if not total:
-            self._delete("_stage")
+            self._forget()
             return 0
         folders, touched = self.touch(hit, self.layout["deliveries"]), self.touch(hit, _CELL)
-        self.stage("deliveries", retention.retained(self.pruned("deliveries", folders), policies, as_of))
+        self.touch(hit, ["event_date"])
+        self.stage("deliveries", retention.retained(self.pruned("deliveries", folders.columns), policies, as_of))
         # The touched readings come from all batches of their dates: rewritten folders and others.
-        dates = touched.select("event_date").distinct()
-        other = self.pruned("deliveries", dates)
+        other = self.pruned("deliveries", ["event_date"])
         other = other.join(folders, same_values(other, folders, folders.columns), "left_anti")
         rows = self._placed(other.unionByName(self.staged("deliveries")), F.col("event_date")).drop("batch_id")
         rows = rows.join(touched, same_values(rows, touched, _CELL), "left_semi")
@@ -174,8 +174,8 @@ class IncrementalTables(FolderTables):
         """Newest state of all vehicles, or of one, which is looked up in its shard's folder."""
         rows = self.read("vehicles")
         if vehicle_id is not None:
-            number = self.spark.range(1).select(shard(F.lit(vehicle_id), self.shards)).first()[0]
-            rows = rows.where((F.col("shard") == number) & (F.col("vehicle_id") == vehicle_id))
+            here = F.col("shard") == shard(F.lit(vehicle_id), self.shards)
+            rows = rows.where(here & (F.col("vehicle_id") == vehicle_id))
         return facts.status_from_parts(rows)
 
     def trip_summaries(self, fences: DataFrame) -> DataFrame:

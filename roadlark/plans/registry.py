@@ -129,6 +129,30 @@ def ingest_stream(spark, sf_dir):
     return landed.unionByName(dead)
 
 
+@query
+def ingest_stream_audit(spark, sf_dir):
+    """Totals that a running message stream has observed, over all of its batches."""
+    root = work_folder(spark, "ingest-audit")
+    messages = ingest.file_messages(spark, in_batches(damaged_messages(spark, sf_dir), f"{root}/messages"))
+    ingest.start_ingest(
+        messages, f"{root}/landing", f"{root}/dead", f"{root}/checkpoint", audit_path=f"{root}/audit"
+    ).awaitTermination()
+    totals = log.read_log(spark, f"{root}/audit").agg(F.sum("landed").alias("landed"), F.sum("dead").alias("dead"))
+    produced = F.col("landed") + F.col("dead")
+    return totals.select(produced.alias("produced"), "landed", "dead", F.round(F.col("landed") * 100.0 / produced, 2).alias("landed_pct"))
+
+
+@query
+def ingest_defaults(spark, sf_dir):
+    """Messages without an ingest time get the time of their load; fields that are absent stay null."""
+    messages = damaged_messages(spark, sf_dir)
+    unstamped = F.when(F.col("offset") % 7 != 3, F.col("ingest_ts"))
+    parsed = envelopes.parse(messages.withColumn("ingest_ts", unstamped))
+    loaded = F.coalesce("ingest_ts", timing.as_ntz(AS_OF))
+    rows = envelopes.flatten(parsed, loaded)
+    return rows.select(F.col("record_metadata.offset").alias("offset"), "vehicle_id", "event_ts", "ingest_ts")
+
+
 @query
 def schema_evolution(spark, sf_dir):
     """Messages read with the first field list until mid-month and with all fields after."""

@@ -12,7 +12,7 @@ One writer at a time; a reader that needs all tables at the same state reads bet
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -49,6 +49,7 @@ class FolderTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.layout = {name: list(columns) for name, columns in layout.items()}
+        self._known: dict[tuple, tuple[T.StructType, list[tuple] | None]] = {}
 
     # files -------------------------------------------------------------------------------------
 
@@ -83,23 +84,25 @@ class FolderTables:
         """A table's new content of the touched folders."""
         return self.spark.read.schema(self.schema(f"_stage/{name}")).parquet(f"{self.root}/_stage/{name}")
 
-    def pruned(self, name: str, touched: DataFrame) -> DataFrame:
-        """Rows in the folders of ``touched``, which has partition columns of the table."""
-        rows, columns = self.read(name), touched.columns
-        for c in columns:
-            values = [r[0] for r in touched.select(c).distinct().limit(MAX_PRUNED + 1).collect()]
-            if len(values) <= MAX_PRUNED:
-                known = F.col(c).isin([v for v in values if v is not None])
-                rows = rows.where(known | F.col(c).isNull() if None in values else known)
+    def pruned(self, name: str, columns: Sequence[str]) -> DataFrame:
+        """Rows in the folders that this change touches, told by some partition columns."""
+        rows, cells = self.read(name), self._cells(columns)
+        for k, c in enumerate(columns) if cells is not None else ():
+            values = {cell[k] for cell in cells}
+            known = F.col(c).isin(sorted(values - {None}))
+            rows = rows.where(known | F.col(c).isNull() if None in values else known)
+        if cells is not None and len(columns) == 1:
+            return rows
+        touched = self.touched(columns)
         return rows.join(touched, same_values(rows, touched, columns), "left_semi")
 
-    def merged(self, name: str, touched: DataFrame, within: Sequence[str]) -> DataFrame:
+    def merged(self, name: str, within: Sequence[str]) -> DataFrame:
         """What the table will hold, after this change, in all folders that share the columns
-        ``within`` with touched ones; ``touched`` has all its partition columns."""
+        ``within`` with touched ones."""
         new = self.staged(name)
         if not self.exists(name):
             return new
-        old = self.pruned(name, touched.select(*within).distinct())
+        old, touched = self.pruned(name, within), self.touched(self.layout[name])
         rest = old.join(touched, same_values(old, touched, touched.columns), "left_anti")
         return rest.unionByName(new, allowMissingColumns=True)
 
@@ -107,10 +110,11 @@ class FolderTables:
 
     def recover(self) -> None:
         """Finish a change that was ready, and forget one that was not."""
+        self._known.clear()
         if self._exists("_stage/_ready"):
             self.finish()
-        elif self._exists("_stage"):
-            self._delete("_stage")
+        else:
+            self._forget()
 
     def _write(self, rows: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}")
@@ -121,7 +125,18 @@ class FolderTables:
         touched.select(*columns).distinct().coalesce(1).write.mode("overwrite").parquet(path)
         return self.touched(columns)
 
+    def _cells(self, columns: Sequence[str]) -> list[tuple] | None:
+        """The touched folders, if there are few enough to name them."""
+        if tuple(columns) not in self._known:
+            kept = self.spark.read.parquet(f"{self.root}/_stage/_touched-{'-'.join(columns)}")
+            rows = [tuple(r) for r in kept.limit(MAX_PRUNED + 1).collect()]
+            self._known[tuple(columns)] = (kept.schema, rows if len(rows) <= MAX_PRUNED else None)
+        return self._known[tuple(columns)][1]
+
     def touched(self, columns: Sequence[str]) -> DataFrame:
+        cells = self._cells(columns)
+        if cells is not None:
+            return self.spark.createDataFrame(cells, self._known[tuple(columns)][0])
         return self.spark.read.parquet(f"{self.root}/_stage/_touched-{'-'.join(columns)}")
 
     def stage(self, name: str, rows: DataFrame) -> None:
@@ -141,7 +156,11 @@ class FolderTables:
         """Put the staged folders in place of the tables' own.  Can be repeated."""
         names = [n for n in self.layout if self._exists(f"_stage/{n}/_schema")]
         in_parallel(self.spark, [lambda n=n: self._place(n) for n in names])
+        self._forget()
+
+    def _forget(self) -> None:
         self._delete("_stage")
+        self._known.clear()
 
     def _place(self, name: str) -> None:
         if not self._exists(f"_stage/{name}"):
@@ -153,10 +172,19 @@ class FolderTables:
         self._note(f"{name}/_schema", new.schema.json())
         writer = new.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*columns).parquet(f"{self.root}/{name}")
-        touched = self.touched(columns)
-        left = new.select(*columns).distinct()
-        empty = touched.join(left, same_values(touched, left, columns), "left_anti")
+        for row in self._emptied(name, new):
+            self._delete(f"{name}/{self._folder(columns, row)}")
+
+    def _folder(self, columns: Sequence[str], cell: Sequence) -> str:
+        values = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in cell)
+        return "/".join(f"{c}={v}" for c, v in zip(columns, values, strict=True))
+
+    def _emptied(self, name: str, new: DataFrame) -> Iterable[Sequence]:
+        """Touched folders for which nothing is staged."""
+        columns = self.layout[name]
+        cells = self._cells(columns)
+        if cells is not None:
+            return [c for c in cells if not self._exists(f"_stage/{name}/{self._folder(columns, c)}")]
+        touched, left = self.touched(columns), new.select(*columns).distinct()
         # One row per removed folder, as many as folders can be touched.
-        for row in empty.toLocalIterator():
-            parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in columns)
-            self._delete("/".join([name, *parts]))
+        return touched.join(left, same_values(touched, left, columns), "left_anti").toLocalIterator()

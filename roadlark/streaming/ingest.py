@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -53,19 +53,32 @@ def start_ingest(
     checkpoint: str,
     fields: T.StructType = schema.CONTENT,
     trigger: dict | None = None,
+    audit_path: str | None = None,
 ) -> StreamingQuery:
     """Parse each micro-batch once and write its good and bad messages.
 
     Offsets and retries are the checkpoint's business; both outputs overwrite the folder of their
-    batch, so a repeated batch neither loses nor doubles a row.
+    batch, so a repeated batch neither loses nor doubles a row.  With ``audit_path`` a row of totals
+    per batch (landed, dead) is written there; the two writes count their rows as these pass
+    (observed metrics), so the audit reads nothing again.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         parsed = envelopes.parse(batch, fields).persist()
         try:
             when = F.coalesce("ingest_ts", F.current_timestamp().cast("timestamp_ntz"))
-            write_batch(envelopes.flatten(parsed, when), landing_path, batch_id)
-            write_batch(envelopes.dead_letters(parsed, ingest_ts=when), dead_letter_path, batch_id)
+            outputs = {
+                "landed": (envelopes.flatten(parsed, when), landing_path),
+                "dead": (envelopes.dead_letters(parsed, ingest_ts=when), dead_letter_path),
+            }
+            totals = {}
+            for name, (rows, path) in outputs.items():
+                seen = Observation(f"{name}-{batch_id}")
+                write_batch(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, batch_id)
+                totals[name] = seen.get["rows"]
+            if audit_path:
+                row = batch.sparkSession.createDataFrame([tuple(totals.values())], "landed long, dead long")
+                write_batch(row.coalesce(1), audit_path, batch_id)
         finally:
             parsed.unpersist()
 

@@ -38,9 +38,9 @@ class LatestReadings(FolderTables):
         self.recover()
         placed = {"event_date": F.to_date("event_ts"), "shard": shard(F.col("vehicle_id"), self.shards)}
         rows = latest_readings(batch).withColumns(placed)
-        touched = self.touch(rows, self.layout["readings"])
+        self.touch(rows, self.layout["readings"])
         if self.exists("readings"):
-            rows = self.pruned("readings", touched).unionByName(rows, allowMissingColumns=True)
+            rows = self.pruned("readings", self.layout["readings"]).unionByName(rows, allowMissingColumns=True)
         self.stage("readings", latest_readings(rows))
         self.ready()
         self.finish()

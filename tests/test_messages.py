@@ -75,6 +75,10 @@ def test_message_stream(spark, tmp_path):
     ingest.start_ingest(source, f"{tmp_path}/rows", f"{tmp_path}/dead", f"{tmp_path}/cp").awaitTermination()
     assert log.read_log(spark, f"{tmp_path}/rows").count() == 3
     assert log.read_log(spark, f"{tmp_path}/dead").count() == 6
+    audited = ingest.start_ingest(source, f"{tmp_path}/r2", f"{tmp_path}/d2", f"{tmp_path}/cp2", audit_path=f"{tmp_path}/audit")
+    audited.awaitTermination()
+    audit = log.read_log(spark, f"{tmp_path}/audit").groupBy().sum("landed", "dead").first()
+    assert tuple(audit) == (3, 6)
     # A restart with nothing new adds nothing.
     ingest.start_ingest(source, f"{tmp_path}/rows", f"{tmp_path}/dead", f"{tmp_path}/cp").awaitTermination()
     assert log.read_log(spark, f"{tmp_path}/rows").count() == 3
