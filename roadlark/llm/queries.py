@@ -114,11 +114,114 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Dynamic programming turn by turn: the cheapest, then least edits into each state of the role order
+# (0: nothing yet, 1: after s, 2: after u, 3: after a).
+SQL["op11_repair"] = """
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), drawn AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295],
+      list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 20 AS draw
+  FROM raw
+), live AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN draw = 1 THEN '' WHEN draw = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn, (VALUES (0), (1)) v(copy) WHERE draw <> 0 AND (copy = 0 OR draw = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)) AS i FROM live
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+  FROM placed
+), conv AS (
+  SELECT d.conv_id, coalesce(n, 0) AS n, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN (
+    SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+      count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+      count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+  ) j ON j.conv_id IS NOT DISTINCT FROM d.conv_id
+), ins(q, q2, paid, edits, turns) AS (
+  VALUES (0, 0, 0, '', CAST([] AS VARCHAR[])), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']),
+    (1, 1, 0, '', []), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']),
+    (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:'])
+), edit(q2, letter, needs, q3, price, named) AS (
+  VALUES (0, 'D', NULL, 0, 4, NULL), (1, 'D', NULL, 1, 4, NULL), (2, 'D', NULL, 2, 4, NULL), (3, 'D', NULL, 3, 4, NULL),
+    (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL),
+    (0, 'R', NULL, 2, 3, 'user'), (1, 'R', NULL, 2, 3, 'user'), (3, 'R', NULL, 2, 3, 'user'), (2, 'R', NULL, 3, 3, 'assistant')
+), best(conv_id, i, q, cost, audit, said) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, 0, '', CAST([] AS VARCHAR[]) FROM conv
+  UNION ALL
+  SELECT conv_id, i, q3, x.cost, x.audit, x.said FROM (
+    SELECT b.conv_id, j.i, e.q3, min({'cost': b.cost + n.paid + e.price + CASE WHEN j.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END,
+      'audit': b.audit || n.edits || e.letter,
+      'said': list_concat(b.said, n.turns, CASE WHEN e.letter = 'D' THEN [] ELSE [coalesce(e.named, j.role) || ':' || j.text] END)}) AS x
+    FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i + 1 JOIN ins n ON n.q = b.q JOIN edit e ON e.q2 = n.q2
+    WHERE (e.letter = 'D' OR j.fault NOT IN ('blank', 'duplicate')) AND (e.needs IS NULL OR e.needs = left(j.role, 1))
+    GROUP BY b.conv_id, j.i, e.q3)
+), done AS (
+  SELECT c.conv_id, min({'cost': b.cost + n.paid, 'audit': b.audit || n.edits, 'said': list_concat(b.said, n.turns)}) AS x
+  FROM conv c JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n JOIN ins n ON n.q = b.q AND n.q2 IN (0, 3)
+  GROUP BY c.conv_id
+)
+SELECT c.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, CAST(d.x.cost AS BIGINT) AS cost, d.x.audit AS audit,
+  sha256(array_to_string(d.x.said, chr(10))) AS repaired_sha256
+FROM conv c JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 @query
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(table(spark, sf_dir, "conversations"), Scratch(spark, "op12_trie"))
 
 
+# DuckDB has no CRC-32: each byte of the id's digits takes eight shifts.
+SQL["op12_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS base, xor(list_reduce(list_concat([4294967295],
+      list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM t GROUP BY conv_id
+), r AS (
+  SELECT c.conv_id, t.pos + 1 AS depth, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)) + 1, t.role, t.text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h LEFT JOIN c b ON b.conv_id = c.base
+), p AS (
+  SELECT *, md5(string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM r
+), q AS (
+  SELECT conv_id, depth, node, words, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS above FROM p
+  UNION ALL SELECT conv_id, 0, '', 0, NULL FROM c
+), n AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(above) AS above, count(*) AS n_convs,
+    any_value(words) AS words FROM q GROUP BY node
+), k AS (
+  SELECT n.*, (SELECT count(*) FROM n m WHERE m.above = n.node) AS n_children,
+    (SELECT m.conv_id FROM n m WHERE m.node = n.above) AS parent_conv_id
+  FROM n
+), s AS (
+  SELECT q.node, sum(CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((k.n_convs - 1) * k.words) AS saved
+  FROM k JOIN q ON q.conv_id = k.conv_id AND q.depth <= k.depth GROUP BY q.node
+), e AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM (
+    SELECT conv_id, max_by(node, depth) AS node FROM q GROUP BY conv_id) GROUP BY node
+)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, k.parent_conv_id, k.n_convs, k.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM k JOIN s USING (node) LEFT JOIN e USING (node)
+"""
+
+
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op13_warc")
