@@ -402,6 +402,12 @@ ORDER BY dlq_ingest_ts, vehicle_key NULLS FIRST, error_message, source_partition
 BODIES["ingest_stream"] = """
 SELECT customer_id, count(*) AS landed FROM message WHERE error IS NULL GROUP BY customer_id
 UNION ALL SELECT '(dead letters)', count(*) FROM message WHERE error IS NOT NULL"""
+BODIES["ingest_stream_audit"] = f"""
+SELECT count(*) AS produced, {n_if('error IS NULL')} AS landed, {n_if('error IS NOT NULL')} AS dead,
+  {rnd(f"{n_if('error IS NULL')} * 100.0 / count(*)", 2)} AS landed_pct FROM message"""
+BODIES["ingest_defaults"] = f"""
+SELECT offs AS "offset", vehicle_id, event_ts, CASE WHEN offs % 7 = 3 THEN TIMESTAMP '{AS_OF}' ELSE ingest_ts END AS ingest_ts
+FROM message WHERE error IS NULL"""
 BODIES["schema_evolution"] = """
 SELECT vehicle_id, count(*) AS total,
   count(j1939_tyre_pressure_front_left_kpa) FILTER (ingest_ts >= TIMESTAMP '2024-01-16 00:00:00') AS evolved,
