@@ -245,19 +245,26 @@ def _third(x: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), -x["a"], -x["b"])
 
 
+def _constants(values, kind: str) -> Column:
+    """An array of constants as one short expression, which the optimizer folds; plans stay small."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def _face(v: Column) -> Column:
     """Nearest face (n) and its centre's closeness (d) to a unit vector."""
-    found = []
-    for n in range(20):
-        c = face_frame(n)[0]
-        closeness = v["x"] * c[0] + v["y"] * c[1] + v["z"] * c[2]
-        found.append(F.struct(closeness.alias("d"), F.lit(-n).alias("n")))
-    return _let(F.array_max(F.array(*found)), lambda f: F.struct(f["d"].alias("d"), (-f["n"]).alias("n")))
+    centres = _constants([x for n in range(20) for x in face_frame(n)[0]], "double")
+
+    def closeness(n: Column) -> Column:
+        along = sum(F.get(centres, n * 3 + m) * v[c] for m, c in enumerate("xyz"))
+        return F.struct(along.alias("d"), (-n).alias("n"))
+
+    nearest = F.array_max(F.transform(F.sequence(F.lit(0), F.lit(19)), closeness))
+    return _let(nearest, lambda f: F.struct(f["d"].alias("d"), (-f["n"]).alias("n")))
 
 
 def _projected(v: Column, face: Column, resolution: int) -> Column:
     """Real lattice coordinates on the face's plane."""
-    axes = F.lit([x for n in range(20) for axis in face_frame(n)[1:] for x in axis])
+    axes = _constants([x for n in range(20) for axis in face_frame(n)[1:] for x in axis], "double")
 
     def along(first: int) -> Column:
         return sum(F.get(axes, face["n"] * 6 + first + m) * v[c] for m, c in enumerate("xyz")) / face["d"]
@@ -290,6 +297,10 @@ def _seventh(x: Column) -> Column:
     return F.floor(x / 7.0 + 0.5)
 
 
+def _eights() -> Column:
+    return _constants([8**n for n in range(MAX_RESOLUTION)], "bigint")
+
+
 def _up(s: Column, level: Column) -> Column:
     """One level up: the parent's place, and the child's direction from it as this level's digit."""
     odd = level % 2
@@ -304,7 +315,7 @@ def _up(s: Column, level: Column) -> Column:
             s["b"] - (p["a"] * (1 - 2 * odd) + p["b"] * (2 + odd)),
         )
         digit = _let(away, lambda d: d["a"] * 4 + d["b"] * 2 + _third(d) * 7)
-        place = F.get(F.lit([8**n for n in range(MAX_RESOLUTION)]), F.lit(MAX_RESOLUTION) - level)
+        place = F.get(_eights(), F.lit(MAX_RESOLUTION) - level)
         return _let(
             digit,
             lambda n: _pair(
@@ -337,7 +348,7 @@ def hex_id(lat: Column, lon: Column, resolution: int = 7) -> Column:
     """64-bit id of the cell that holds a point in degrees; NULL for a missing or infinite point."""
     if not 0 <= resolution <= MAX_RESOLUTION:
         raise ValueError(f"resolutions are 0 to {MAX_RESOLUTION}")
-    table = {name: F.lit(values) for name, values in _tables().items()}
+    table = {name: _constants(values, "int") for name, values in _tables().items()}
 
     def located(p: Column) -> Column:
         flat = F.cos(p["lat"])
@@ -365,12 +376,13 @@ def hex_id(lat: Column, lon: Column, resolution: int = 7) -> Column:
         head += sum(7 << 3 * (MAX_RESOLUTION - level) for level in range(resolution + 1, MAX_RESOLUTION + 1))
 
         def whole(t: Column) -> Column:
+            def with_digit(out: Column, level: Column) -> Column:
+                place = F.get(_eights(), F.lit(MAX_RESOLUTION) - level)
+                digit = F.floor(s["digits"] / place) % 8
+                return out + F.get(table["digit"], (t * 7 + digit).cast("int")) * place
+
             out = F.lit(head) + F.shiftleft(c["cell"].cast("long"), 45)
-            for level in range(1, resolution + 1):
-                shift = 3 * (MAX_RESOLUTION - level)
-                digit = F.shiftright(s["digits"], shift).bitwiseAND(F.lit(7))
-                out += F.shiftleft(F.get(table["digit"], (t * 7 + digit).cast("int")).cast("long"), shift)
-            return out
+            return F.reduce(F.sequence(F.lit(1), F.lit(resolution)), out, with_digit) if resolution else out
 
         return _let(turns, whole)
 
