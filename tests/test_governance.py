@@ -49,7 +49,7 @@ def test_suffix_masks(spark):
 def test_region(spark):
     df = spark.createDataFrame([("Pune-Chikhali",), ("Else",)], "r string")
     assert governance.rows_of_region(df, "ANALYST", "r", "Pune-Chikhali").count() == 1
-    assert governance.rows_of_region(df, "SYSADMIN", "r").count() == 2
+    assert governance.rows_of_region(df, "SYSADMIN", "r", "Pune-Chikhali").count() == 2
 
 
 def test_row_filter_reaches_the_scan(spark, tmp_path):
