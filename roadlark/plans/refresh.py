@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from roadlark.functions import rules
 from roadlark.operators import facts, retention, trips
 from roadlark.operators.curated import latest_readings
-from roadlark.streaming.folders import FolderTables, in_parallel, same_values
+from roadlark.streaming.folders import FolderTables, in_parallel
 from roadlark.streaming.log import write_batch
 
 SHARDS = 16
@@ -77,23 +77,23 @@ class IncrementalTables(FolderTables):
         """Add one increment.  Repeating an increment under the same id changes nothing."""
         self.recover()
         rows = self._add(batch, batch_id)
-        touched = self.touch(rows, _CELL)
+        self.touch(rows, _CELL)
         if self.exists("readings"):
             rows = self.pruned("readings", _CELL).unionByName(rows, allowMissingColumns=True)
-        self._change(latest_readings(rows), touched)
+        self._change(latest_readings(rows))
 
     def load(self, rows: DataFrame, batch_id: int = 0) -> None:
         """First increment: there is nothing to merge it with."""
         self.apply(rows, batch_id)
 
-    def _change(self, readings: DataFrame, touched: DataFrame) -> None:
+    def _change(self, readings: DataFrame) -> None:
         """Replace the touched folders' readings, and all that follows from them."""
         self.stage("readings", readings)
-        self._follow(touched)
+        self._follow()
         self.ready()
         self.finish()
 
-    def _follow(self, touched: DataFrame) -> None:
+    def _follow(self) -> None:
         new = self.staged("readings")
         start = F.timestamp_seconds(F.col("bucket") * self.bucket_seconds)
         derived = {
@@ -102,8 +102,9 @@ class IncrementalTables(FolderTables):
             "runs": (trips.trip_runs(new, self.bucket_seconds), F.to_date(start)),
         }
         steps = [lambda n=n, r=r, d=d: self.stage(n, self._placed(r, d)) for n, (r, d) in derived.items()]
-        steps += [lambda c=c: self.touch(touched, [c]) for c in _CELL]
         in_parallel(self.spark, steps)
+        for c in _CELL:
+            self.narrow(_CELL, [c])
 
         def vehicles() -> None:
             parts = self.merged("parts", ["shard"])
@@ -139,15 +140,14 @@ class IncrementalTables(FolderTables):
         if not total:
             self._forget()
             return 0
-        folders, touched = self.touch(hit, self.layout["deliveries"]), self.touch(hit, _CELL)
-        self.touch(hit, ["event_date"])
-        self.stage("deliveries", retention.retained(self.pruned("deliveries", folders.columns), policies, as_of))
+        folders = self.layout["deliveries"]
+        for columns in (folders, _CELL, ["event_date"]):
+            self.touch(hit, columns)
+        self.stage("deliveries", retention.retained(self.pruned("deliveries", folders), policies, as_of))
         # The touched readings come from all batches of their dates: rewritten folders and others.
-        other = self.pruned("deliveries", ["event_date"])
-        other = other.join(folders, same_values(other, folders, folders.columns), "left_anti")
+        other = self.within(self.pruned("deliveries", ["event_date"]), folders, inside=False)
         rows = self._placed(other.unionByName(self.staged("deliveries")), F.col("event_date")).drop("batch_id")
-        rows = rows.join(touched, same_values(rows, touched, _CELL), "left_semi")
-        self._change(latest_readings(rows), touched)
+        self._change(latest_readings(self.within(rows, _CELL)))
         return total
 
     # reading ---------------------------------------------------------------------------------

@@ -1,10 +1,11 @@
 """Tables kept in folders by their partition columns, changed together folder by folder.
 
 A change is prepared as a whole in a stage folder: the new content of every folder that it touches,
-in all tables.  Only when the stage is complete is it marked as ready, and then copied over the
-tables.  A change that stops before the mark leaves the tables as they were; one that stops after it
-is finished by the next change (``recover``), and repeating any of its steps does no harm.  So reads
-need no versions and no ranking: what stands in the tables is the newest state.
+in all tables.  Only when the stage is complete is it marked as ready; then its folders are renamed
+into the tables, so no row is written twice.  A change that stops before the mark leaves the tables
+as they were; one that stops after it is finished by the next change (``recover``), and repeating any
+of its steps does no harm.  So reads need no versions and no ranking: what stands in the tables is
+the newest state.  The file system has to rename a folder as a whole.
 
 One writer at a time; a reader that needs all tables at the same state reads between changes.
 """
@@ -12,7 +13,7 @@ One writer at a time; a reader that needs all tables at the same state reads bet
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -42,6 +43,35 @@ def same_values(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
     return condition
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    """Conditions joined by OR as a balanced tree, so that many do not nest deeply."""
+    if len(conditions) < 2:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
+
+
+def among(columns: Sequence[str], cells: Collection[tuple]) -> Column:
+    """Whether the columns hold one of the cells' values, missing ones included; never NULL.
+
+    On partition columns Spark reads the folders of these cells only, and no join is needed.
+    """
+    if not columns:
+        return F.lit(True)
+    first, below = F.col(columns[0]), {}
+    for value, *rest in cells:
+        below.setdefault(value, set()).add(tuple(rest))
+    alike: dict[frozenset, list] = {}
+    for value, rest in below.items():
+        alike.setdefault(frozenset(rest), []).append(value)
+
+    def one_of(values: list) -> Column:
+        known = first.isNotNull() & first.isin([v for v in values if v is not None])
+        return known | first.isNull() if None in values else known
+
+    return _any([one_of(values) & among(columns[1:], rest) for rest, values in alike.items()])
+
+
 class FolderTables:
     """``layout``: partition columns by table name."""
 
@@ -84,17 +114,18 @@ class FolderTables:
         """A table's new content of the touched folders."""
         return self.spark.read.schema(self.schema(f"_stage/{name}")).parquet(f"{self.root}/_stage/{name}")
 
-    def pruned(self, name: str, columns: Sequence[str]) -> DataFrame:
-        """Rows in the folders that this change touches, told by some partition columns."""
-        rows, cells = self.read(name), self._cells(columns)
-        for k, c in enumerate(columns) if cells is not None else ():
-            values = {cell[k] for cell in cells}
-            known = F.col(c).isin(sorted(values - {None}))
-            rows = rows.where(known | F.col(c).isNull() if None in values else known)
-        if cells is not None and len(columns) == 1:
-            return rows
+    def within(self, rows: DataFrame, columns: Sequence[str], inside: bool = True) -> DataFrame:
+        """Rows in the folders that this change touches, told by some partition columns, or outside."""
+        cells = self._cells(columns)
+        if cells is not None:
+            found = among(columns, cells)
+            return rows.where(found if inside else ~found)
         touched = self.touched(columns)
-        return rows.join(touched, same_values(rows, touched, columns), "left_semi")
+        return rows.join(touched, same_values(rows, touched, columns), "left_semi" if inside else "left_anti")
+
+    def pruned(self, name: str, columns: Sequence[str]) -> DataFrame:
+        """The table's rows in the folders that this change touches."""
+        return self.within(self.read(name), columns)
 
     def merged(self, name: str, within: Sequence[str]) -> DataFrame:
         """What the table will hold, after this change, in all folders that share the columns
@@ -102,8 +133,7 @@ class FolderTables:
         new = self.staged(name)
         if not self.exists(name):
             return new
-        old, touched = self.pruned(name, within), self.touched(self.layout[name])
-        rest = old.join(touched, same_values(old, touched, touched.columns), "left_anti")
+        rest = self.within(self.pruned(name, within), self.layout[name], inside=False)
         return rest.unionByName(new, allowMissingColumns=True)
 
     # changing ----------------------------------------------------------------------------------
@@ -125,6 +155,17 @@ class FolderTables:
         touched.select(*columns).distinct().coalesce(1).write.mode("overwrite").parquet(path)
         return self.touched(columns)
 
+    def narrow(self, known: Sequence[str], columns: Sequence[str]) -> None:
+        """Keep a change's folders by some of the columns that they are known by."""
+        cells = self._cells(known)
+        if cells is None:
+            self.touch(self.touched(known), columns)
+            return
+        places = [list(known).index(c) for c in columns]
+        fields = [self._known[tuple(known)][0][c] for c in columns]
+        found = dict.fromkeys(tuple(cell[k] for k in places) for cell in cells)
+        self._known[tuple(columns)] = T.StructType(fields), list(found)
+
     def _cells(self, columns: Sequence[str]) -> list[tuple] | None:
         """The touched folders, if there are few enough to name them."""
         if tuple(columns) not in self._known:
@@ -150,14 +191,19 @@ class FolderTables:
         self._note(f"_stage/{name}/_schema", stored.json())
 
     def ready(self) -> None:
+        """Name the folders that lose all rows, and mark the change as complete."""
+        for name in self._staged_names():
+            self._note(f"_stage/_emptied-{name}", "\n".join(self._emptied(name)))
         self._note("_stage/_ready", "ready")
 
     def finish(self) -> None:
         """Put the staged folders in place of the tables' own.  Can be repeated."""
-        names = [n for n in self.layout if self._exists(f"_stage/{n}/_schema")]
-        in_parallel(self.spark, [lambda n=n: self._place(n) for n in names])
+        in_parallel(self.spark, [lambda n=n: self._place(n) for n in self._staged_names()])
         self._forget()
 
+    def _staged_names(self) -> list[str]:
+        return [n for n in self.layout if self._exists(f"_stage/{n}/_schema")]
+
     def _forget(self) -> None:
         self._delete("_stage")
         self._known.clear()
@@ -166,25 +212,39 @@ class FolderTables:
         if not self._exists(f"_stage/{name}"):
             return  # moved before
         if not self.exists(name):
-            self._files().rename(self._path(f"_stage/{name}"), self._path(name))
+            self._move(f"_stage/{name}", name)
             return
-        columns, new = self.layout[name], self.staged(name)
-        self._note(f"{name}/_schema", new.schema.json())
-        writer = new.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*columns).parquet(f"{self.root}/{name}")
-        for row in self._emptied(name, new):
-            self._delete(f"{name}/{self._folder(columns, row)}")
+        self._note(f"{name}/_schema", self.schema(f"_stage/{name}").json())
+        for folder in files.read_text(self.spark, f"{self.root}/_stage/_emptied-{name}").splitlines():
+            self._delete(f"{name}/{folder}")
+        for folder in list(self._folders(f"_stage/{name}", len(self.layout[name]))):
+            self._delete(f"{name}/{folder}")
+            self._move(f"_stage/{name}/{folder}", f"{name}/{folder}")
+        self.spark.catalog.refreshByPath(f"{self.root}/{name}")
+
+    def _move(self, source: str, target: str) -> None:
+        self._files().mkdirs(self._path(target).getParent())
+        if not self._files().rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot rename {self.root}/{source} to {target}")
+
+    def _folders(self, name: str, depth: int) -> Iterator[str]:
+        """Partition folders, so many levels below a table's own, as relative paths."""
+        for status in self._files().listStatus(self._path(name)):
+            part = status.getPath().getName()
+            if status.isDirectory() and "=" in part:
+                if depth == 1:
+                    yield part
+                else:
+                    yield from (f"{part}/{rest}" for rest in self._folders(f"{name}/{part}", depth - 1))
 
     def _folder(self, columns: Sequence[str], cell: Sequence) -> str:
         values = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in cell)
         return "/".join(f"{c}={v}" for c, v in zip(columns, values, strict=True))
 
-    def _emptied(self, name: str, new: DataFrame) -> Iterable[Sequence]:
+    def _emptied(self, name: str) -> list[str]:
         """Touched folders for which nothing is staged."""
-        columns = self.layout[name]
-        cells = self._cells(columns)
-        if cells is not None:
-            return [c for c in cells if not self._exists(f"_stage/{name}/{self._folder(columns, c)}")]
-        touched, left = self.touched(columns), new.select(*columns).distinct()
-        # One row per removed folder, as many as folders can be touched.
-        return touched.join(left, same_values(touched, left, columns), "left_anti").toLocalIterator()
+        columns, cells = self.layout[name], self._cells(self.layout[name])
+        # One row per touched folder.
+        touched = cells if cells is not None else self.touched(columns).toLocalIterator()
+        left = set(self._folders(f"_stage/{name}", len(columns)))
+        return [f for f in (self._folder(columns, cell) for cell in touched) if f not in left]

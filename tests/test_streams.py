@@ -225,3 +225,51 @@ def test_wider_batches(spark, tmp_path):
     ]
     with pytest.raises(ValueError):
         log.write_batch(spark.createDataFrame([("z",)], "a string"), path, 3)
+
+
+def test_a_change_writes_each_row_once(spark, tmp_path):
+    """Staged folders become the tables' own: the same files, not copies of them."""
+    rows = [{**r, "t": r["t"] * 40} for r in noisy(9)]
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
+    built.apply(deliveries(spark, rows), 0)
+    staged, ready = {}, built.ready
+
+    def look():
+        ready()
+        staged.update(left_files(f"{built.root}/_stage"))
+
+    built.ready = look
+    late = [{**r, "offset": 50_000 + i, "lag": 40_000} for i, r in enumerate(rows[:20])]
+    built.apply(deliveries(spark, late), 1)
+    after = left_files(built.root)
+    placed = {f: v for f, v in staged.items() if "=" in f}
+    assert placed and all(after[f] == v for f, v in placed.items())
+
+
+def test_touched_folders_are_a_filter_not_a_join(spark, tmp_path):
+    """Also for folders of missing values, and for many folders of several levels."""
+    from roadlark.streaming.folders import among
+
+    cells = [(None, 0), (None, None), (3, 1), (4, 1), (5, None), (6, 0), (6, 1)]
+    rows = spark.sql("SELECT IF(a = 9, NULL, a) AS a, IF(b = 9, NULL, b) AS b FROM (SELECT explode(sequence(0, 9)) AS a) "
+                     "CROSS JOIN (SELECT explode(sequence(0, 9)) AS b)")
+    hit = among(["a", "b"], cells)
+    inside = sorted(map(tuple, rows.where(hit).collect()), key=str)
+    assert inside == sorted(cells, key=str)
+    assert rows.where(~hit).count() == 100 - len(cells)
+    many = [(n, n + 1) for n in range(1000)]
+    big = spark.range(1001).selectExpr("CAST(id AS INT) AS a", "CAST(id + 1 AS INT) AS b")
+    assert big.where(among(["a", "b"], many)).count() == 1000
+
+    raw = deliveries(spark, with_gaps(6))
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
+    built.apply(raw, 0)
+    plans, stage = [], built.stage
+
+    def look(name, rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        stage(name, rows)
+
+    built.stage = look
+    built.apply(deliveries(spark, [{**r, "offset": 10_000 + i} for i, r in enumerate(with_gaps(7))]), 1)
+    assert len(plans) == 7 and not [p for p in plans if "LeftSemi" in p or "LeftAnti" in p]
