@@ -142,3 +142,39 @@ def test_no_fences(spark):
     none = spark.createDataFrame([], FENCE)
     assert fences_around(points, none, "lat", "lon").isEmpty()
     assert [r.geofence_id for r in fences_around(points, none, "lat", "lon", how="left").collect()] == [None]
+
+
+def test_segment_efficiency_sums_readings_per_cell(spark):
+    """Many segments in one cell, names in several cells, equal rows and missing names."""
+    rng = random.Random(3)
+    names = ["segment_id", "route_name", "highway", "from_city", "to_city", "segment_km"]
+    roads = [(f"S{n}", "R", None, "a", "b", 1.5, f"cell{n % 4}") for n in range(40)]
+    roads += [("twice", "R", "h", "a", None, 2.0, c) for c in ("cell0", "cell1", "cell1", "cell9")]
+    roads += [(None, None, None, None, None, None, c) for c in ("cell2", "cell2", None)]
+    types = ", ".join(f"{c} {'double' if c == 'segment_km' else 'string'}" for c in names)
+    segments = spark.createDataFrame(roads, types + ", cell_mid_res7 string")
+    rows = [
+        (rng.choice(["v1", "v2", None]), rng.choice(["A", "B", None]), f"2024-0{rng.randint(1, 2)}-03 00:00:00", rng.choice([0.0, 1.0, 2.0, 3.0, 5.0, None]), 0.0,
+         *[rng.choice([None, 0.5, 3.25, 8.0]) for _ in range(3)])
+        for _ in range(200)
+    ]
+    measured = ["j1939_fuel_rate_lph", "j1939_vehicle_speed_kph", "j1939_engine_load_pct"]
+    columns = "vehicle_id string, customer_id string, ts string, gps_latitude double, gps_longitude double, "
+    raw = spark.createDataFrame(rows, columns + ", ".join(f"{c} double" for c in measured))
+    readings = raw.withColumn("event_ts", F.col("ts").cast("timestamp_ntz"))
+
+    def cell(lat, lon, resolution):
+        return F.concat(F.lit("cell"), lat.cast("int"))
+
+    got = spatial.monthly_segment_efficiency(readings, segments, cell)
+    month = F.date_trunc("MONTH", "event_ts").cast("timestamp_ntz").alias("month_start")
+    pairs = readings.withColumn("cell_mid_res7", cell(F.col("gps_latitude"), None, 7)).join(segments, "cell_mid_res7")
+    fuel, speed, load = (F.avg(c) for c in measured)
+    wanted = pairs.groupBy(month, *names).agg(
+        F.countDistinct("vehicle_id"), F.countDistinct("customer_id"), F.count("*"),
+        F.round(fuel, 2), F.round(speed, 1), F.round(load, 1), F.when(speed > 0, F.round(fuel * 100 / speed, 2)),
+    )
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+    # No step holds a row per segment and vehicle.
+    exchanged = [line for line in plan_of(got).splitlines() if "hashpartitioning" in line and "vehicle_id" in line]
+    assert exchanged and not [line for line in exchanged if "segment_id" in line]
