@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlark.llm.common import RollingSums, Scratch, constants, distinct, mix, slices, utf8
+from roadlark.llm.common import RollingSums, Scratch, constants, distinct, mix, slices, tidy, utf8
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.55
@@ -362,7 +362,7 @@ def contaminated(
                         names = ["doc_id", "item_id", "score", "question", "answer", "start", "end"]
                         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        found = texts.mapInArrow(run, schema)
+        found = texts.mapInArrow(tidy(run), schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -388,5 +388,5 @@ def clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                         keep[i + text] = False
                 yield batch.filter(pa.array(keep))
 
-        documents = documents.mapInArrow(run, documents.schema)
+        documents = documents.mapInArrow(tidy(run), documents.schema)
     return documents

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlark.llm.common import Scratch, constants, mix, parts, unused, utf8
+from roadlark.llm.common import Scratch, constants, mix, parts, tidy, unused, utf8
 from roadlark.llm.components import components
 from roadlark.llm.shingles import batches_of_sets, digest
 
@@ -178,7 +178,7 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
         total = np.bincount(code, weights=np.concatenate(how), minlength=len(who))
         return pa.table({"owner": who.view(np.int64), "shared": total.astype(np.int64)})
 
-    dealt = documents.select("text").mapInArrow(deal, schema)
+    dealt = documents.select("text").mapInArrow(tidy(deal), schema)
     counted = dealt.groupBy("bucket").applyInArrow(count, "owner long, shared long")
     return counted.groupBy("owner").agg(F.sum("shared").alias("shared"))
 
@@ -449,7 +449,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(tidy(run), "a long, b long")
 
 
 def linked(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
@@ -567,7 +567,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     # Texts are not shuffled: what passes the filter is cut into sets where it stands, and the
     # sets are joined with the ids and digests in question.
     texts = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
-    found = texts.mapInArrow(tokens, "id long, sid binary, n long, tokens binary")
+    found = texts.mapInArrow(tidy(tokens), "id long, sid binary, n long, tokens binary")
     sets = scratch.keep(found.join(wanted, ["id", "sid"]).select("id", "sid", "n", "tokens"))
     total = sets.agg(F.sum("n")).first()[0] or 0
     block = F.pmod(F.xxhash64("id"), F.lit(1 + total // BLOCK)).cast("int")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlark.llm.common import RollingSums, Scratch, distinct, slices, utf8
+from roadlark.llm.common import RollingSums, Scratch, distinct, slices, tidy, utf8
 
 # Bounds of what is fetched to train: documents for the scorer, labelled documents and entries
 # of the learned word list.  Votes, their accuracies and scores cover all documents.
@@ -267,7 +267,7 @@ def learned(documents: DataFrame, sample: DataFrame, entries: int):
 
     texts = documents.filter("text is not null").join(sample, "doc_id").select("text", "toxic")
     texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
-    counts = texts.mapInArrow(run, "kind int, value long, bad long, good long")
+    counts = texts.mapInArrow(tidy(run), "kind int, value long, bad long, good long")
     sums = counts.groupBy("kind", "value").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     toxic = texts.filter("toxic <> 0").count()
     kept = sums.filter((F.col("bad") >= max(LEAST, SHARE * toxic)) & (F.col("good") == 0))
@@ -436,4 +436,4 @@ def classify(
 
     schema = T.StructType(list(plain.schema))
     schema = schema.add("quality", "double").add("harmless", "double").add("keep", "boolean")
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(tidy(run), schema)
