@@ -52,20 +52,24 @@ _BATCH = 16 << 20  # bytes of payload per Arrow batch
 _BLOCK = 10_000  # copies of one row that one task writes
 
 
-def _uuid(text: Column) -> Column:
-    h = F.sha2(text, 256)
+def _uuid(h: Column) -> Column:
+    """A record id of a hexadecimal SHA-256."""
     pieces = [F.substring(h, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
 
-def _base32(hexadecimal: Column) -> Column:
-    """Base32 of a 40-digit hexadecimal SHA-1: each five digits are four letters."""
+def _fives(hexadecimal: Column) -> Column:
+    """The numbers of each five digits of a 40-digit hexadecimal SHA-1."""
+    return F.array(*[F.conv(F.substring(hexadecimal, start, 5), 16, 10).cast("int") for start in range(1, 41, 5)])
+
+
+def _base32(fives: Column) -> Column:
+    """Base32 of a SHA-1: each five hexadecimal digits are four letters."""
     letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
     out = []
-    for start in range(1, 41, 5):
-        number = F.conv(F.substring(hexadecimal, start, 5), 16, 10).cast("int")
+    for k in range(8):
         for shift in (15, 10, 5, 0):
-            five = F.shiftright(number, shift).bitwiseAND(F.lit(31))
+            five = F.shiftright(fives[k], shift).bitwiseAND(F.lit(31))
             out.append(F.substring(letters, five + 1, F.lit(1)))
     return F.concat(*out)
 
@@ -116,7 +120,21 @@ def records(pages: DataFrame, least_bytes: int = 0, date: str = DATE) -> DataFra
     )
     revisits = _copies(again, F.col("one")).select("page_id", "url", "same", "size", F.lit(None).cast("string").alias("html"), "copy")
     every = responses.unionByName(revisits).unionByName(small)
-    return every.select(_capture(least_bytes, date).alias("value"))
+    # Hashes are columns of their own: written into the text's expression, which takes them apart
+    # letter by letter, each would be computed once per letter or piece.
+    full = F.col("html").isNotNull()
+    key = F.concat_ws(
+        ":", "same", F.coalesce(F.col("page_id").cast("string"), F.lit(" ")), F.coalesce("url", F.lit("\n")), F.col("copy").cast("string")
+    )
+    texts = {"_row": key, "_request": F.concat(F.lit("request:"), key), "_metadata": F.concat(F.lit("metadata:"), key)}
+    hashes = {name: F.sha2(text, 256) for name, text in texts.items()}
+    hashes["_payload"] = F.sha2(F.concat(F.lit("payload:"), "same"), 256)
+    # A response's payload is hashed where it is written, a revisit's digest is that of the record it names.
+    hashes["_sha1"] = F.when(full, F.sha1("html"))
+    hashed = every.withColumns(hashes).withColumn("_fives", F.when(full, _fives(F.col("_sha1"))))
+    ids = {name: _uuid(F.col(name)) for name in (*texts, "_payload")}
+    named = hashed.withColumns({**ids, "_digest": F.concat(F.lit("sha1:"), _base32(F.col("_fives")))})
+    return named.select(_capture(least_bytes, date).alias("value"))
 
 
 def _copies(rows: DataFrame, begin: Column) -> DataFrame:
@@ -133,16 +151,11 @@ def _copies(rows: DataFrame, begin: Column) -> DataFrame:
 def _capture(least_bytes: int, date: str) -> Column:
     full = F.col("html").isNotNull()
     size = F.col("size")
-    row = F.concat_ws(
-        ":", "same", F.coalesce(F.col("page_id").cast("string"), F.lit(" ")), F.coalesce("url", F.lit("\n")), F.col("copy").cast("string")
-    )
-    payload_id = _uuid(F.concat(F.lit("payload:"), "same"))
-    record_id = F.when(full & (size >= least_bytes), payload_id).otherwise(_uuid(row))
+    payload_id = F.col("_payload")
+    record_id = F.when(full & (size >= least_bytes), payload_id).otherwise(F.col("_row"))
     uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     kind = F.when(full, F.lit("response")).otherwise(F.lit("revisit"))
     refers = F.when(~full, payload_id)
-    # A response's payload is hashed where it is written, a revisit's digest is that of the record it names.
-    digest = F.when(full, F.concat(F.lit("sha1:"), _base32(F.sha1("html"))))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "),
         size.cast("string"),
@@ -158,7 +171,7 @@ def _capture(least_bytes: int, date: str) -> Column:
             ("WARC-Target-URI", uri),
             ("WARC-Profile", F.when(~full, F.lit(REVISIT_PROFILE))),
             ("WARC-Refers-To", refers),
-            ("WARC-Payload-Digest", digest),
+            ("WARC-Payload-Digest", F.col("_digest")),
             ("Content-Type", F.lit("application/http;msgtype=response")),
         ],
         body,
@@ -167,7 +180,7 @@ def _capture(least_bytes: int, date: str) -> Column:
     ask = F.concat(F.lit("GET "), F.coalesce(uri, F.lit("/")), F.lit(f" HTTP/1.1{LINE}{LINE}"))
     request = _record(
         F.lit("request"),
-        _uuid(F.concat(F.lit("request:"), row)),
+        F.col("_request"),
         date,
         [
             ("WARC-Target-URI", uri),
@@ -180,7 +193,7 @@ def _capture(least_bytes: int, date: str) -> Column:
     fields = _lines(("page-id", F.col("page_id").cast("string")))
     metadata = _record(
         F.lit("metadata"),
-        _uuid(F.concat(F.lit("metadata:"), row)),
+        F.col("_metadata"),
         date,
         [
             ("WARC-Target-URI", uri),

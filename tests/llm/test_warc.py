@@ -107,3 +107,11 @@ def test_foreign_archive(spark, tmp_path):
     assert bytes(found["r1"].response.payload) == b"body" and bytes(found["r2"].response.payload) == b"plain\r\n\r\ntext"
     assert found["lost"].response is None and [r.record_id for r in found["lost"].requests] == ["q9"]
     assert [r.type for r in found["i"].others] == ["warcinfo"]
+
+
+def test_each_hash_is_computed_once_per_record(spark):
+    """Base32 letters and id pieces are taken from hash columns, not from a hash each."""
+    df = spark.createDataFrame(odd(), PAGES).repartition(3)
+    plan = warc.records(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") <= 3
+    assert plan.count("sha2(") <= 20
