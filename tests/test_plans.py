@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roadlark.operators import curated, facts
 from roadlark.plans import registry
-from roadlark.sources import files
+from roadlark.sources import events, files
 from roadlark.sources.files import write_clustered
 
 
@@ -123,3 +123,22 @@ def test_a_box_meets_few_files_along_the_curve(spark, tmp_path):
     where = " AND ".join(f"{c} BETWEEN {low} AND {high}" for c, (low, high) in box.items())
     stored = spark.read.parquet(str(tmp_path / "t"))
     assert stored.where(where).count() == rows.where(where).count() > 0 and stored.count() == 100_001
+
+
+def test_queries_keep_wide_rows_compiled_in_any_session(spark, sf_dir):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        for given, expected in (("65535", "8000"), ("30000", "30000")):
+            spark.conf.set(name, given)
+            registry.QUERIES["dlq_split"](spark, sf_dir)
+            assert spark.conf.get(name) == expected
+    finally:
+        spark.conf.set(name, "8000")
+
+
+def test_wide_rows_are_built_by_many_tasks(spark, sf_dir):
+    """A small file of events is one split, its projection is not one task."""
+    messages = registry.damaged_messages(spark, sf_dir)
+    assert messages.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    rows = [df.selectExpr("to_json(struct(*)) AS row") for df in (events.spread_landing(spark, sf_dir), events.landing(spark, sf_dir))]
+    assert rows[0].exceptAll(rows[1]).isEmpty() and rows[1].exceptAll(rows[0]).isEmpty()
