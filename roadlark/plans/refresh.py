@@ -132,6 +132,9 @@ class IncrementalTables(FolderTables):
         if not self.exists("deliveries"):
             return 0
         stored = self.read("deliveries")
+        in_use = f"{self.root}/_stage/_policies"
+        retention.policies_in_use(stored, policies).write.mode("overwrite").parquet(in_use)
+        policies = self.spark.read.parquet(in_use)
         gone = retention.expired(stored, policies, as_of)
         counted = self._placed(gone, F.col("event_date")).groupBy("batch_id", *_CELL).count()
         counted.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_stage/_gone")

@@ -6,6 +6,7 @@ import random
 import pyarrow.parquet as pq
 import pytest
 from helpers import deliveries
+from pyspark.sql import functions as F
 from test_trips import random_rows
 
 from roadlark.operators import curated, facts, trips
@@ -144,6 +145,29 @@ def test_retention_deletes_and_all_tables_follow(spark, tmp_path):
     assert built.retain(policies, "2024-01-02 12:00:00") == 0
 
 
+def test_retention_judges_rows_by_the_policies_in_use_only(spark, tmp_path, monkeypatch):
+    from roadlark.operators import retention
+
+    raw = deliveries(spark, [{**r, "t": None if r["t"] is None else r["t"] * 40} for r in with_gaps(8)])
+    as_of = "2024-01-02 12:00:00"
+    unused = policies_of(spark).where("customer_id = 'A'").withColumn("customer_id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(500)), lambda n: n.cast("string"))))
+    longer = policies_of(spark).where("customer_id = 'A'").withColumn("raw_retention_days", F.lit(9).cast("long"))
+    policies = policies_of(spark).union(longer).union(unused)
+    built = IncrementalTables(spark, str(tmp_path / "t"), shards=3)
+    built.apply(raw, 0)
+    expected = retention.expired(built.read("deliveries"), policies, as_of).count()
+    judged, retained = [], retention.retained
+
+    def seen(rows, policies, as_of):
+        judged.extend(policies.collect())
+        return retained(rows, policies, as_of)
+
+    monkeypatch.setattr(retention, "retained", seen)
+    assert built.retain(policies, as_of) == expected > 0
+    assert {r.customer_id for r in judged} <= {r.customer_id for r in raw.select("customer_id").collect()}
+    assert [r.raw_retention_days for r in judged if r.customer_id == "A"] == [1]
+
+
 def left_files(root):
     """Part files by folder, with their times."""
     out = {}
