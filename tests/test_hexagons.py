@@ -4,7 +4,17 @@ import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
-from roadlark.functions.hexagons import PENTAGONS, base_cell, filed, hex_cell, hex_id, hex_parent
+from roadlark.functions.hexagons import (
+    FACES,
+    PENTAGONS,
+    base_cell,
+    filed,
+    hex_cell,
+    hex_id,
+    hex_parent,
+    with_hex_cell,
+    with_hex_id,
+)
 from roadlark.sources.masters import city_fences
 
 # Published ids of the cities' cells at resolutions 7 and 9 (fixed values).
@@ -86,3 +96,37 @@ def test_odd_points_and_parents(spark):
 def test_no_python_in_the_plan(spark):
     plan = plan_of(city_fences(spark))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("resolution", [0, 1, 7, 8, 15])
+def test_compiled_ids_equal_the_expression(spark, resolution):
+    poles = [(90.0, 0.0), (-90.0, 180.0), (0.0, 180.0), (0.0, -180.0), (100.0, 500.0)]
+    rows = poles + [(None, 1.0), (1.0, None), (float("inf"), 0.0), (float("nan"), 0.0)]
+    rows += [(math.degrees(lat), math.degrees(lon)) for lat, lon, _ in FACES]
+    rows += [(math.degrees(math.asin(2 * ((n * 0.618) % 1) - 1)), (n * 137.5) % 360 - 180) for n in range(300)]
+    points = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "lat double, lon double, _hexa int")
+    made = with_hex_id(points, "id", "lat", "lon", resolution)
+    assert made.columns == ["lat", "lon", "_hexa", "id"]
+    got = made.select("id", hex_id(F.col("lat"), F.col("lon"), resolution).alias("other")).collect()
+    assert len(got) == len(rows) and [r.id for r in got] == [r.other for r in got]
+    assert [r.id for r in got[5:9]] == [None] * 4
+
+
+def test_a_condition_on_compiled_cells_stays_above_them(spark):
+    points = spark.createDataFrame([(26.9, 75.8), (None, 1.0)], "lat double, lon double")
+    cells = with_hex_cell(points, "cell", "lat", "lon").where("cell IS NOT NULL")
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and len(plan) < 60_000
+    assert cells.count() == 1
+
+
+def test_joins_on_place_interpret_no_cells(spark):
+    from roadlark.operators.spatial import readings_on_segments
+
+    readings = spark.createDataFrame([(1, 26.9, 75.8)], "vehicle_id int, gps_latitude double, gps_longitude double")
+    names = "segment_id, route_name, highway, from_city, to_city, segment_km, cell_mid_res7".split(", ")
+    cell = hex_cell(F.lit(26.9), F.lit(75.8))
+    segments = spark.range(1).select(*[F.lit(n).alias(n) for n in names[:-1]], cell.alias(names[-1]))
+    joined = readings_on_segments(readings, segments.localCheckpoint())
+    assert "lambda" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 1
