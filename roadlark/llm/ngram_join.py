@@ -6,7 +6,8 @@ threshold.  The join is exact:
 1. Documents of one set collapse to the least id; only distinct sets are joined.
 2. Screening.  In hash order, the first e + 1 + s tokens of a set (e: how many tokens a partner
    may lack) share at least s + 1 tokens with any partner.  These tokens are counted in hash
-   buckets; sets with fewer shared tokens can have no partner and leave.
+   buckets; sets with fewer shared tokens can have no partner and leave.  Their tokens, and the
+   owners of tokens, are cut to 39 bits or more and to 48 bits for that.
 3. Signatures.  The remaining sets order their tokens by frequency, rare ones first.  How many
    tokens a partner may lack sets the length of a set's prefix: a short one to be found by sets
    of its size or more, a longer one to find smaller sets.  Rare tokens are indexed alone.
@@ -54,6 +55,8 @@ GROUP = 2000
 CELL = 20_000
 DEALT = ["bucket", "block", "tokens", "counts"]
 KINDS = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+# Bytes of a digest that name the owner of a token.
+OWNER = 6
 
 
 def missing(n, percent: int):
@@ -89,12 +92,12 @@ def document_sets(documents: DataFrame, width: int) -> DataFrame:
 def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
     """(owner, shared): how many of a set's screening tokens other sets have among theirs.
 
-    owner is the first half of the set's digest.  Tokens that two sets of one task share are
-    settled there and sent on once, without owners, so a token that is in a third of all sets
-    loads no bucket.
+    owner is the begin of the set's digest.  Tokens that two sets of one task share are settled
+    there and sent on once, without owners, so a token that is in a third of all sets loads no
+    bucket.  Other tokens go with their owner: ten bytes, however many buckets there are.
     """
     buckets = 4 * parts(documents.sparkSession)
-    schema = "bucket int, tokens binary, owners binary, sids binary, credits binary"
+    schema = "bucket int, tokens binary, low binary, high binary, credits binary"
     nobody = np.uint32(0xFFFFFFFF)
 
     def flush(sids, lists):
@@ -112,23 +115,24 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
         # Buckets are ranges of the mixed token, so each is one slice.
         bucket = ((token >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        low = token.astype(np.uint32)
+        short = token.astype(np.uint32)
+        low, high = sids.astype(np.uint32), (sids >> np.uint64(32)).astype(np.uint16)
         for b in range(buckets):
             at = slice(cut[b], cut[b + 1])
-            mine, code = np.unique(owner[at], return_inverse=True)
-            named = mine[mine != nobody]
-            code = np.where(owner[at] == nobody, nobody, code.astype(np.uint32))
-            yield b, low[at], code, sids[named], np.empty(0, np.uint32)
+            known = owner[at] != nobody
+            # Owners stand beside the first tokens; the others are settled.
+            tokens, mine = np.append(short[at][known], short[at][~known]), owner[at][known]
+            yield b, tokens, low[mine], high[mine], credit[:0]
         has = credit > 0
         if has.any():
             spread = int(sids[0] % np.uint64(buckets))
-            yield spread, low[:0], owner[:0], sids[has], credit[has]
+            yield spread, short[:0], low[has], high[has], credit[has]
 
     def table(rows):
         columns = list(zip(*rows))
         arrays = [pa.array(columns[0], pa.int32())]
         arrays += [pa.array([x.tobytes() for x in c], pa.binary()) for c in columns[1:]]
-        names = ["bucket", "tokens", "owners", "sids", "credits"]
+        names = ["bucket", "tokens", "low", "high", "credits"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def deal(batches):
@@ -137,7 +141,7 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
             data, offsets = utf8(batch.column(0))
             for _, s in batches_of_sets(data, offsets, width):
                 if len(s):
-                    sids.append(int.from_bytes(digest(s)[:8], "big"))
+                    sids.append(int.from_bytes(digest(s)[:OWNER], "big"))
                     lists.append(s[: screen_length(len(s), percent)].copy())
                     held += len(lists[-1])
                     if held >= FLUSH:
@@ -147,21 +151,20 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
             yield table(flush(sids, lists))
 
     def count(rows: pa.Table) -> pa.Table:
-        tokens, owners, sids, credits = (
+        tokens, low, high, credits = (
             [np.frombuffer(x, t) for x in rows.column(c).to_pylist()]
-            for c, t in (("tokens", "u4"), ("owners", "u4"), ("sids", "u8"), ("credits", "u4"))
+            for c, t in (("tokens", "u4"), ("low", "u4"), ("high", "u2"), ("credits", "u4"))
         )
-        given = [(s, c) for s, c in zip(sids, credits) if len(c)]
-        lists = [(t, o, s) for t, o, s in zip(tokens, owners, sids) if len(t)]
-        who = [np.empty(0, np.uint64)] + [s for s, _ in given]
+        owners = [x | y.astype(np.uint64) << np.uint64(32) for x, y in zip(low, high)]
+        given = [(o, c) for o, c in zip(owners, credits) if len(c)]
+        lists = [(t, o) for t, o in zip(tokens, owners) if len(t)]
+        who = [np.empty(0, np.uint64)] + [o for o, _ in given]
         how = [np.empty(0, np.int64)] + [c.astype(np.int64) for _, c in given]
         if lists:
-            token = np.concatenate([t for t, _, _ in lists])
-            known = np.concatenate([o != nobody for _, o, _ in lists])
+            token = np.concatenate([t for t, _ in lists])
+            known = np.concatenate([np.arange(len(t)) < len(o) for t, o in lists])
             # Any number stands for the owner of a token that is settled.
-            sid = np.concatenate(
-                [np.append(s, np.uint64(0))[np.minimum(o, len(s))] for _, o, s in lists]
-            ).astype(np.uint64)
+            sid = np.concatenate([np.pad(o, (0, len(t) - len(o))) for t, o in lists])
             order = np.lexsort((sid, token))
             token, known, sid = token[order], known[order], sid[order]
             new = np.concatenate(([True], token[1:] != token[:-1]))
@@ -184,7 +187,7 @@ def shared_counts(documents: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over ``id``: it may let other ids pass, never stops one."""
+    """A Bloom filter of fixed size over ``id``, as bytes of bits; see ``may_hold``."""
 
     def run(batches):
         found = np.zeros(FILTER_BITS, bool)
@@ -205,7 +208,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     out = np.zeros((FILTER_SLICES, FILTER_BITS // 8 // FILTER_SLICES), np.uint8)
     for r in rows.collect():  # FILTER_BITS bits at any size
         out[r.i] = np.frombuffer(r.bits, np.uint8)
-    return np.unpackbits(out.reshape(-1)).astype(bool)
+    return out.reshape(-1)
 
 
 def filter_places(ids: np.ndarray):
@@ -214,9 +217,17 @@ def filter_places(ids: np.ndarray):
         yield place.astype(np.int64)
 
 
+def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids pass the filter: all that it was made of, and some others."""
+    out = np.ones(len(ids), bool)
+    for at in filter_places(ids):
+        out &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return out
+
+
 def owner_of(sid):
-    """The first eight bytes of a digest as ``shared_counts`` has them."""
-    return F.conv(F.hex(F.substring(sid, 1, 8)), 16, -10).cast("long")
+    """The begin of a digest as ``shared_counts`` has it."""
+    return F.conv(F.hex(F.substring(sid, 1, OWNER)), 16, 10).cast("long")
 
 
 def needed(n: int, m: int, percent: int) -> int:
@@ -224,58 +235,66 @@ def needed(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def once(block: pa.Table) -> pa.Table:
-    """Sets that repeated rows gave more than once, once; all rows of an id are in one block."""
-    keys = zip(block.column("id").to_pylist(), block.column("sid").to_pylist())
-    last = {k: i for i, k in enumerate(keys)}
-    return block if len(last) == block.num_rows else block.take(pa.array(list(last.values())))
+def asked(block: pa.Table) -> pa.Table:
+    """The sets of a block that rows without tokens ask for, each once if repeated rows gave it
+    more than once; all rows of an id are in one block."""
+    keys = list(zip(block.column("id").to_pylist(), block.column("sid").to_pylist()))
+    whole = block.column("tokens").is_valid().to_pylist()
+    wanted = {k for k, w in zip(keys, whole) if not w}
+    last = {k: i for i, (k, w) in enumerate(zip(keys, whole)) if w and k in wanted}
+    return block.take(pa.array(list(last.values()), pa.int64()))
 
 
-def counted(sets: DataFrame) -> DataFrame:
-    """(block, tokens, counts): in how many sets each token is, for the tokens of several sets.
+def places(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each token, and its lower half.
 
-    A block of sets sends each of its tokens once, with its count, and gets the total back: a
-    token costs a block one entry, however many sets hold it.
+    Tokens of one place are counted as one: then a token may count as that of more sets than hold
+    it, never of fewer, and its count is the same for all sets.
     """
-    buckets = 4 * parts(sets.sparkSession)
+    bucket = ((tokens >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
+    return bucket << np.uint64(32) | tokens.astype(np.uint32)
+
 
-    def row(tokens, counts):
-        return [tokens.tobytes(), counts.astype(np.uint32).tobytes()]
+def places_of(block: pa.Table, buckets: int):
+    """(places, counts) of all tokens of the block's sets, in order of the places."""
+    lists = [np.frombuffer(x, "u8") for x in block.column("tokens").to_pylist()]
+    every = np.concatenate(lists or [np.empty(0, np.uint64)])
+    return np.unique(places(every, buckets), return_counts=True)
+
+
+def counted(sets: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, counts): of how many sets each place is, for the places of a block in order.
+
+    A block of sets sends each of its places once, with its count, and gets the totals back in
+    the order that it sent them: a token costs a block one entry, however many sets hold it.
+    """
 
     def deal(block: pa.Table) -> pa.Table:
-        block = once(block)
-        every = np.concatenate([np.frombuffer(x, "u8") for x in block.column("tokens").to_pylist()])
-        tokens, counts = np.unique(every, return_counts=True)
-        bucket = ((tokens >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
         number = block.column("block")[0].as_py()
+        place, counts = places_of(asked(block), buckets)
+        cut = np.searchsorted(place, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+        short, counts = place.astype(np.uint32), counts.astype(np.uint32)
         rows = [
-            [b, number, *row(tokens[cut[b] : cut[b + 1]], counts[cut[b] : cut[b + 1]])]
+            (b, number, short[cut[b] : cut[b + 1]].tobytes(), counts[cut[b] : cut[b + 1]].tobytes())
             for b in range(buckets)
             if cut[b] < cut[b + 1]
         ]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), KINDS)]
-        return pa.Table.from_arrays(columns, names=DEALT)
+        columns = list(zip(*rows)) or [()] * len(DEALT)
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS)], names=DEALT)
 
     def count(rows: pa.Table) -> pa.Table:
-        blocks = rows.column("block").to_pylist()
-        tokens = [np.frombuffer(x, "u8") for x in rows.column("tokens").to_pylist()]
+        tokens = [np.frombuffer(x, "u4") for x in rows.column("tokens").to_pylist()]
         counts = [np.frombuffer(x, "u4") for x in rows.column("counts").to_pylist()]
-        known, code = np.unique(np.concatenate(tokens), return_inverse=True)
-        total = np.bincount(code, weights=np.concatenate(counts)).astype(np.int64)
-        many = known[total > 1], total[total > 1]
-        out = []
-        for block, mine in zip(blocks, tokens):
-            at = np.searchsorted(many[0], mine)
-            shared = at[np.append(many[0], np.uint64(0))[at] == mine] if len(many[0]) else at[:0]
-            out.append([block, *row(many[0][shared], many[1][shared])])
-        columns = [pa.array(c, k) for c, k in zip(zip(*out), KINDS[1:])]
-        return pa.Table.from_arrays(columns, names=DEALT[1:])
-
-    schema = "block int, tokens binary, counts binary"
+        _, code = np.unique(np.concatenate(tokens), return_inverse=True)
+        total = np.bincount(code, weights=np.concatenate(counts)).astype(np.uint32)
+        ends = np.cumsum([len(t) for t in tokens])[:-1]
+        back = [x.tobytes() for x in np.split(total[code], ends)]
+        columns = [rows.column("block"), rows.column("bucket"), pa.array(back, pa.binary())]
+        return pa.Table.from_arrays(columns, names=["block", "bucket", "counts"])
+
     # The same shuffle as that of ``signatures``, so Spark makes it once.
-    dealt = sets.groupBy("block").applyInArrow(deal, f"bucket int, {schema}")
-    return dealt.groupBy("bucket").applyInArrow(count, schema)
+    dealt = sets.groupBy("block").applyInArrow(deal, "bucket int, block int, tokens binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(count, "block int, bucket int, counts binary")
 
 
 def signature_keys(tokens: np.ndarray, counts: np.ndarray, percent: int, often: int = OFTEN):
@@ -337,33 +356,29 @@ def folded(maps: list[bytes], size: int) -> np.ndarray:
     return np.stack(rows)
 
 
-def signatures(sets: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+def signatures(sets: DataFrame, percent: int) -> DataFrame:
     """(id, n, score, bits, sketch, own, probe, tokens) for sets (id, sid, n, tokens, block).
 
-    Sets that share too few tokens with others to have a partner are left out.  score tells how
+    Rows without tokens tell which sets are asked for; other sets take no part.  Sets that share too few tokens with others to have a partner are left out.  score tells how
     common a set's tokens are.  The keys in sketch come from min-hashes: they find the bulk of a
     group of near copies with few comparisons.  own are the signatures that partners of the set's
     size or more find, probe the further ones that find smaller partners.
     """
+    buckets = 4 * parts(sets.sparkSession)
     salts = constants(SKETCHES, seed=41)
     names = ["id", "n", "score", "bits", "sketch", "own", "probe", "tokens"]
     longs = pa.list_(pa.int64())
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), longs, longs, longs, pa.binary()]
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x, "u8") for x in known.column("tokens").to_pylist()]
-        totals = [np.frombuffer(x, "u4") for x in known.column("counts").to_pylist()]
-        token = np.concatenate(lists or [np.empty(0, np.uint64)])
-        total = np.concatenate(totals or [np.empty(0, np.uint32)])
-        order = np.argsort(token)
-        token = np.append(token[order], np.uint64(0))
-        total = np.append(total[order], 1).astype(np.int64)
-        rows, block = [], once(block)
+        block, known = asked(block), known.sort_by("bucket")
+        place, _ = places_of(block, buckets)
+        total = np.frombuffer(b"".join(known.column("counts").to_pylist()), "u4").astype(np.int64)
+        rows = []
         ids, sizes = block.column("id").to_pylist(), block.column("n").to_pylist()
         for i, n, x in zip(ids, sizes, block.column("tokens").to_pylist()):
             x = np.frombuffer(x, "u8")
-            at = np.searchsorted(token[:-1], x)
-            counts = np.where(token[at] == x, total[at], 1)
+            counts = total[np.searchsorted(place, places(x, buckets))]
             shared = x[counts > 1]
             if 100 * len(shared) < percent * n:
                 continue
@@ -378,7 +393,7 @@ def signatures(sets: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
         "id long, n long, score long, bits binary, sketch array<long>, own array<long>,"
         " probe array<long>, tokens binary"
     )
-    both = sets.groupBy("block").cogroup(counts.groupBy("block"))
+    both = sets.groupBy("block").cogroup(counted(sets, buckets).groupBy("block"))
     return both.applyInArrow(run, schema)
 
 
@@ -436,8 +451,17 @@ def plausible(rows: DataFrame, pivots: DataFrame, cells: int, percent: int) -> D
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    shared = sets.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def named(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(shared.value, batch.column(0).to_numpy())))
+
+    # Later rounds have few pairs left: tokens of sets without any are not shuffled.
+    some = sets.select("id", "tokens").mapInArrow(named, "id long, tokens binary")
+    left = some.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
+    right = some.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
 
     def run(batches):
         for batch in batches:
@@ -452,11 +476,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(tidy(run), "a long, b long")
 
 
-def linked(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Verified links (a, b) that connect all sets (id, sid, n, tokens, block) that links connect."""
-    every = scratch.keep(signatures(sets, counted(sets), percent))
+def linked(every: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Verified links (a, b) that connect all sets of ``signatures`` that links connect."""
     facts = every.select("id", "n", "score", "bits")
-    links = scratch.keep(sets.sparkSession.createDataFrame([], "a long, b long"))
+    links = scratch.keep(every.sparkSession.createDataFrame([], "a long, b long"))
 
     def with_roots(rows, roots):
         if roots is None:
@@ -501,6 +524,7 @@ def linked(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
         if not found.isEmpty():
             links = scratch.keep(links.union(found))
             roots = components(links, scratch)
+        scratch.drop(open_, chosen, pivots, pairs, found)
         return links, roots, after
 
     first = every.select(F.explode("sketch").alias("key"), "id", F.lit(True).alias("own"), "score")
@@ -543,15 +567,12 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     kept = groups.withColumn("owner", owner_of(F.col("sid"))).join(counts, "owner")
     kept = kept.filter(F.col("shared") >= need).select("id", "sid", "n")
 
-    wanted = scratch.keep(kept.select("id", "sid"))
+    wanted = scratch.keep(kept)
     shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def tokens(batches):
         for batch in batches:
-            pass_ = np.ones(batch.num_rows, bool)
-            for at in filter_places(batch.column(0).to_numpy()):
-                pass_ &= shared.value[at]
-            batch = batch.filter(pa.array(pass_))
+            batch = batch.filter(pa.array(may_hold(shared.value, batch.column(0).to_numpy())))
             data, offsets = utf8(batch.column(1))
             some = [(i, s) for i, s in batches_of_sets(data, offsets, width) if len(s)]
             yield pa.RecordBatch.from_arrays(
@@ -565,14 +586,17 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
             )
 
     # Texts are not shuffled: what passes the filter is cut into sets where it stands, and the
-    # sets are joined with the ids and digests in question.
+    # sets meet the ids and digests in question in their block, by one shuffle.
     texts = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
     found = texts.mapInArrow(tidy(tokens), "id long, sid binary, n long, tokens binary")
-    sets = scratch.keep(found.join(wanted, ["id", "sid"]).select("id", "sid", "n", "tokens"))
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    found = scratch.keep(found)
+    total = wanted.agg(F.sum("n")).first()[0] or 0
     block = F.pmod(F.xxhash64("id"), F.lit(1 + total // BLOCK)).cast("int")
+    sets = found.union(wanted.withColumn("tokens", F.lit(None).cast("binary"))).withColumn("block", block)
+    every = scratch.keep(signatures(sets, percent))
+    scratch.drop(found)
 
-    links = linked(sets.withColumn("block", block), scratch, percent)
+    links = linked(every, scratch, percent)
     # Rows of one id with several sets hold the groups of these sets together.
     member = named.join(groups.select("sid", "id"), "sid").select("doc_id", "id")
     split = member.groupBy("doc_id").agg(F.min("id").alias("x"), F.max("id").alias("y"))

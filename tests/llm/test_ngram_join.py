@@ -136,3 +136,38 @@ def test_components(spark):
         root[y] = x
     found = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"))
     assert {r.node: r.root for r in found.collect()} == {x: find(x) for x in root if find(x) != x}
+
+
+def shuffled(df, metric):
+    """The sum of a metric over all exchanges that ``df`` runs."""
+    df.collect()
+
+    def walk(plan):
+        if "AdaptiveSparkPlan" in plan.nodeName():
+            plan = plan.executedPlan()
+        while "QueryStage" in plan.nodeName():
+            plan = plan.plan()
+        total = plan.metrics().apply(metric).value() if plan.nodeName() == "Exchange" else 0
+        below = plan.children()
+        return total + sum(walk(below.apply(k)) for k in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_tokens_of_sets_without_pairs_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, bytearray(np.arange(100 * i, 100 * i + 8, dtype="u8").tobytes())) for i in range(400)]
+        rows += [(400, rows[7][1])]
+        sets = spark.createDataFrame(rows, "id long, tokens binary")
+        found = ngram_join.verified(spark.createDataFrame([(7, 400), (8, 9)], "a long, b long"), sets, 75)
+        assert [tuple(r) for r in found.collect()] == [(7, 400)]
+        assert shuffled(found, "shuffleRecordsWritten") < 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sets_that_the_filter_lets_pass_by_mistake_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "may_hold", lambda bits, ids: np.ones(len(ids), bool))
+    texts = copies()
+    assert result(table(spark, texts)) == brute(texts)
